@@ -288,3 +288,182 @@ Q["latest_iot"] = _with(IOT_SILVER) + "\nSELECT * FROM iot"
 
 def queries() -> dict[str, str]:
     return dict(Q)
+
+
+# ---------------------------------------------------------------- merges
+def _merge_sql(target: str, source: str, keys: list[str], cols: list[str], *,
+               erp: bool = False) -> str:
+    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+    if erp:
+        from_s = "s._s IS NOT NULL AND s._action = 'INSERT'"
+        keep = ("NOT (t._t IS NOT NULL AND s._s IS NOT NULL AND s._action = 'DELETE') "
+                "AND NOT (t._t IS NULL AND s._action IS DISTINCT FROM 'INSERT')")
+    else:
+        from_s = "s._s IS NOT NULL"
+        keep = "TRUE"
+    sel = ", ".join(f"CASE WHEN {from_s} THEN s.{c} ELSE t.{c} END AS {c}" for c in cols)
+    return f"""SELECT {sel},
+       CASE WHEN t._t IS NULL THEN {LOAD_2} ELSE t.created_at END AS created_at,
+       CASE WHEN {from_s} THEN {LOAD_2} ELSE t.updated_at END AS updated_at
+FROM (SELECT *, 1 AS _t FROM {target}) t FULL OUTER JOIN (SELECT *, 1 AS _s FROM {source}) s
+  ON {on}
+WHERE {keep}"""
+
+
+Q["merge_pos"] = _with(POS_RAW, f"""
+t1 AS (SELECT *, {LOAD_1} AS created_at, {LOAD_1} AS updated_at
+       FROM ({pos_dedup(f"(SELECT * FROM pos_raw WHERE _shipdate < {SPLIT})")}))""", f"""
+s2 AS ({pos_dedup(f"(SELECT * FROM pos_raw WHERE _shipdate >= {SPLIT})")})""") + "\n" + \
+    _merge_sql("t1", "s2", sc.POS_KEYS, POS_COLS)
+
+Q["merge_erp"] = _with(ERP_RAW, f"""
+t1 AS (SELECT {', '.join(ERP_COLS)}, {LOAD_1} AS created_at, {LOAD_1} AS updated_at
+       FROM ({erp_dedup(f"(SELECT * FROM erp_raw WHERE _shipdate < {SPLIT})")})
+       WHERE _action = 'INSERT')""", f"""
+s2 AS ({erp_dedup(f"(SELECT * FROM erp_raw WHERE _shipdate >= {SPLIT})")})""") + "\n" + \
+    _merge_sql("t1", "s2", sc.ERP_KEYS, ERP_COLS, erp=True)
+
+Q["merge_iot"] = _with(IOT_FLAT, f"""
+t1 AS (SELECT *, {LOAD_1} AS created_at, {LOAD_1} AS updated_at
+       FROM ({iot_dedup(f"(SELECT * FROM iot_flat WHERE event_timestamp < {IOT_END1})")}))""", f"""
+s2 AS ({iot_dedup(f"(SELECT * FROM iot_flat WHERE event_timestamp >= {IOT_START2})")})""") + \
+    "\n" + _merge_sql("t1", "s2", sc.IOT_KEYS, IOT_COLS)
+
+# ---------------------------------------------------------------- semi-structured
+Q["variant_extract"] = """
+SELECT event_id,
+       CAST(CAST(json_extract(props, '$.k') AS DECIMAL(38,0)) AS DECIMAL(38,0)) AS k_int,
+       CAST(json_extract(props, '$.k') AS DECIMAL(10,2)) AS k_number,
+       json_extract_string(props, '$.k') AS k_text,
+       json_extract_string(props, '$.missing') AS missing
+FROM events"""
+
+Q["nested_path"] = _with(IOT_FLAT) + """
+SELECT CAST(s_suppkey AS VARCHAR) AS store_id, s_name AS store_name,
+       'DEV_' || user_id AS device_id, 'EVT_' || eid AS event_id, event_type,
+       ts2 AS event_timestamp,
+       CAST(user_id % 4 AS DECIMAL(3,0)) AS store_floor,
+       CAST(100 - eid % 100 AS DECIMAL(3,0)) AS battery_pct,
+       CAST(-40 - user_id % 50 AS DECIMAL(4,0)) AS signal_rssi,
+       'fw-' || (user_id % 3) AS firmware_version
+FROM ev"""
+
+Q["flatten_inner"] = _with(IOT_FLAT) + """
+SELECT 'EVT_' || eid AS event_id, CASE WHEN sensor_name = 'k' THEN 1 ELSE 0 END AS reading_pos,
+       sensor_name, sensor_value, sensor_unit
+FROM rd"""
+
+Q["flatten_outer"] = _with(IOT_FLAT) + """
+SELECT 'EVT_' || ev.eid AS event_id, al.apos AS alert_pos, al.alert_type, al.severity,
+       CASE WHEN al.alert_type IS NOT NULL THEN ev.ts2 END AS triggered_at
+FROM ev LEFT JOIN al ON ev.eid = al.a_eid"""
+
+Q["flatten_both"] = _with(IOT_FLAT) + f"""
+SELECT {', '.join(IOT_COLS)}, _apos AS alert_pos FROM iot_flat"""
+
+Q["inventory_extract"] = """
+SELECT CAST(l.l_shipdate AS DATE) AS snapshot_date,
+       CAST(l.l_suppkey AS VARCHAR) AS store_id,
+       'WH_' || l.l_linestatus AS warehouse_id,
+       p.p_type AS category,
+       CAST(l.l_partkey AS VARCHAR) AS product_sku,
+       CAST(CAST(l.l_quantity * CAST(2.7 AS DOUBLE) AS DECIMAL(38,0)) AS DECIMAL(10,0))
+         AS quantity_on_hand,
+       CAST(CAST(l.l_quantity * CAST(0.3 AS DOUBLE) AS DECIMAL(38,0)) AS DECIMAL(10,0))
+         AS reorder_level,
+       CAST(CAST(l.l_quantity * CAST(4.0 AS DOUBLE) AS DECIMAL(38,0)) AS DECIMAL(10,0))
+         AS max_stock_level,
+       CAST(l.l_shipdate AS DATE) - l.l_linenumber AS last_received_date
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey"""
+
+Q["inventory_load"] = Q["inventory_extract"]
+
+# ---------------------------------------------------------------- changes / DML
+ORDER_STATES = """
+b AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00'),
+a AS (SELECT o_orderkey, o_custkey,
+             CASE WHEN o_orderpriority = '1-URGENT' THEN 'Changed' ELSE o_orderstatus END
+               AS o_orderstatus,
+             o_totalprice, o_orderdate, o_orderpriority
+      FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01 00:00:00')"""
+
+Q["change_feed"] = _with(ORDER_STATES) + """
+SELECT *, 'INSERT' AS _action FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) i
+UNION ALL
+SELECT *, 'DELETE' AS _action FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) d"""
+
+_upd_cols = ", ".join("CASE WHEN is_late THEN 'Changed' ELSE order_status END AS order_status"
+                      if c == "order_status" else c for c in ERP_COLS)
+Q["update_where"] = _with(ERP_SILVER) + f"""
+SELECT {_upd_cols}, {LOAD_1} AS created_at,
+       CASE WHEN is_late THEN {LOAD_2} ELSE {LOAD_1} END AS updated_at
+FROM erp"""
+
+# ---------------------------------------------------------------- history
+HISTORY = f"""{ERP_RAW},
+ch AS (SELECT t.*, 'C' || strftime(CAST(_shipdate AS DATE), '%Y%m') AS commit_id,
+              CAST(year(_shipdate) * 12 + month(_shipdate) AS BIGINT) AS commit_seq,
+              CAST(date_trunc('month', CAST(_shipdate AS DATE)) + INTERVAL 1 MONTH AS TIMESTAMP)
+                AS committed_at
+       FROM ({erp_typed('erp_raw')}, _shipdate FROM erp_raw) t),
+chd AS (SELECT * FROM ch QUALIFY row_number() OVER
+          (PARTITION BY order_id, commit_seq ORDER BY {ERP_ORDER}) = 1),
+hx AS (SELECT *, coalesce(lag(_action) OVER (PARTITION BY order_id ORDER BY commit_seq)
+                          = 'INSERT', FALSE) AS _existed FROM chd),
+h AS (SELECT {', '.join(ERP_COLS)}, commit_id, commit_seq, committed_at,
+             CASE WHEN _action = 'INSERT' AND _existed THEN 'UPDATE'
+                  WHEN _action = 'INSERT' THEN 'INSERT'
+                  WHEN _action = 'DELETE' AND _existed THEN 'DELETE' END AS _op
+      FROM hx)"""
+
+
+def _state(where: str) -> str:
+    return (f"SELECT {', '.join(ERP_COLS)} FROM (SELECT * FROM h WHERE _op IS NOT NULL AND "
+            f"{where} QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY commit_seq DESC)"
+            f" = 1) x WHERE _op <> 'DELETE'")
+
+
+Q["erp_history"] = _with(HISTORY) + "\nSELECT * FROM h WHERE _op IS NOT NULL"
+Q["as_of"] = _with(HISTORY) + "\n" + _state("committed_at <= TIMESTAMP '1998-01-01 00:00:00'")
+Q["before_offset"] = _with(HISTORY) + "\n" + _state(
+    "committed_at < TIMESTAMP '1998-01-01 01:00:00' - INTERVAL 3600 SECOND")
+Q["before_commit"] = _with(HISTORY) + "\n" + _state(
+    "commit_seq < (SELECT min(commit_seq) FROM h WHERE commit_id = 'C199801')")
+
+_payload = [c for c in ERP_COLS if c != "order_id"]
+_o_row = "row(" + ", ".join(f"o.{c}" for c in _payload) + ")"
+_c_row = "row(" + ", ".join(f"c.{c}" for c in _payload) + ")"
+Q["restore"] = _with(HISTORY, "old AS (" + _state(
+    "commit_seq < (SELECT min(commit_seq) FROM h WHERE commit_id = 'C199801')") + ")",
+    "cur AS (" + _state("TRUE") + ")", f"""
+j AS (SELECT o.*, c.*, o.order_id AS _oid, c.order_id AS _cid,
+             CASE WHEN c.order_id IS NULL THEN 'INSERT'
+                  WHEN o.order_id IS NULL THEN 'DELETE'
+                  WHEN {_o_row} IS DISTINCT FROM {_c_row} THEN 'UPDATE' END AS _op,
+             {', '.join(f"CASE WHEN o.order_id IS NULL THEN c.{c} ELSE o.{c} END AS v_{c}" for c in _payload)}
+      FROM (SELECT * FROM old) o FULL OUTER JOIN (SELECT * FROM cur) c
+        ON o.order_id = c.order_id)""") + f"""
+SELECT coalesce(_oid, _cid) AS order_id,
+       {', '.join(f"v_{c} AS {c}" for c in _payload)},
+       _op, 'R1' AS commit_id, (SELECT max(commit_seq) + 1 FROM h WHERE _op IS NOT NULL)
+         AS commit_seq,
+       {LOAD_2} AS committed_at
+FROM j WHERE _op IS NOT NULL"""
+
+Q["expire"] = _with(HISTORY, "hh AS (SELECT * FROM h WHERE _op IS NOT NULL)") + """
+SELECT * FROM hh WHERE committed_at > TIMESTAMP '1998-01-10 00:00:00' - INTERVAL 14 DAY
+UNION ALL
+SELECT * FROM (SELECT * FROM hh WHERE committed_at <= TIMESTAMP '1998-01-10 00:00:00'
+                 - INTERVAL 14 DAY
+               QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY commit_seq DESC) = 1) x
+WHERE _op <> 'DELETE'"""
+
+# ---------------------------------------------------------------- sources / streams
+Q["csv_load"] = _with(POS_RAW) + f"\nSELECT {', '.join(POS_COLS)} FROM pos_raw"
+Q["stream_ingest"] = Q["csv_load"]
+Q["json_array_load"] = _with(IOT_SILVER) + \
+    f"\nSELECT *, {LOAD_1} AS created_at, {LOAD_1} AS updated_at FROM iot"
+Q["parquet_load"] = _with(ERP_SILVER) + \
+    f"\nSELECT *, {LOAD_1} AS created_at, {LOAD_1} AS updated_at FROM erp"
+Q["stream_merge"] = _with(POS_SILVER) + \
+    f"\nSELECT *, {LOAD_1} AS created_at, {LOAD_1} AS updated_at FROM pos"

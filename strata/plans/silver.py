@@ -95,9 +95,10 @@ def clean_pos(changes: DataFrame, target: DataFrame | None = None, now=None) ->
 
 
 # ---------------------------------------------------------------- P2 ERP orders
-def erp_typed(changes: DataFrame, variant_col: str | None = None) -> DataFrame:
-    """Typed ERP change rows plus their ``_action``."""
-    return extract(changes, ERP_EXTRACT, variant_col, keep=[F.col(sc.ACTION)])
+def erp_typed(changes: DataFrame, variant_col: str | None = None,
+              keep: Sequence[str] = ()) -> DataFrame:
+    """Typed ERP change rows plus their ``_action`` (and ``keep`` columns)."""
+    return extract(changes, ERP_EXTRACT, variant_col, keep=[sc.ACTION, *keep])
 
 
 def dedup_erp(typed: DataFrame, tiebreak=True) -> DataFrame:
@@ -123,16 +124,14 @@ def inventory(raw: DataFrame, variant_col: str | None = None) -> DataFrame:
 
 
 # ---------------------------------------------------------------- P4 IoT
-def iot_flatten(raw: DataFrame, variant_col: str = "row_col", position: str = "_apos") -> DataFrame:
-    """One row per reading x alert of every sensor document.
+def iot_events(raw: DataFrame, variant_col: str = "row_col") -> DataFrame:
+    """Event-level fields of each sensor document (B3, B4) plus its two arrays.
 
-    Event-level fields are extracted before the arrays are unnested so they
-    are computed once per document.  Readings are unnested inner (a document
-    without readings vanishes), alerts outer (a NULL alert row when alerts
-    are missing, null or empty); ``position`` keeps the alert's index.
+    ``metadata`` fields are nested object paths; the dialect's ``::INT`` is a
+    rounding 38-digit decimal, narrowed to the stored width (overflow raises).
     """
     v = variant_col
-    event = raw.select(
+    return raw.select(
         vget(v, "store_id", "varchar").alias("store_id"),
         vget(v, "store_name", "varchar").alias("store_name"),
         vget(v, "device_id", "varchar").alias("device_id"),
@@ -146,7 +145,18 @@ def iot_flatten(raw: DataFrame, variant_col: str = "row_col", position: str = "_
         vitems(v, "readings").alias("_readings"),
         vitems(v, "alerts").alias("_alerts"),
     )
-    r = unnest(event, "_readings", "_r")
+
+
+def iot_flatten(raw: DataFrame, variant_col: str = "row_col", position: str = "_apos") -> DataFrame:
+    """One row per reading x alert of every sensor document.
+
+    Event-level fields are extracted before the arrays are unnested so they
+    are computed once per document.  Readings are unnested inner (a document
+    without readings vanishes), alerts outer (a NULL alert row when alerts
+    are missing, null or empty); ``position`` keeps the alert's index.
+    Unnesting is narrow: it runs in the scan stage, before any shuffle.
+    """
+    r = unnest(iot_events(raw, variant_col), "_readings", "_r")
     a = unnest(r, "_alerts", "_a", outer=True, position=position)
     return a.select(
         vget("_a", "alert_type", "varchar").alias("alert_type"),
