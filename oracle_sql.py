@@ -106,7 +106,7 @@ erp_raw AS (
 )"""
 
 
-def erp_typed(src: str) -> str:
+def erp_typed(src: str, extra: str = "") -> str:
     return f"""SELECT CAST(order_id AS VARCHAR) AS order_id,
          CAST(order_date AS TIMESTAMP) AS order_date,
          CAST(order_status AS VARCHAR) AS order_status,
@@ -126,7 +126,7 @@ def erp_typed(src: str) -> str:
          CAST(supplier_name AS VARCHAR) AS supplier_name,
          CAST(supplier_city AS VARCHAR) AS supplier_city,
          CAST(warehouse_id AS VARCHAR) AS warehouse_id,
-         _action
+         _action{extra}
   FROM {src}"""
 
 
@@ -405,7 +405,7 @@ ch AS (SELECT t.*, 'C' || strftime(CAST(_shipdate AS DATE), '%Y%m') AS commit_id
               CAST(year(_shipdate) * 12 + month(_shipdate) AS BIGINT) AS commit_seq,
               CAST(date_trunc('month', CAST(_shipdate AS DATE)) + INTERVAL 1 MONTH AS TIMESTAMP)
                 AS committed_at
-       FROM ({erp_typed('erp_raw')}, _shipdate FROM erp_raw) t),
+       FROM ({erp_typed('erp_raw', ', _shipdate')}) t),
 chd AS (SELECT * FROM ch QUALIFY row_number() OVER
           (PARTITION BY order_id, commit_seq ORDER BY {ERP_ORDER}) = 1),
 hx AS (SELECT *, coalesce(lag(_action) OVER (PARTITION BY order_id ORDER BY commit_seq)

@@ -197,12 +197,14 @@ def _land_pos_by_year(spark: SparkSession, d: str, files_per_year: int = 2) -> s
     micro-batch always sees them together.
     """
     landing = scratch_path(spark, "pos_landing")
-    raw = mapping.pos_raw(spark, d, with_version=True).withColumn("_y", F.year("_shipdate"))
+    raw = (mapping.pos_raw(spark, d, with_version=True)
+                  .withColumn("_y", F.year("_shipdate")).persist())
     years = [r[0] for r in raw.select("_y").distinct().orderBy("_y").collect()]
     for y in years:
         part = raw.filter(F.col("_y") == y).drop("_y", "_shipdate")
         (part.repartition(files_per_year, "transaction_id").write.mode("append")
              .option("header", True).csv(landing))
+    raw.unpersist()
     return landing
 
 
@@ -223,8 +225,9 @@ def stream_merge(spark: SparkSession, d: str) -> DataFrame:
     """Stream of POS change files deduplicated and merged per micro-batch
     into the partitioned ``cleaned_pos_transaction`` table (J3-J6, P1)."""
     landing = _land_pos_by_year(spark, d)
+    # Month partitions: at this scale a day holds a handful of rows.
     table = MergeTable(spark, scratch_path(spark, "cleaned_pos"), sc.POS_KEYS, sc.POS_CLEAN,
-                       partition_by="transaction_date")
+                       partition_by="transaction_date", granularity="month")
     stream = change_stream(spark, landing, "csv", sc.POS_RAW, max_files_per_trigger=2)
     load = dt.datetime.fromisoformat(catalog.LOAD_1)
     q = cdc_into(stream, table, silver.dedup_pos, name="pos_merge",

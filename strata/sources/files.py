@@ -84,7 +84,9 @@ def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = 10000) -> N
     (at most ``rows_per_file`` rows) is joined into one array text and
     written as its own file, so no file or task holds more than a batch.
     """
-    texts = df.select(F.to_json(F.struct(*df.columns)).alias("j"))
+    full = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+            "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    texts = df.select(F.to_json(F.struct(*df.columns), full).alias("j"))
     spark = df.sparkSession
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key, None)

@@ -1,25 +1,24 @@
 """A Parquet table folder that accepts MERGE batches and keeps a history.
 
-Stock Spark refuses MERGE/UPDATE/DELETE on plain Parquet, and no table
-format is available, so a merge is done as:
-
-1. find the partitions the batch touches (a semi join on the partition
-   column -- dynamic partition pruning reads only those partitions);
-2. run :func:`strata.operators.merge.classify` on them and checkpoint the
-   labelled rows into the shared checkpoint folder (cuts the lineage, and
-   the rows are needed twice);
-3. append the changed rows to the history table (partitioned by commit day);
-4. overwrite exactly the touched partitions (dynamic partition overwrite),
-   and remove partitions the batch emptied;
-5. record the commit in a small commit log.
-
-Work per batch is proportional to the touched partitions, not the table.
-A replayed batch (same ``commit_id``) whose commit is logged is skipped; one
-that failed after step 3 reuses the logged history rows and its time, and
-steps 2-4 are idempotent for the same batch and time.
-
-POS partitions by ``transaction_date``; keyed tables without a date use a
-hash bucket of the key (``bucket_count`` folders).
+Stock Spark refuses MERGE/UPDATE/DELETE on plain Parquet and no table format
+is installed, so a merge is copy-on-write at partition level:
+
+1. the partitions the batch touches are found with a semi join on the
+   partition column (dynamic partition pruning reads only those);
+2. :func:`strata.operators.merge.classify` labels their rows against the
+   batch; the labelled rows are checkpointed into the shared checkpoint
+   folder (cuts the lineage; they are used three times);
+3. the changed rows are appended to the history (partitioned by commit day);
+4. exactly the touched partitions are overwritten (dynamic partition
+   overwrite), and partitions the batch emptied are removed;
+5. the commit is logged as done.
+
+Per-batch work is proportional to the touched partitions, not the table.
+The partition value is a day or month of a date column (POS), or a hash
+bucket of the key (tables without a date key).  A commit id logged as done
+is skipped; one logged as started (a failed attempt) reuses that attempt's
+time and skips history rows already written, and steps 2-4 are idempotent
+for the same batch and time.
 """
 
 from __future__ import annotations
@@ -33,19 +32,22 @@ from pyspark.sql import types as T
 
 from strata.operators.merge import AUDIT, classify, merge_changes, merged_table
 
-BUCKET = "_bucket"
+PART = "_part"
 
 
 class MergeTable:
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
                  schema: T.StructType, partition_by: str | None = None,
-                 bucket_count: int = 64):
+                 granularity: str = "day", bucket_count: int = 64):
+        if granularity not in ("day", "month"):
+            raise ValueError("granularity must be 'day' or 'month'")
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
-        self.columns = [f.name for f in schema.fields if f.name not in AUDIT]
         self.schema = schema
+        self.columns = [f.name for f in schema.fields if f.name not in AUDIT]
         self.partition_by = partition_by
+        self.granularity = granularity
         self.bucket_count = bucket_count
 
     # ------------------------------------------------------------ layout
@@ -61,116 +63,122 @@ class MergeTable:
     def log_path(self) -> str:
         return self.path + "/_commits"
 
-    def _part_col(self) -> str:
-        return self.partition_by or BUCKET
-
-    def _part_expr(self, df: DataFrame, prefix: str = "") -> Column:
+    def part_of(self, df: DataFrame, prefix: str = "") -> Column:
+        """Partition value of each row (columns may carry a prefix)."""
         if self.partition_by:
-            return F.col(prefix + self.partition_by)
+            c = F.col(prefix + self.partition_by).cast("date")
+            return F.trunc(c, "month") if self.granularity == "month" else c
         return F.pmod(F.xxhash64(*[F.col(prefix + k) for k in self.keys]),
                       F.lit(self.bucket_count))
 
-    def _exists(self, path: str) -> bool:
+    def _part_type(self) -> T.DataType:
+        return T.DateType() if self.partition_by else T.LongType()
+
+    def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _exists(self, path: str) -> bool:
+        p, fs = self._fs(path)
         return bool(fs.exists(p))
 
-    def _delete_partitions(self, values: list) -> None:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+    def _delete_partitions(self, values) -> None:
         for v in values:
             name = "__HIVE_DEFAULT_PARTITION__" if v is None else str(v)
-            p = jvm.org.apache.hadoop.fs.Path(f"{self.data_path}/{self._part_col()}={name}")
-            p.getFileSystem(conf).delete(p, True)
+            p, fs = self._fs(f"{self.data_path}/{PART}={name}")
+            fs.delete(p, True)
 
     # ------------------------------------------------------------ reads
-    def read(self) -> DataFrame:
-        """Current content (without the bucket column)."""
+    def _stored(self) -> DataFrame:
+        stored = T.StructType(list(self.schema.fields) + [T.StructField(PART, self._part_type())])
         if not self._exists(self.data_path):
-            return self.spark.createDataFrame([], self.schema)
-        df = (self.spark.read.schema(self._stored_schema())
-                  .option("basePath", self.data_path).parquet(self.data_path))
-        return df.select(*[f.name for f in self.schema.fields])
+            return self.spark.createDataFrame([], stored)
+        return (self.spark.read.schema(stored).option("basePath", self.data_path)
+                    .parquet(self.data_path))
 
-    def _stored_schema(self) -> T.StructType:
-        fields = list(self.schema.fields)
-        if not self.partition_by:
-            fields.append(T.StructField(BUCKET, T.LongType()))
-        return T.StructType(fields)
+    def read(self) -> DataFrame:
+        """Current content."""
+        return self._stored().drop(PART)
 
     def history(self) -> DataFrame:
+        """Changed rows of every commit: payload, ``_op`` and commit columns."""
         return self.spark.read.parquet(self.history_path)
 
     def commits(self) -> DataFrame:
         return self.spark.read.parquet(self.log_path)
 
-    def _logged(self, commit_id: str) -> bool:
-        if not self._exists(self.log_path):
-            return False
-        return not self.commits().filter(F.col("commit_id") == commit_id).isEmpty()
+    def _log(self, commit_id: str, seq: int, now: dt.datetime, state: str) -> None:
+        self.spark.createDataFrame(
+            [(commit_id, seq, now, state)],
+            "commit_id string, commit_seq long, committed_at timestamp_ntz, state string",
+        ).write.mode("append").parquet(self.log_path)
 
-    def _next_seq(self) -> int:
+    def _log_state(self, commit_id: str):
+        """(done?, started row or None, next sequence number)."""
         if not self._exists(self.log_path):
-            return 1
-        return int(self.commits().agg(F.max("commit_seq")).first()[0] or 0) + 1
+            return False, None, 1
+        log = self.commits()
+        rows = log.filter(F.col("commit_id") == commit_id).collect()
+        done = any(r.state == "done" for r in rows)
+        started = next((r for r in rows if r.state == "started"), None)
+        nxt = int(log.agg(F.max("commit_seq")).first()[0] or 0) + 1
+        return done, started, nxt
 
     # ------------------------------------------------------------ merge
     def merge(self, source: DataFrame, commit_id: str, *, now: dt.datetime | None = None,
               delete_when: Column | None = None, update_when: Column | None = None,
               insert_when: Column | None = None) -> bool:
         """Apply one batch; returns False when the commit was already done."""
-        if self._logged(commit_id):
+        done, started, seq = self._log_state(commit_id)
+        if done:
             return False
-        seq = self._next_seq()
-        hist_rows = None
-        if self._exists(self.history_path):
-            hist_rows = self.history().filter(F.col("commit_id") == commit_id)
-            first = hist_rows.select("committed_at").limit(1).collect()
-            if first:
-                now = first[0][0]
-            else:
-                hist_rows = None
-        now = now or dt.datetime.now().replace(microsecond=0)
-
-        part = self._part_col()
-        src_parts = source.select(self._part_expr(source).alias("_p")).distinct()
-        current = self.read()
-        if not self.partition_by:
-            current = current.withColumn(BUCKET, self._part_expr(current))
-        touched = current.join(src_parts, current[part].eqNullSafe(src_parts["_p"]), "left_semi")
-        labelled = classify(touched.drop(BUCKET) if not self.partition_by else touched,
-                            source, self.keys, columns=self.columns,
+        history_written = False
+        if started is not None:
+            seq, now = started.commit_seq, started.committed_at
+            if self._exists(self.history_path):
+                day = now.date() if isinstance(now, dt.datetime) else now
+                history_written = not (self.history()
+                                       .filter((F.col("commit_date") == F.lit(day))
+                                               & (F.col("commit_id") == commit_id))
+                                       .isEmpty())
+        else:
+            now = now or dt.datetime.now().replace(microsecond=0)
+            self._log(commit_id, seq, now, "started")
+
+        src_parts = source.select(self.part_of(source).alias("_p")).distinct()
+        current = self._stored()
+        touched = current.join(src_parts, current[PART].eqNullSafe(src_parts["_p"]),
+                               "left_semi").drop(PART)
+        labelled = classify(touched, source, self.keys, columns=self.columns,
                             delete_when=delete_when, update_when=update_when,
                             insert_when=insert_when, now=now).checkpoint(eager=True)
 
-        if hist_rows is None:
+        if not history_written:
             changes = merge_changes(labelled, self.columns).select(
-                "*", F.lit(commit_id).alias("commit_id"), F.lit(seq).cast("long").alias("commit_seq"),
+                "*", F.lit(commit_id).alias("commit_id"),
+                F.lit(seq).cast("long").alias("commit_seq"),
                 F.lit(now).cast("timestamp_ntz").alias("committed_at"),
                 F.lit(now).cast("date").alias("commit_date"))
             changes.write.mode("append").partitionBy("commit_date").parquet(self.history_path)
 
         new_rows = merged_table(labelled, self.columns)
-        if not self.partition_by:
-            new_rows = new_rows.withColumn(BUCKET, self._part_expr(new_rows))
+        new_rows = new_rows.withColumn(PART, self.part_of(new_rows))
         (new_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy(part).parquet(self.data_path))
+                 .partitionBy(PART).parquet(self.data_path))
 
-        # Partitions whose every row was deleted are not rewritten by a
-        # dynamic overwrite; remove them.  Both sets hold partition values
-        # only (bounded by the partitions the batch touched).
+        # A dynamic overwrite does not touch partitions without output rows;
+        # remove the ones this batch emptied.  Both sets hold partition
+        # values only (bounded by the partitions the batch touched).
         had = (labelled.filter(F.col("_merge").isin("keep", "update", "delete"))
-                       .select(self._part_expr(labelled, "t__").alias("p")).distinct())
+                       .select(self.part_of(labelled, "t__").alias("p")).distinct())
         before = {r[0] for r in had.collect()}
         if before:
-            after = {r[0] for r in new_rows.select(F.col(part)).distinct().collect()}
+            after = {r[0] for r in new_rows.select(PART).distinct().collect()}
             emptied = sorted(before - after, key=str)
             if emptied:
                 self._delete_partitions(emptied)
 
-        self.spark.createDataFrame(
-            [(commit_id, seq, now)],
-            "commit_id string, commit_seq long, committed_at timestamp_ntz",
-        ).write.mode("append").parquet(self.log_path)
+        self._log(commit_id, seq, now, "done")
+        labelled.unpersist()
         return True
