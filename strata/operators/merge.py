@@ -16,10 +16,11 @@ no         yes         ``insert_when``         inserted, both audit times = now
 no         yes         otherwise               ignored
 =========  ==========  ======================  ===============================
 
-Keys match by plain equality, so rows with a NULL key never match.  They are
-routed around the join (a NULL key would otherwise put all of them into one
-shuffle partition): target rows with a NULL key are kept, source rows with a
-NULL key are inserted when ``insert_when`` allows.
+Keys match by plain equality, so rows with a NULL key never match: target
+rows with a NULL key are kept, source rows with a NULL key are inserted when
+``insert_when`` allows.  The dedup before a merge leaves at most one
+NULL-key source row per group; a table that still gathers many can ask for
+a salt column that spreads them over many shuffle partitions.
 """
 
 from __future__ import annotations
@@ -64,43 +65,63 @@ def _no_null_key(df: DataFrame, keys: Sequence[str], prefix: str = "") -> Column
     return cond
 
 
+def _salt(df: DataFrame, keys: Sequence[str], prefix: str) -> Column:
+    """0 for rows with a full key; a deterministic 1..NULL_SALTS otherwise.
+
+    It is an extra equi-join key: NULL-key rows still never match (their
+    key equality is NULL), but they spread over many hash partitions instead
+    of one.  It is a hash of the row, so a recomputed task routes every row
+    to the same partition again.
+    """
+    return (F.when(_no_null_key(df, keys, prefix), F.lit(0))
+             .otherwise(F.lit(1) + F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]),
+                                          F.lit(NULL_SALTS))))
+
+
+NULL_SALTS = 1024
+
+
 def classify(target: DataFrame | None, source: DataFrame, keys: Sequence[str], *,
              columns: Sequence[str] | None = None,
              delete_when: Column | None = None,
              update_when: Column | None = None,
              insert_when: Column | None = None,
-             now=None, check_unique: bool = False) -> DataFrame:
+             now=None, check_unique: bool = False,
+             spread_null_keys: bool = False) -> DataFrame:
     """Full outer join of table and batch, one labelled row per outcome.
 
     ``columns`` are the payload columns written to the table (default: the
     source columns).  Conditions refer to ``src(...)`` / ``tgt(...)``;
     ``update_when`` and ``insert_when`` default to always.  ``target=None``
-    is an empty table.  The result has ``t__*`` and ``s__*`` columns, the
-    audit columns of the target, and ``_merge``.
+    is an empty table: no join, every source row is an insert candidate.
+    The result has ``t__*`` and ``s__*`` columns, the target's audit
+    columns, and ``_merge``.
+
+    The join is on the keys alone, so a source already hash-partitioned by
+    them (the dedup window) is not shuffled again.  ``spread_null_keys``
+    adds the salt key for tables that collect many NULL-key rows (it costs
+    that reuse).
     """
     columns = list(columns or [c for c in source.columns])
     if check_unique:
         assert_unique(source, keys)
-    spark = source.sparkSession
-    if target is None:
-        schema = source.select(*columns).schema
-        target = spark.createDataFrame([], schema)
-        for a in AUDIT:
-            target = target.withColumn(a, F.lit(None).cast("timestamp_ntz"))
-    t = _prefixed(target.select(*columns, *AUDIT), TGT).withColumn("_t", F.lit(True))
     s = _prefixed(source, SRC).withColumn("_s", F.lit(True))
-
-    t_ok, s_ok = _no_null_key(t, keys, TGT), _no_null_key(s, keys, SRC)
-    on = None
-    for k in keys:
-        eq = F.col(TGT + k) == F.col(SRC + k)
-        on = eq if on is None else on & eq
-    joined = t.filter(t_ok).join(s.filter(s_ok), on, "full_outer")
-    # NULL-key rows skip the join; they can never match anything.
-    t_null = t.filter(~t_ok)
-    s_null = s.filter(~s_ok)
-    joined = (joined.unionByName(t_null, allowMissingColumns=True)
-                    .unionByName(s_null, allowMissingColumns=True))
+    if target is None:
+        joined = s.select("*", *[F.lit(None).cast(source.schema[c].dataType).alias(TGT + c)
+                                 for c in columns],
+                          *[F.lit(None).cast("timestamp_ntz").alias(TGT + a) for a in AUDIT],
+                          F.lit(None).cast("boolean").alias("_t"))
+    else:
+        t = _prefixed(target.select(*columns, *AUDIT), TGT).withColumn("_t", F.lit(True))
+        on = None
+        for k in keys:
+            eq = F.col(TGT + k) == F.col(SRC + k)
+            on = eq if on is None else on & eq
+        if spread_null_keys:
+            t = t.withColumn("_salt_t", _salt(t, keys, TGT))
+            s = s.withColumn("_salt_s", _salt(s, keys, SRC))
+            on = on & (F.col("_salt_t") == F.col("_salt_s"))
+        joined = t.join(s, on, "full_outer").drop("_salt_t", "_salt_s")
 
     has_t = F.col("_t").isNotNull()
     has_s = F.col("_s").isNotNull()
