@@ -169,12 +169,13 @@ def merge_changes(classified: DataFrame, columns: Sequence[str]) -> DataFrame:
 def merge(target: DataFrame | None, source: DataFrame, keys: Sequence[str], *,
           columns: Sequence[str] | None = None, delete_when: Column | None = None,
           update_when: Column | None = None, insert_when: Column | None = None,
-          now=None, check_unique: bool = False) -> DataFrame:
+          now=None, check_unique: bool = False,
+          spread_null_keys: bool = False) -> DataFrame:
     """``MERGE INTO target USING source`` returning the new table."""
     columns = list(columns or source.columns)
     c = classify(target, source, keys, columns=columns, delete_when=delete_when,
                  update_when=update_when, insert_when=insert_when, now=now,
-                 check_unique=check_unique)
+                 check_unique=check_unique, spread_null_keys=spread_null_keys)
     return merged_table(c, columns)
 
 

@@ -1,0 +1,70 @@
+import datetime as dt
+import os
+import tempfile
+import time
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strata import schemas as sc
+from strata.operators import history as H
+from strata.operators.merge import src
+from strata.plans import silver
+from strata.sources.merge_table import MergeTable
+from strata.streaming.cdc import cdc_into
+from strata.streaming.ingest import change_stream
+
+T0, T1 = dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 2)
+
+
+def erp_rows(spark, rows):
+    names = sc.names(sc.ERP_COLUMNS)
+    data = [tuple(r.get(c) for c in names) + (r.get("_action"),) for r in rows]
+    fields = [f for f in sc.ERP_CLEAN.fields if f.name in names]
+    return spark.createDataFrame(data, T.StructType(fields + [T.StructField("_action", T.StringType())]))
+
+
+def test_merge_table_delete_replay_and_history(spark):
+    path = tempfile.mkdtemp(prefix="erp-table-")
+    t = MergeTable(spark, path, sc.ERP_KEYS, sc.ERP_CLEAN, bucket_count=4)
+    act = src("_action")
+    kw = dict(delete_when=act == "DELETE", update_when=act == "INSERT", insert_when=act == "INSERT")
+    b1 = erp_rows(spark, [dict(order_id="O1", order_status="new", _action="INSERT"),
+                          dict(order_id="O2", order_status="new", _action="INSERT")])
+    assert t.merge(silver.dedup_erp(b1), "b1", now=T0, **kw)
+    assert not t.merge(silver.dedup_erp(b1), "b1", now=T0, **kw)     # replay skipped
+    b2 = erp_rows(spark, [dict(order_id="O1", _action="DELETE"),
+                          dict(order_id="O2", order_status="shipped", _action="INSERT"),
+                          dict(order_id="O2", _action="DELETE"),
+                          dict(order_id="O9", _action="DELETE")])
+    assert t.merge(silver.dedup_erp(b2), "b2", now=T1, **kw)
+    cur = {r.order_id: (r.order_status, r.created_at, r.updated_at) for r in t.read().collect()}
+    assert cur == {"O2": ("shipped", T0, T1)}
+    h = t.history()
+    assert sorted((r.order_id, r._op) for r in h.collect()) == \
+        [("O1", "DELETE"), ("O1", "INSERT"), ("O2", "INSERT"), ("O2", "UPDATE")]
+    # the table read as of its last commit equals the table
+    now = {r.order_id: r.order_status for r in H.as_of(h, sc.ERP_KEYS, T1).collect()}
+    assert now == {k: v[0] for k, v in cur.items()}
+    # a bucket emptied by deletes is removed, not left stale
+    assert t.read().count() == 1
+
+
+def test_stream_merge_equals_batch(spark):
+    land = tempfile.mkdtemp(prefix="pos-land-")
+    header = ",".join(sc.names(sc.POS_COLUMNS))
+    row = "{0},S1,n,c,r,C,K,2024-01-05,{1},P,N,cat,sub,1,1.00,0.00,{2},CARD,1\n"
+    for i, body in enumerate([row.format("T1", "10:00:00", "1.00") + row.format("T2", "10:00:00", "2.00"),
+                              row.format("T1", "11:00:00", "5.00")]):
+        with open(os.path.join(land, f"f{i}.csv"), "w") as f:
+            f.write(header + "\n" + body)
+        time.sleep(1.1)
+    t = MergeTable(spark, tempfile.mkdtemp(prefix="pos-tab-"), sc.POS_KEYS, sc.POS_CLEAN,
+                   partition_by="transaction_date")
+    stream = change_stream(spark, land, "csv", sc.POS_RAW, max_files_per_trigger=1)
+    cdc_into(stream, t, silver.dedup_pos, "pos", tempfile.mkdtemp(prefix="pos-ck-"),
+             now=lambda b: T0 + dt.timedelta(minutes=b)).awaitTermination()
+    got = {r.transaction_id: (str(r.total_amount), r.created_at, r.updated_at)
+           for r in t.read().collect()}
+    assert got == {"T1": ("5.00", T0, T0 + dt.timedelta(minutes=1)), "T2": ("2.00", T0, T0)}
+    assert t.commits().filter(F.col("state") == "done").count() == 2
