@@ -467,3 +467,12 @@ Q["parquet_load"] = _with(ERP_SILVER) + \
     f"\nSELECT *, {LOAD_1} AS created_at, {LOAD_1} AS updated_at FROM erp"
 Q["stream_merge"] = _with(POS_SILVER) + \
     f"\nSELECT *, {LOAD_1} AS created_at, {LOAD_1} AS updated_at FROM pos"
+
+Q["stream_erp"] = _with(ERP_RAW, f"""
+yearly AS (SELECT * FROM ({erp_typed('erp_raw', ', year(_shipdate) AS _y')})
+           QUALIFY row_number() OVER (PARTITION BY order_id, _y ORDER BY {ERP_ORDER}) = 1),
+last AS (SELECT * FROM yearly
+         QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY _y DESC) = 1)""") + f"""
+SELECT {', '.join(ERP_COLS)}, {LOAD_1} AS created_at, {LOAD_1} AS updated_at
+FROM last WHERE _action = 'INSERT'"""
+Q["stream_iot"] = Q["json_array_load"]

@@ -20,7 +20,7 @@ from strata.operators import history as hist
 from strata.operators.changes import change_feed as _change_feed
 from strata.operators.dedup import latest_per_key
 from strata.operators.flatten import unnest
-from strata.operators.merge import update_where as _update_where
+from strata.operators.merge import src, update_where as _update_where
 from strata.plans import catalog, mapping, silver
 from strata.session import scratch_path
 from strata.sources import files
@@ -129,25 +129,32 @@ def erp_history(spark: SparkSession, d: str) -> DataFrame:
     return hist.history_from_changes(ch, sc.ERP_KEYS)
 
 
+def stored_history(spark: SparkSession, d: str) -> DataFrame:
+    """The history written once (checkpoint into the shared folder), as the
+    time-travel reads see a stored history table; the reads below use it
+    several times (states, scalar subqueries)."""
+    return erp_history(spark, d).checkpoint(eager=True)
+
+
 def as_of(spark: SparkSession, d: str) -> DataFrame:
-    return hist.as_of(erp_history(spark, d), sc.ERP_KEYS, AS_OF_TS)
+    return hist.as_of(stored_history(spark, d), sc.ERP_KEYS, AS_OF_TS)
 
 
 def before_offset(spark: SparkSession, d: str) -> DataFrame:
-    return hist.before_offset(erp_history(spark, d), sc.ERP_KEYS, OFFSET_SECONDS, OFFSET_NOW)
+    return hist.before_offset(stored_history(spark, d), sc.ERP_KEYS, OFFSET_SECONDS, OFFSET_NOW)
 
 
 def before_commit(spark: SparkSession, d: str) -> DataFrame:
-    return hist.before_commit(erp_history(spark, d), sc.ERP_KEYS, RESTORE_COMMIT)
+    return hist.before_commit(stored_history(spark, d), sc.ERP_KEYS, RESTORE_COMMIT)
 
 
 def restore(spark: SparkSession, d: str) -> DataFrame:
-    return hist.restore(erp_history(spark, d), sc.ERP_KEYS, RESTORE_COMMIT, catalog.LOAD_2,
+    return hist.restore(stored_history(spark, d), sc.ERP_KEYS, RESTORE_COMMIT, catalog.LOAD_2,
                         RESTORE_ID)
 
 
 def expire(spark: SparkSession, d: str) -> DataFrame:
-    return hist.expire(erp_history(spark, d), sc.ERP_KEYS, EXPIRE_DAYS, EXPIRE_NOW)
+    return hist.expire(stored_history(spark, d), sc.ERP_KEYS, EXPIRE_DAYS, EXPIRE_NOW)
 
 
 # ---------------------------------------------------------------- sources
@@ -234,3 +241,50 @@ def stream_merge(spark: SparkSession, d: str) -> DataFrame:
                  checkpoint=scratch_path(spark, "pos_merge_ckpt"), now=lambda _id: load)
     q.awaitTermination()
     return table.read()
+
+
+def stream_erp(spark: SparkSession, d: str) -> DataFrame:
+    """ERP change files arriving one ship year at a time; after each arrival
+    a scheduled run (``availableNow``) merges what is new into ``erp_orders``
+    with delete / update / insert (A5 for Parquet, J4, P2)."""
+    raw = (mapping.erp_raw(spark, d).withColumn("_y", F.year("_shipdate"))
+                  .drop("_shipdate").persist())
+    years = [r[0] for r in raw.select("_y").distinct().orderBy("_y").collect()]
+    landing = scratch_path(spark, "erp_landing")
+    table = MergeTable(spark, scratch_path(spark, "erp_orders"), sc.ERP_KEYS, sc.ERP_CLEAN,
+                       bucket_count=16)
+    ckpt = scratch_path(spark, "erp_merge_ckpt")
+    schema = raw.drop("_y").schema
+    act = src(sc.ACTION)
+    load = dt.datetime.fromisoformat(catalog.LOAD_1)
+    for y in years:
+        (raw.filter(F.col("_y") == y).drop("_y").repartition(2, "order_id")
+            .write.mode("append").parquet(landing))
+        stream = change_stream(spark, landing, "parquet", schema)
+        cdc_into(stream, table, lambda b: silver.dedup_erp(silver.erp_typed(b)),
+                 name="erp_merge", checkpoint=ckpt, now=lambda _id: load,
+                 delete_when=act == "DELETE", update_when=act == "INSERT",
+                 insert_when=act == "INSERT").awaitTermination()
+    raw.unpersist()
+    return table.read()
+
+
+def stream_iot(spark: SparkSession, d: str) -> DataFrame:
+    """Sensor JSON-array files streamed into ``device_event_readings_from_IOT``:
+    typed read, VARIANT rows, flatten, dedup, merge (A2 + A5, J4, P4)."""
+    landing = scratch_path(spark, "iot_landing")
+    files.write_json_arrays(mapping.iot_docs(spark, d), landing, rows_per_file=2000)
+    table = MergeTable(spark, scratch_path(spark, "iot_readings"), sc.IOT_KEYS, sc.IOT_CLEAN,
+                       bucket_count=16)
+    stream = change_stream(spark, landing, "json", sc.IOT_DOC, max_files_per_trigger=4,
+                           multiLine="true", mode="FAILFAST")
+
+    def prepare(batch: DataFrame) -> DataFrame:
+        docs = batch.select(F.to_variant_object(F.struct(*batch.columns)).alias("row_col"))
+        return silver.dedup_iot(silver.iot_flatten(docs))
+
+    load = dt.datetime.fromisoformat(catalog.LOAD_1)
+    cdc_into(stream, table, prepare, name="iot_merge",
+             checkpoint=scratch_path(spark, "iot_merge_ckpt"),
+             now=lambda _id: load).awaitTermination()
+    return table.read()
