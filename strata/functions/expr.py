@@ -58,3 +58,9 @@ def as_cents_avg(total_cents, count) -> Column:
     exact decimals, and one IEEE division is done at the end.
     """
     return _c(total_cents).cast("double") / (F.lit(100.0) * _c(count).cast("double"))
+
+
+def shift(ts, amount: int, unit: str = "HOUR") -> Column:
+    """``dateadd(unit, amount, ts)``, e.g. ``shift(now, -1)`` is one hour ago."""
+    c = F.lit(ts).cast("timestamp_ntz") if not isinstance(ts, Column) else ts
+    return F.timestamp_add(unit.upper(), F.lit(amount), c)

@@ -182,3 +182,37 @@ class MergeTable:
         self._log(commit_id, seq, now, "done")
         labelled.unpersist()
         return True
+
+    # ------------------------------------------------------------ recovery
+    def restore_to(self, commit_id: str, new_commit_id: str,
+                   now: dt.datetime | None = None) -> bool:
+        """``CREATE OR REPLACE TABLE t AS SELECT * FROM t BEFORE (STATEMENT => id)``.
+
+        The earlier state is rebuilt from the history (a filter plus a top-1
+        per key), the differing rows are appended to the history as a new
+        commit, and the data folder is rewritten with the earlier state.
+        Replaying the same ``new_commit_id`` is a no-op.
+        """
+        from strata.operators import history as H
+
+        done, started, seq = self._log_state(new_commit_id)
+        if done:
+            return False
+        now = (started.committed_at if started is not None else
+               now or dt.datetime.now().replace(microsecond=0))
+        if started is None:
+            self._log(new_commit_id, seq, now, "started")
+        hist = self.history().drop("commit_date").checkpoint(eager=True)
+        fix = H.restore(hist, self.keys, commit_id, now, new_commit_id)
+        (fix.withColumn("commit_seq", F.lit(seq).cast("long"))
+            .withColumn("commit_date", F.lit(now).cast("date"))
+            .write.mode("append").partitionBy("commit_date").parquet(self.history_path))
+        old = H.before_commit(hist, self.keys, commit_id)
+        # audit columns are not versioned: restored rows are stamped ``now``
+        old = old.select(*self.columns, F.lit(now).cast("timestamp_ntz").alias("created_at"),
+                         F.lit(now).cast("timestamp_ntz").alias("updated_at"))
+        (old.withColumn(PART, self.part_of(old))
+            .write.mode("overwrite").option("partitionOverwriteMode", "static")
+            .partitionBy(PART).parquet(self.data_path))
+        self._log(new_commit_id, seq, now, "done")
+        return True

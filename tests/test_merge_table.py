@@ -68,3 +68,42 @@ def test_stream_merge_equals_batch(spark):
            for r in t.read().collect()}
     assert got == {"T1": ("5.00", T0, T0 + dt.timedelta(minutes=1)), "T2": ("2.00", T0, T0)}
     assert t.commits().filter(F.col("state") == "done").count() == 2
+
+
+def test_restore_table_to_before_commit(spark):
+    path = tempfile.mkdtemp(prefix="erp-restore-")
+    t = MergeTable(spark, path, sc.ERP_KEYS, sc.ERP_CLEAN, bucket_count=4)
+    act = src("_action")
+    kw = dict(delete_when=act == "DELETE", update_when=act == "INSERT", insert_when=act == "INSERT")
+    t.merge(silver.dedup_erp(erp_rows(spark, [dict(order_id="ORD_000001", order_status="new",
+                                                   _action="INSERT")])), "c1", now=T0, **kw)
+    # the recovery demo: one order's status is changed by mistake
+    bad = t.read().filter(F.col("order_id") == "ORD_000001") \
+        .withColumn("order_status", F.lit("Changed")).withColumn("_action", F.lit("INSERT"))
+    t.merge(bad.drop("created_at", "updated_at"), "c2", now=T1, **kw)
+    assert t.read().first().order_status == "Changed"
+    assert t.restore_to("c2", "r1", now=T1 + dt.timedelta(hours=1))
+    assert [r.order_status for r in t.read().collect()] == ["new"]
+    assert not t.restore_to("c2", "r1")
+    ops = sorted((r.commit_id, r._op) for r in t.history().collect())
+    assert ops == [("c1", "INSERT"), ("c2", "UPDATE"), ("r1", "UPDATE")]
+
+
+def test_register_views_and_shift(spark):
+    from strata.functions.expr import shift
+    from strata.plans import gold
+    pos = spark.createDataFrame([("S", "P", dt.date(2024, 1, 1), 1, 2)],
+                                "store_id string, product_sku string, transaction_date date, "
+                                "quantity int, total_amount int")
+    erp = spark.createDataFrame([("S", "P", dt.datetime(2024, 1, 1, 5), 1)],
+                                "store_id string, product_sku string, order_date timestamp_ntz, "
+                                "total_cost int")
+    iot = spark.createDataFrame([("S", "n", "t", 1, "TEMP_BREACH", "HIGH", "e",
+                                  dt.datetime(2024, 1, 1, 3))],
+                                "store_id string, store_name string, sensor_name string, "
+                                "sensor_value int, alert_type string, severity string, "
+                                "event_type string, event_timestamp timestamp_ntz")
+    names = gold.register_views(pos, erp, iot)
+    assert spark.sql(f"SELECT gross_margin FROM {names[1]}").first()[0] == 1
+    assert spark.range(1).select(shift(dt.datetime(2024, 1, 1, 1), -1).alias("x")).first().x == \
+        dt.datetime(2024, 1, 1)
