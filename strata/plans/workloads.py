@@ -111,13 +111,18 @@ def update_where(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- history
 def erp_history(spark: SparkSession, d: str) -> DataFrame:
-    """History of ``erp_orders`` with one commit per ship month.
+    """History of ``erp_orders`` with one commit per ship month."""
+    return erp_history_from(mapping.erp_raw(spark, d))
+
+
+def erp_history_from(raw: DataFrame) -> DataFrame:
+    """History of ERP change rows (with ``_shipdate``), one commit per ship month.
 
     Changes of one order within a month are reduced to one (INSERT first,
     newest order time), then INSERT/UPDATE/DELETE follow from the order's
     previous action.
     """
-    typed = silver.erp_typed(mapping.erp_raw(spark, d), keep=["_shipdate"])
+    typed = silver.erp_typed(raw, keep=["_shipdate"])
     ship = F.to_date("_shipdate")
     ch = typed.select(
         *[c for c in typed.columns if c != "_shipdate"],
