@@ -213,7 +213,8 @@ ORDER BY transaction_date"""
 
 Q["running_total"] = _with(POS_SILVER) + f"""
 SELECT store_id, store_name, trans_date,
-       CASE WHEN total_amount IS NOT NULL THEN greatest(total_amount, 0) END AS total_amount,
+       CAST(CASE WHEN total_amount IS NOT NULL THEN greatest(total_amount, 0) END
+            AS DECIMAL(12,2)) AS total_amount,
        CAST(sum(total_amount) OVER (PARTITION BY store_id ORDER BY trans_date
             RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW) AS {MONEY}) AS running_total
 FROM (SELECT store_id, store_name, CAST(transaction_date AS DATE) AS trans_date, total_amount
