@@ -11,7 +11,7 @@ is installed, so a merge is copy-on-write at partition level:
 3. the changed rows are appended to the history (partitioned by commit day);
 4. exactly the touched partitions are overwritten (dynamic partition
    overwrite), and partitions the batch emptied are removed;
-5. the commit is logged as done.
+5. the commit is logged as done (one marker file per commit).
 
 Per-batch work is proportional to the touched partitions, not the table.
 The partition value is a day or month of a date column (POS), or a hash
@@ -24,6 +24,8 @@ for the same batch and time.
 from __future__ import annotations
 
 import datetime as dt
+import json
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -106,24 +108,53 @@ class MergeTable:
         return self.spark.read.parquet(self.history_path)
 
     def commits(self) -> DataFrame:
-        return self.spark.read.parquet(self.log_path)
+        """The commit log (one small JSON document per commit)."""
+        return self.spark.read.schema(
+            "commit_id string, commit_seq long, committed_at string, state string"
+        ).json(self.log_path).withColumn("committed_at",
+                                         F.col("committed_at").cast("timestamp_ntz"))
+
+    # One marker file per commit, written and read through the Hadoop file
+    # system (like Spark's own streaming metadata logs): checking a commit is
+    # one existence test, however many commits the table has.
+    def _marker(self, commit_id: str) -> str:
+        safe = "".join(ch if ch.isalnum() or ch in "-_." else "_" for ch in commit_id)
+        return f"{self.log_path}/{safe}.json"
+
+    def _read_marker(self, commit_id: str) -> dict | None:
+        p, fs = self._fs(self._marker(commit_id))
+        if not fs.exists(p):
+            return None
+        stream = fs.open(p)
+        try:
+            reader = self.spark.sparkContext._jvm.java.io.BufferedReader(
+                self.spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            doc = json.loads(reader.readLine())
+        finally:
+            stream.close()
+        doc["committed_at"] = dt.datetime.fromisoformat(doc["committed_at"])
+        return doc
 
     def _log(self, commit_id: str, seq: int, now: dt.datetime, state: str) -> None:
-        self.spark.createDataFrame(
-            [(commit_id, seq, now, state)],
-            "commit_id string, commit_seq long, committed_at timestamp_ntz, state string",
-        ).write.mode("append").parquet(self.log_path)
+        p, fs = self._fs(self._marker(commit_id))
+        out = fs.create(p, True)
+        try:
+            doc = {"commit_id": commit_id, "commit_seq": seq,
+                   "committed_at": now.isoformat(sep=" "), "state": state}
+            out.write(bytearray(json.dumps(doc).encode("utf-8")))
+        finally:
+            out.close()
 
     def _log_state(self, commit_id: str):
-        """(done?, started row or None, next sequence number)."""
-        if not self._exists(self.log_path):
-            return False, None, 1
-        log = self.commits()
-        rows = log.filter(F.col("commit_id") == commit_id).collect()
-        done = any(r.state == "done" for r in rows)
-        started = next((r for r in rows if r.state == "started"), None)
-        nxt = int(log.agg(F.max("commit_seq")).first()[0] or 0) + 1
-        return done, started, nxt
+        """(done?, started marker or None, sequence number for a new commit).
+
+        Sequence numbers come from the writer's clock (microseconds), so they
+        grow from commit to commit without reading the log.
+        """
+        doc = self._read_marker(commit_id)
+        if doc is not None and doc["state"] == "done":
+            return True, None, doc["commit_seq"]
+        return False, doc, time.time_ns() // 1000
 
     # ------------------------------------------------------------ merge
     def merge(self, source: DataFrame, commit_id: str, *, now: dt.datetime | None = None,
@@ -135,7 +166,7 @@ class MergeTable:
             return False
         history_written = False
         if started is not None:
-            seq, now = started.commit_seq, started.committed_at
+            seq, now = started["commit_seq"], started["committed_at"]
             if self._exists(self.history_path):
                 day = now.date() if isinstance(now, dt.datetime) else now
                 history_written = not (self.history()
@@ -160,11 +191,15 @@ class MergeTable:
                 F.lit(seq).cast("long").alias("commit_seq"),
                 F.lit(now).cast("timestamp_ntz").alias("committed_at"),
                 F.lit(now).cast("date").alias("commit_date"))
-            changes.write.mode("append").partitionBy("commit_date").parquet(self.history_path)
+            (changes.hint("rebalance").write.mode("append").partitionBy("commit_date")
+                    .parquet(self.history_path))
 
         new_rows = merged_table(labelled, self.columns)
         new_rows = new_rows.withColumn(PART, self.part_of(new_rows))
-        (new_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        # rebalance by partition value: AQE packs each partition's rows into
+        # files of the advisory size (and splits a hot partition value)
+        (new_rows.hint("rebalance", PART).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic")
                  .partitionBy(PART).parquet(self.data_path))
 
         # A dynamic overwrite does not touch partitions without output rows;
@@ -198,20 +233,22 @@ class MergeTable:
         done, started, seq = self._log_state(new_commit_id)
         if done:
             return False
-        now = (started.committed_at if started is not None else
-               now or dt.datetime.now().replace(microsecond=0))
+        if started is not None:
+            seq, now = started["commit_seq"], started["committed_at"]
+        else:
+            now = now or dt.datetime.now().replace(microsecond=0)
         if started is None:
             self._log(new_commit_id, seq, now, "started")
         hist = self.history().drop("commit_date").checkpoint(eager=True)
         fix = H.restore(hist, self.keys, commit_id, now, new_commit_id)
         (fix.withColumn("commit_seq", F.lit(seq).cast("long"))
-            .withColumn("commit_date", F.lit(now).cast("date"))
+            .withColumn("commit_date", F.lit(now).cast("date")).hint("rebalance")
             .write.mode("append").partitionBy("commit_date").parquet(self.history_path))
         old = H.before_commit(hist, self.keys, commit_id)
         # audit columns are not versioned: restored rows are stamped ``now``
         old = old.select(*self.columns, F.lit(now).cast("timestamp_ntz").alias("created_at"),
                          F.lit(now).cast("timestamp_ntz").alias("updated_at"))
-        (old.withColumn(PART, self.part_of(old))
+        (old.withColumn(PART, self.part_of(old)).hint("rebalance", PART)
             .write.mode("overwrite").option("partitionOverwriteMode", "static")
             .partitionBy(PART).parquet(self.data_path))
         self._log(new_commit_id, seq, now, "done")
