@@ -22,7 +22,7 @@ from strata.operators.dedup import latest_per_key
 from strata.operators.flatten import unnest
 from strata.operators.merge import src, update_where as _update_where
 from strata.plans import catalog, mapping, silver
-from strata.session import scratch_path
+from strata.session import ensure_checkpoint_dir, scratch_path
 from strata.sources import files
 from strata.sources.audit import ingest_audit as _ingest_audit
 from strata.sources.merge_table import MergeTable
@@ -138,6 +138,7 @@ def stored_history(spark: SparkSession, d: str) -> DataFrame:
     """The history written once (checkpoint into the shared folder), as the
     time-travel reads see a stored history table; the reads below use it
     several times (states, scalar subqueries)."""
+    ensure_checkpoint_dir(spark)
     return erp_history(spark, d).checkpoint(eager=True)
 
 

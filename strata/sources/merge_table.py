@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.merge import AUDIT, classify, merge_changes, merged_table
+from strata.session import ensure_checkpoint_dir
 
 PART = "_part"
 
@@ -51,6 +52,7 @@ class MergeTable:
         self.partition_by = partition_by
         self.granularity = granularity
         self.bucket_count = bucket_count
+        ensure_checkpoint_dir(spark)
 
     # ------------------------------------------------------------ layout
     @property

@@ -6,7 +6,7 @@ import tempfile
 from strata import schemas as sc
 from strata.plans import silver
 from strata.sources import files
-from strata.sources.audit import ingest_audit
+from strata.sources.audit import ingest_audit, stream_status
 from strata.streaming.ingest import ingest_stream
 
 HEADER = ",".join(sc.names(sc.POS_COLUMNS))
@@ -50,7 +50,9 @@ def test_ingest_stream_loads_new_files_once(spark):
     out, ckpt = tempfile.mkdtemp(prefix="sink-"), tempfile.mkdtemp(prefix="ckpt-")
     row = "T{0},S1,n,c,r,C,K,2024-01-05,10:00:00,P,N,cat,sub,1,1.00,0.00,1.00,CARD,1\n"
     _write(land, "a.csv", HEADER + "\n" + row.format(1))
-    ingest_stream(spark, "csv", land, sc.POS_RAW, ckpt, out).awaitTermination()
+    q = ingest_stream(spark, "csv", land, sc.POS_RAW, ckpt, out)
+    q.awaitTermination()
+    assert stream_status(q)["last_progress"]["numInputRows"] == 1
     assert spark.read.parquet(out).count() == 1
     ingest_stream(spark, "csv", land, sc.POS_RAW, ckpt, out).awaitTermination()
     assert spark.read.parquet(out).count() == 1            # restart: nothing new
