@@ -97,3 +97,34 @@ def test_clean_pos_late_batch_overwrites(spark):
     assert late.store_id == "S2" and late.created_at == T0 and late.updated_at == T1
     # NULL transaction ids never match, so they are inserted again
     assert sorted(r.store_id for r in t2 if r.transaction_id is None) == ["SN", "SN2"]
+
+
+def test_pos_merge_ignores_actions_and_null_time_wins(spark):
+    # A DELETE row of the change stream is upserted like any other row;
+    # Within a batch the NULL time is the latest.
+    d = dt.date(2024, 1, 5)
+    b = _pos(spark, [dict(transaction_id="T1", transaction_date=d, transaction_time="12:00:00",
+                          store_id="S1"),
+                     dict(transaction_id="T1", transaction_date=d, transaction_time=None,
+                          store_id="SNULL")]).withColumn("_action", F.lit("DELETE"))
+    out = silver.clean_pos(b, None, now=T0).collect()
+    assert [(r.transaction_id, r.store_id) for r in out] == [("T1", "SNULL")]
+
+
+def test_erp_cast_list_rounds_and_types(spark):
+    raw = spark.createDataFrame(
+        [("ORD_000001", dt.datetime(2024, 1, 1, 8), 2.7, 2.5, 3, 12345, "INSERT")],
+        "order_id string, order_date timestamp_ntz, quantity_ordered double, "
+        "quantity_received double, lead_time_days int, store_id long, _action string")
+    for c in ["order_status", "category", "product_sku", "store_city", "supplier_id",
+              "supplier_name", "supplier_city", "warehouse_id"]:
+        raw = raw.withColumn(c, F.lit(None).cast("string"))
+    raw = (raw.withColumn("expected_delivery", F.lit(None).cast("date"))
+              .withColumn("actual_delivery", F.lit(None).cast("date"))
+              .withColumn("is_late", F.lit(None).cast("boolean"))
+              .withColumn("unit_cost", F.lit("1.005").cast("decimal(12,3)"))
+              .withColumn("total_cost", F.lit("2.675").cast("decimal(13,3)")))
+    r = silver.erp_typed(raw).first()
+    assert r.quantity_ordered == 3 and r.quantity_received == 3 and r.lead_time_days == 3
+    assert str(r.unit_cost) == "1.01" and str(r.total_cost) == "2.68"
+    assert r.store_id == "12345"
