@@ -255,3 +255,32 @@ class MergeTable:
             .partitionBy(PART).parquet(self.data_path))
         self._log(new_commit_id, seq, now, "done")
         return True
+
+    def expire(self, days: int, now: dt.datetime | None = None) -> int:
+        """Retention (``DATA_RETENTION_TIME_IN_DAYS``) on the history.
+
+        Only commit-day partitions up to the horizon day are rewritten: rows
+        committed after the horizon stay, of the older ones only the version
+        valid at the horizon survives (none for a delete).  Returns the
+        number of partitions rewritten or removed.
+        """
+        from strata.operators import history as H
+
+        if not self._exists(self.history_path):
+            return 0
+        now = now or dt.datetime.now().replace(microsecond=0)
+        horizon = now - dt.timedelta(days=days)
+        hist = self.history()
+        old = hist.filter(F.col("commit_date") <= F.lit(horizon.date()))
+        parts = {r[0] for r in old.select("commit_date").distinct().collect()}
+        if not parts:
+            return 0
+        kept = H.expire(old, self.keys, days, now).checkpoint(eager=True)
+        (kept.hint("rebalance", "commit_date").write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("commit_date")
+             .parquet(self.history_path))
+        left = {r[0] for r in kept.select("commit_date").distinct().collect()}
+        for day in sorted(parts - left):
+            p, fs = self._fs(f"{self.history_path}/commit_date={day}")
+            fs.delete(p, True)
+        return len(parts)

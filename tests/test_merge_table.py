@@ -107,3 +107,26 @@ def test_register_views_and_shift(spark):
     assert spark.sql(f"SELECT gross_margin FROM {names[1]}").first()[0] == 1
     assert spark.range(1).select(shift(dt.datetime(2024, 1, 1, 1), -1).alias("x")).first().x == \
         dt.datetime(2024, 1, 1)
+
+
+def test_history_retention_keeps_state_at_horizon(spark):
+    path = tempfile.mkdtemp(prefix="erp-expire-")
+    t = MergeTable(spark, path, sc.ERP_KEYS, sc.ERP_CLEAN, bucket_count=4)
+    act = src("_action")
+    kw = dict(delete_when=act == "DELETE", update_when=act == "INSERT", insert_when=act == "INSERT")
+    days = [dt.datetime(2024, 1, d) for d in (1, 5, 10, 20)]
+    for i, (status, when) in enumerate(zip(["a", "b", "c", "d"], days)):
+        rows = [dict(order_id="O1", order_status=status, _action="INSERT")]
+        if i == 1:
+            rows.append(dict(order_id="O2", order_status="x", _action="INSERT"))
+        if i == 2:
+            rows.append(dict(order_id="O2", _action="DELETE"))
+        t.merge(silver.dedup_erp(erp_rows(spark, rows)), f"c{i}", now=when, **kw)
+    now = dt.datetime(2024, 1, 26)
+    before = {d: {r.order_id: r.order_status for r in H.as_of(t.history(), sc.ERP_KEYS, d).collect()}
+              for d in (dt.datetime(2024, 1, 12), dt.datetime(2024, 1, 21))}
+    assert t.expire(14, now) == 3
+    h = t.history()
+    assert sorted(r.commit_id for r in h.collect()) == ["c2", "c3"]
+    for d, state in before.items():
+        assert {r.order_id: r.order_status for r in H.as_of(h, sc.ERP_KEYS, d).collect()} == state
