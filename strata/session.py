@@ -80,19 +80,5 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return f"{base}/strata/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that needs an OS path (tests)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through the Hadoop file system of the session."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
-
-
-__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "local_path",
-           "path_exists", "BASE_CONF"]
+__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "BASE_CONF"]
 

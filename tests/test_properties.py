@@ -5,7 +5,6 @@ import decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from strata.functions.expr import order_desc
 from strata.operators.dedup import latest_per_key
