@@ -3,8 +3,9 @@
 Stock Spark refuses MERGE/UPDATE/DELETE on plain Parquet and no table format
 is installed, so a merge is copy-on-write at partition level:
 
-1. the partitions the batch touches are found with a semi join on the
-   partition column (dynamic partition pruning reads only those);
+1. the partitions the batch touches are listed (distinct partition values,
+   bounded by the partitioning) and only those are read, through a static
+   partition filter;
 2. :func:`strata.operators.merge.classify` labels their rows against the
    batch; the labelled rows are checkpointed into the shared checkpoint
    folder (cuts the lineage; they are used three times);
@@ -159,6 +160,24 @@ class MergeTable:
         return False, doc, time.time_ns() // 1000
 
     # ------------------------------------------------------------ merge
+    def partitions_of(self, source: DataFrame) -> list:
+        """Distinct partition values of a batch.
+
+        At most one value per partition of the table (a day, a month or a
+        bucket), a bound set by the partitioning, not by the data volume.
+        """
+        return [r[0] for r in source.select(self.part_of(source).alias("_p"))
+                                    .distinct().collect()]
+
+    def touched(self, parts: list) -> DataFrame:
+        """Rows of the listed partitions only: a static partition filter, so
+        the scan lists and reads just those folders (``PartitionFilters``)."""
+        values = [v for v in parts if v is not None]
+        cond = F.col(PART).isin(values) if values else F.lit(False)
+        if any(v is None for v in parts):
+            cond = cond | F.col(PART).isNull()
+        return self._stored().filter(cond).drop(PART)
+
     def merge(self, source: DataFrame, commit_id: str, *, now: dt.datetime | None = None,
               delete_when: Column | None = None, update_when: Column | None = None,
               insert_when: Column | None = None) -> bool:
@@ -179,10 +198,11 @@ class MergeTable:
             now = now or dt.datetime.now().replace(microsecond=0)
             self._log(commit_id, seq, now, "started")
 
-        src_parts = source.select(self.part_of(source).alias("_p")).distinct()
-        current = self._stored()
-        touched = current.join(src_parts, current[PART].eqNullSafe(src_parts["_p"]),
-                               "left_semi").drop(PART)
+        # The batch is used twice (its partition values, then the merge), so
+        # it is kept for the duration of the commit.
+        source = source.persist()
+        parts = self.partitions_of(source)
+        touched = self.touched(parts)
         labelled = classify(touched, source, self.keys, columns=self.columns,
                             delete_when=delete_when, update_when=update_when,
                             insert_when=insert_when, now=now).checkpoint(eager=True)
@@ -218,6 +238,7 @@ class MergeTable:
 
         self._log(commit_id, seq, now, "done")
         labelled.unpersist()
+        source.unpersist()
         return True
 
     # ------------------------------------------------------------ recovery

@@ -130,3 +130,25 @@ def test_history_retention_keeps_state_at_horizon(spark):
     assert sorted(r.commit_id for r in h.collect()) == ["c2", "c3"]
     for d, state in before.items():
         assert {r.order_id: r.order_status for r in H.as_of(h, sc.ERP_KEYS, d).collect()} == state
+
+
+def test_merge_reads_only_touched_partitions(spark):
+    t = MergeTable(spark, tempfile.mkdtemp(prefix="pos-dpp-"), sc.POS_KEYS, sc.POS_CLEAN,
+                   partition_by="transaction_date")
+    names = sc.names(sc.POS_COLUMNS)
+    mk = lambda tid, day, amt: tuple({"transaction_id": tid, "transaction_date": day,
+                                      "total_amount": amt}.get(c) for c in names)
+    import decimal
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    b1 = spark.createDataFrame([mk("A", d1, decimal.Decimal(1)), mk("B", d2, decimal.Decimal(2)),
+                                mk("N", None, decimal.Decimal(3))], sc.POS_RAW)
+    t.merge(silver.dedup_pos(b1), "c1", now=T0)
+    b2 = spark.createDataFrame([mk("A", d1, decimal.Decimal(5))], sc.POS_RAW)
+    parts = t.partitions_of(b2)
+    assert parts == [d1]
+    plan = t.touched(parts)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_part" in plan and "_part" in plan.split("PartitionFilters")[1]
+    assert t.touched(parts).count() == 1
+    t.merge(silver.dedup_pos(b2), "c2", now=T1)
+    got = {r.transaction_id: str(r.total_amount) for r in t.read().collect()}
+    assert got == {"A": "5.00", "B": "2.00", "N": "3.00"}
