@@ -28,7 +28,7 @@ from strata import schemas as sc
 from strata.operators.merge import src
 from strata.plans import silver
 from strata.sources.merge_table import MergeTable
-from strata.streaming.cdc import cdc_into, run_cdc
+from strata.streaming.cdc import cdc_into
 from strata.streaming.ingest import change_stream
 
 
@@ -98,20 +98,16 @@ def start_silver_tasks(spark: SparkSession, layout: Layout, erp_schema: T.Struct
         out["iot"] = cdc_into(stream, t["iot"], _iot_prepare, "iot_merge",
                               layout.ckpt("iot_merge"), trigger)
     if "inventory" in which:
+        # A plain insert (no key, no dedup): a projection of the stream into
+        # the file sink, which commits each micro-batch exactly once through
+        # its own metadata log -- no foreachBatch needed.
         stream = change_stream(spark, layout.land("inventory"), "parquet", inventory_schema)
-        target = layout.table("inventory_snapshots")
-
-        def append(batch: DataFrame, batch_id: int) -> None:
-            # Plain insert as in the reference (no key, no dedup).  Each
-            # micro-batch owns the partition ``_batch=<id>`` and overwrites
-            # it, so a batch replayed after a failure replaces its first
-            # attempt instead of appending the rows twice.
-            (silver.inventory(batch).withColumn("_batch", F.lit(batch_id).cast("long"))
-                   .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                   .partitionBy("_batch").parquet(target))
-
-        out["inventory"] = run_cdc(stream, append, layout.ckpt("inventory_append"), trigger,
-                                   name="inventory_append")
+        w = (silver.inventory(stream).writeStream.format("parquet")
+                   .option("checkpointLocation", layout.ckpt("inventory_append"))
+                   .queryName("inventory_append"))
+        w = w.trigger(availableNow=True) if trigger in (None, "availableNow") \
+            else w.trigger(processingTime=trigger)
+        out["inventory"] = w.start(layout.table("inventory_snapshots"))
     return out
 
 
@@ -119,4 +115,4 @@ def read_silver(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     """The current silver tables (for the gold views)."""
     t = tables(spark, layout)
     return {"pos": t["pos"].read(), "erp": t["erp"].read(), "iot": t["iot"].read(),
-            "inventory": spark.read.parquet(layout.table("inventory_snapshots")).drop("_batch")}
+            "inventory": spark.read.parquet(layout.table("inventory_snapshots"))}
