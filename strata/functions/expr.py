@@ -6,6 +6,8 @@ expressions stay inside whole-stage code generation.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +16,21 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def ts_lit(value) -> Column:
+    """A ``TIMESTAMP_NTZ`` literal from a naive ``datetime``, a date or a string.
+
+    Goes through the ISO text, so no session or process time zone is
+    involved (``F.lit(datetime)`` would make a zoned TIMESTAMP first).
+    """
+    if isinstance(value, Column):
+        return value
+    if isinstance(value, dt.datetime):
+        value = value.isoformat(sep=" ")
+    elif isinstance(value, dt.date):
+        value = value.isoformat()
+    return F.lit(value).cast("timestamp_ntz")
+
+
 def clamp_floor(x, floor=0) -> Column:
     """``greatest(x, floor)`` that stays NULL when ``x`` is NULL.
 
@@ -62,5 +79,4 @@ def as_cents_avg(total_cents, count) -> Column:
 
 def shift(ts, amount: int, unit: str = "HOUR") -> Column:
     """``dateadd(unit, amount, ts)``, e.g. ``shift(now, -1)`` is one hour ago."""
-    c = F.lit(ts).cast("timestamp_ntz") if not isinstance(ts, Column) else ts
-    return F.timestamp_add(unit.upper(), F.lit(amount), c)
+    return F.timestamp_add(unit.upper(), F.lit(amount), ts_lit(ts))

@@ -30,6 +30,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.expr import ts_lit
+
 SRC, TGT = "s__", "t__"
 OUTCOME = "_merge"
 KEEP, UPDATE, INSERT, DELETE, IGNORE = "keep", "update", "insert", "delete", "ignore"
@@ -51,7 +53,7 @@ def _lit_ts(now) -> Column:
         return now
     if now is None:
         return F.localtimestamp()
-    return F.lit(now).cast("timestamp_ntz")
+    return ts_lit(now)
 
 
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:

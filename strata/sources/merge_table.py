@@ -33,12 +33,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.expr import ts_lit
 from strata.operators.merge import AUDIT, classify, merge_changes, merged_table
 from strata.session import ensure_checkpoint_dir
 
 PART = "_part"
 
 
+def _day(ts):
+    return ts.date() if isinstance(ts, dt.datetime) else ts
+
+
 class MergeTable:
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
                  schema: T.StructType, partition_by: str | None = None,
@@ -211,8 +216,8 @@ class MergeTable:
             changes = merge_changes(labelled, self.columns).select(
                 "*", F.lit(commit_id).alias("commit_id"),
                 F.lit(seq).cast("long").alias("commit_seq"),
-                F.lit(now).cast("timestamp_ntz").alias("committed_at"),
-                F.lit(now).cast("date").alias("commit_date"))
+                ts_lit(now).alias("committed_at"),
+                F.lit(_day(now)).cast("date").alias("commit_date"))
             (changes.hint("rebalance").write.mode("append").partitionBy("commit_date")
                     .parquet(self.history_path))
 
@@ -265,12 +270,12 @@ class MergeTable:
         hist = self.history().drop("commit_date").checkpoint(eager=True)
         fix = H.restore(hist, self.keys, commit_id, now, new_commit_id)
         (fix.withColumn("commit_seq", F.lit(seq).cast("long"))
-            .withColumn("commit_date", F.lit(now).cast("date")).hint("rebalance")
+            .withColumn("commit_date", F.lit(_day(now)).cast("date")).hint("rebalance")
             .write.mode("append").partitionBy("commit_date").parquet(self.history_path))
         old = H.before_commit(hist, self.keys, commit_id)
         # audit columns are not versioned: restored rows are stamped ``now``
-        old = old.select(*self.columns, F.lit(now).cast("timestamp_ntz").alias("created_at"),
-                         F.lit(now).cast("timestamp_ntz").alias("updated_at"))
+        old = old.select(*self.columns, ts_lit(now).alias("created_at"),
+                         ts_lit(now).alias("updated_at"))
         (old.withColumn(PART, self.part_of(old)).hint("rebalance", PART)
             .write.mode("overwrite").option("partitionOverwriteMode", "static")
             .partitionBy(PART).parquet(self.data_path))

@@ -44,3 +44,17 @@ def test_variant_paths(spark):
     assert got[1].a is None  # lenient: a string that is not a number
     with pytest.raises(Exception):  # strict cast raises
         df.select(vget("v", "a", "int")).collect()
+
+
+def test_ts_lit_ignores_session_time_zone(spark):
+    import datetime as dt
+    from strata.functions.expr import ts_lit
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        v = dt.datetime(2024, 2, 1, 0, 0)
+        got = spark.range(1).select(ts_lit(v).alias("t"), ts_lit("2024-02-01 00:00:00")
+                                    .alias("u")).first()
+        assert got.t == v and got.u == v
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
