@@ -194,9 +194,8 @@ class MergeTable:
         if started is not None:
             seq, now = started["commit_seq"], started["committed_at"]
             if self._exists(self.history_path):
-                day = now.date() if isinstance(now, dt.datetime) else now
                 history_written = not (self.history()
-                                       .filter((F.col("commit_date") == F.lit(day))
+                                       .filter((F.col("commit_date") == F.lit(_day(now)))
                                                & (F.col("commit_id") == commit_id))
                                        .isEmpty())
         else:
@@ -265,7 +264,6 @@ class MergeTable:
             seq, now = started["commit_seq"], started["committed_at"]
         else:
             now = now or dt.datetime.now().replace(microsecond=0)
-        if started is None:
             self._log(new_commit_id, seq, now, "started")
         hist = self.history().drop("commit_date").checkpoint(eager=True)
         fix = H.restore(hist, self.keys, commit_id, now, new_commit_id)
