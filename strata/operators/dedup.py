@@ -44,3 +44,19 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return (df.withColumn("_rn", F.row_number().over(w))
               .filter(F.col("_rn") == 1)
               .drop("_rn"))
+
+
+def latest_per_key_agg(df: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
+    """Top-1 per key as an aggregate: the row with the greatest ``version``,
+    a NULL version first (the dialect's DESC order).
+
+    ``max_by`` over a struct is a hash aggregate with a map-side partial
+    step, so it also runs as a stateful streaming aggregation where a
+    ``row_number`` window is not allowed.  Rows tying on the version are
+    picked arbitrarily (the reference leaves ties open, too).
+    """
+    payload = [c for c in df.columns if c not in keys]
+    order = F.struct(F.col(version).isNull().alias("_null"), F.col(version).alias("_v"))
+    best = F.max_by(F.struct(*payload), order).alias("_row")
+    return df.groupBy(*keys).agg(best).select(*keys, *[F.col("_row." + c).alias(c)
+                                                       for c in payload])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strata import schemas as sc
 from strata.functions.expr import order_desc, to_number
-from strata.functions.paths import vget, vitems
+from strata.functions.paths import vget, vget_lenient, vitems
 from strata.operators.dedup import latest_per_key
 from strata.operators.flatten import unnest
 from strata.operators.merge import merge, src
@@ -62,19 +62,23 @@ def dialect_cast(c: Column, dialect: str) -> Column:
 
 
 def extract(df: DataFrame, spec: Sequence[tuple], variant_col: str | None = None,
-            keep: Sequence[str] = ()) -> DataFrame:
+            keep: Sequence[str] = (), lenient: bool = False) -> DataFrame:
     """Typed projection of raw rows.
 
     With ``variant_col`` the paths are read from that VARIANT column
     (``col:path::type``); otherwise the raw rows are already columnar
     (Parquet) and the same cast list is applied to the columns.  Casts are
-    strict: a value that does not fit raises.
+    strict: a value that does not fit raises.  ``lenient=True`` turns a
+    value that does not cast into NULL instead (``try_variant_get`` /
+    ``try_cast``).
     """
     cols = []
     for name, path, dialect, stored in spec:
-        c = (vget(variant_col, path, dialect) if variant_col
-             else dialect_cast(F.col(path), dialect))
-        cols.append(c.cast(stored).alias(name))
+        if variant_col:
+            c = (vget_lenient if lenient else vget)(variant_col, path, dialect)
+        else:
+            c = dialect_cast(F.col(path), dialect)
+        cols.append((c.try_cast(stored) if lenient else c.cast(stored)).alias(name))
     return df.select(*cols, *keep)
 
 

@@ -37,3 +37,22 @@ def test_erp_dedup_prefers_insert(spark):
     ).withColumn("order_date", F.col("order_date").cast("timestamp_ntz"))
     out = {r.order_id: r.v for r in silver.dedup_erp(df).collect()}
     assert out == {"O1": 2, "O2": 4}
+
+
+def test_aggregate_dedup_matches_window(spark):
+    from strata.operators.dedup import latest_per_key_agg
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 3, "y"), ("a", 2, "z"), ("b", None, "n"),
+                                ("b", 7, "m"), ("c", 5, "c")], "k string, t int, v string")
+    agg = {(r.k, r.t, r.v) for r in latest_per_key_agg(df, ["k"], "t").collect()}
+    win = {(r.k, r.t, r.v) for r in latest_per_key(df, ["k"], [order_desc("t")]).collect()}
+    assert agg == win == {("a", 3, "y"), ("b", None, "n"), ("c", 5, "c")}
+
+
+def test_lenient_extract(spark):
+    df = spark.createDataFrame([('{"q": "abc", "d": "2024-01-05"}',), ('{"q": 2.5}',)],
+                               "j string").select(F.parse_json("j").alias("v"))
+    spec = [("q", "q", "int", "decimal(10,0)"), ("d", "d", "date", "date")]
+    got = [tuple(r) for r in silver.extract(df, spec, "v", lenient=True).collect()]
+    import datetime as dt
+    import decimal
+    assert got == [(None, dt.date(2024, 1, 5)), (decimal.Decimal(3), None)]
