@@ -116,3 +116,23 @@ def read_silver(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     t = tables(spark, layout)
     return {"pos": t["pos"].read(), "erp": t["erp"].read(), "iot": t["iot"].read(),
             "inventory": spark.read.parquet(layout.table("inventory_snapshots"))}
+
+
+# The table names the silver layer is queried by.
+TABLE_NAMES = {
+    "pos": "cleaned_pos_transaction",
+    "erp": "erp_orders",
+    "inventory": "inventory_snapshots",
+    "iot": "device_event_readings_from_IOT",
+}
+
+
+def register_tables(spark: SparkSession, layout: Layout) -> list[str]:
+    """Temp views for the silver tables (by their table names) and the gold
+    views, so existing SQL runs unchanged through ``spark.sql``."""
+    from strata.plans import gold
+
+    t = read_silver(spark, layout)
+    for key, name in TABLE_NAMES.items():
+        t[key].createOrReplaceTempView(name)
+    return list(TABLE_NAMES.values()) + gold.register_views(t["pos"], t["erp"], t["iot"])

@@ -7,7 +7,7 @@ import pytest
 
 from strata.plans import gold, mapping
 from strata.sources import files
-from strata.streaming.tasks import Layout, read_silver, start_silver_tasks
+from strata.streaming.tasks import Layout, read_silver, register_tables, start_silver_tasks
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
@@ -34,3 +34,12 @@ def test_silver_tasks_then_gold(spark):
     assert t["inventory"].count() == inv.count()
     names = gold.register_views(t["pos"], t["erp"], t["iot"])
     assert spark.sql(f"SELECT count(*) FROM {names[2]}").first()[0] > 0
+    # existing SQL over the registered table names
+    register_tables(spark, lay)
+    daily = spark.sql("""
+        SELECT transaction_date, store_id, sum(quantity) AS unit_sold,
+               count(DISTINCT customer_id) AS unique_customers
+        FROM cleaned_pos_transaction GROUP BY transaction_date, store_id""")
+    assert daily.count() == gold.daily_sales(t["pos"]).select("transaction_date", "store_id") \
+        .distinct().count()
+    assert spark.sql("SELECT order_date::date AS d FROM erp_orders").count() == t["erp"].count()
