@@ -477,3 +477,4 @@ last AS (SELECT * FROM yearly
 SELECT {', '.join(ERP_COLS)}, {LOAD_1} AS created_at, {LOAD_1} AS updated_at
 FROM last WHERE _action = 'INSERT'"""
 Q["stream_iot"] = Q["json_array_load"]
+Q["stream_inventory"] = Q["inventory_extract"]

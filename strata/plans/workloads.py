@@ -294,3 +294,19 @@ def stream_iot(spark: SparkSession, d: str) -> DataFrame:
              checkpoint=scratch_path(spark, "iot_merge_ckpt"),
              now=lambda _id: load).awaitTermination()
     return table.read()
+
+
+def stream_inventory(spark: SparkSession, d: str) -> DataFrame:
+    """Inventory Parquet files auto-ingested into ``inventory_snapshots``
+    through the silver inventory task (file sink, exactly once) (A4 + A5, P3)."""
+    from strata.streaming.tasks import Layout, start_silver_tasks
+
+    root = scratch_path(spark, "inventory_task")
+    lay = Layout(landing=f"{root}/landing", silver=f"{root}/silver",
+                 checkpoints=f"{root}/checkpoints")
+    raw = mapping.inventory_raw(spark, d)
+    raw.repartition(4).write.mode("overwrite").parquet(lay.land("inventory"))
+    q = start_silver_tasks(spark, lay, erp_schema=None, inventory_schema=raw.schema,
+                           trigger="availableNow", which=("inventory",))["inventory"]
+    q.awaitTermination()
+    return spark.read.parquet(lay.table("inventory_snapshots"))

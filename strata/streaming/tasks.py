@@ -68,8 +68,9 @@ def _iot_prepare(batch: DataFrame) -> DataFrame:
     return silver.dedup_iot(silver.iot_flatten(docs))
 
 
-def start_silver_tasks(spark: SparkSession, layout: Layout, erp_schema: T.StructType,
-                       inventory_schema: T.StructType, trigger: str | None = "1 minute",
+def start_silver_tasks(spark: SparkSession, layout: Layout, erp_schema: T.StructType | None,
+                       inventory_schema: T.StructType | None,
+                       trigger: str | None = "1 minute",
                        which: tuple[str, ...] = ("pos", "erp", "iot", "inventory"),
                        ) -> dict[str, StreamingQuery]:
     """Start the silver tasks; returns the running queries by name.
