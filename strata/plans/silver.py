@@ -183,6 +183,13 @@ def dedup_iot(flat: DataFrame, position: str = "_apos", tiebreak=True) -> DataFr
     return out.drop(position)
 
 
+def iot_source_from_docs(docs: DataFrame) -> DataFrame:
+    """Merge source from typed sensor documents (a JSON-array file stream):
+    each document becomes one VARIANT value, then flatten and dedup."""
+    raw = docs.select(F.to_variant_object(F.struct(*docs.columns)).alias("row_col"))
+    return dedup_iot(iot_flatten(raw))
+
+
 def iot_readings(changes: DataFrame, target: DataFrame | None = None, now=None,
                  variant_col: str = "row_col") -> DataFrame:
     """``device_event_readings_from_IOT`` after one batch of documents."""

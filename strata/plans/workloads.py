@@ -284,13 +284,8 @@ def stream_iot(spark: SparkSession, d: str) -> DataFrame:
                        bucket_count=16)
     stream = change_stream(spark, landing, "json", sc.IOT_DOC, max_files_per_trigger=4,
                            multiLine="true", mode="FAILFAST")
-
-    def prepare(batch: DataFrame) -> DataFrame:
-        docs = batch.select(F.to_variant_object(F.struct(*batch.columns)).alias("row_col"))
-        return silver.dedup_iot(silver.iot_flatten(docs))
-
     load = dt.datetime.fromisoformat(catalog.LOAD_1)
-    cdc_into(stream, table, prepare, name="iot_merge",
+    cdc_into(stream, table, silver.iot_source_from_docs, name="iot_merge",
              checkpoint=scratch_path(spark, "iot_merge_ckpt"),
              now=lambda _id: load).awaitTermination()
     return table.read()

@@ -20,7 +20,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -63,11 +62,6 @@ def tables(spark: SparkSession, layout: Layout) -> dict[str, MergeTable]:
     }
 
 
-def _iot_prepare(batch: DataFrame) -> DataFrame:
-    docs = batch.select(F.to_variant_object(F.struct(*batch.columns)).alias("row_col"))
-    return silver.dedup_iot(silver.iot_flatten(docs))
-
-
 def start_silver_tasks(spark: SparkSession, layout: Layout, erp_schema: T.StructType | None,
                        inventory_schema: T.StructType | None,
                        trigger: str | None = "1 minute",
@@ -96,7 +90,7 @@ def start_silver_tasks(spark: SparkSession, layout: Layout, erp_schema: T.Struct
     if "iot" in which:
         stream = change_stream(spark, layout.land("iot"), "json", sc.IOT_DOC, multiLine="true",
                                mode="FAILFAST")
-        out["iot"] = cdc_into(stream, t["iot"], _iot_prepare, "iot_merge",
+        out["iot"] = cdc_into(stream, t["iot"], silver.iot_source_from_docs, "iot_merge",
                               layout.ckpt("iot_merge"), trigger)
     if "inventory" in which:
         # A plain insert (no key, no dedup): a projection of the stream into
