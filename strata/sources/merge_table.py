@@ -75,11 +75,14 @@ class MergeTable:
 
     def part_of(self, df: DataFrame, prefix: str = "") -> Column:
         """Partition value of each row (columns may carry a prefix)."""
+        return self._part_from(lambda name: F.col(prefix + name))
+
+    def _part_from(self, col_of) -> Column:
+        """Partition value built from ``col_of(column name)`` expressions."""
         if self.partition_by:
-            c = F.col(prefix + self.partition_by).cast("date")
+            c = col_of(self.partition_by).cast("date")
             return F.trunc(c, "month") if self.granularity == "month" else c
-        return F.pmod(F.xxhash64(*[F.col(prefix + k) for k in self.keys]),
-                      F.lit(self.bucket_count))
+        return F.pmod(F.xxhash64(*[col_of(k) for k in self.keys]), F.lit(self.bucket_count))
 
     def _part_type(self) -> T.DataType:
         return T.DateType() if self.partition_by else T.LongType()
@@ -229,16 +232,24 @@ class MergeTable:
                  .partitionBy(PART).parquet(self.data_path))
 
         # A dynamic overwrite does not touch partitions without output rows;
-        # remove the ones this batch emptied.  Both sets hold partition
-        # values only (bounded by the partitions the batch touched).
-        had = (labelled.filter(F.col("_merge").isin("keep", "update", "delete"))
-                       .select(self.part_of(labelled, "t__").alias("p")).distinct())
-        before = {r[0] for r in had.collect()}
-        if before:
-            after = {r[0] for r in new_rows.select(PART).distinct().collect()}
-            emptied = sorted(before - after, key=str)
-            if emptied:
-                self._delete_partitions(emptied)
+        # remove the ones this batch emptied.  One aggregate over the labels
+        # gives both sets; they hold partition values only (bounded by the
+        # partitions the batch touched).
+        o = F.col("_merge")
+        before = self._part_from(lambda k: F.col("t__" + k))
+        after = self._part_from(
+            lambda k: F.when(o == "insert", F.col("s__" + k)).otherwise(F.col("t__" + k)))
+        had, has = o.isin("keep", "update", "delete"), o.isin("keep", "update", "insert")
+        sets = labelled.agg(
+            F.collect_set(F.when(had, before)).alias("b"),
+            F.collect_set(F.when(has, after)).alias("a"),
+            F.max(had & before.isNull()).alias("b_null"),     # collect_set drops NULL
+            F.max(has & after.isNull()).alias("a_null")).first()
+        b = set(sets["b"]) | ({None} if sets["b_null"] else set())
+        a = set(sets["a"]) | ({None} if sets["a_null"] else set())
+        emptied = sorted(b - a, key=str)
+        if emptied:
+            self._delete_partitions(emptied)
 
         self._log(commit_id, seq, now, "done")
         labelled.unpersist()
