@@ -152,3 +152,21 @@ def test_merge_reads_only_touched_partitions(spark):
     t.merge(silver.dedup_pos(b2), "c2", now=T1)
     got = {r.transaction_id: str(r.total_amount) for r in t.read().collect()}
     assert got == {"A": "5.00", "B": "2.00", "N": "3.00"}
+
+
+def test_emptied_null_partition_is_removed(spark):
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("d", T.DateType()),
+                           T.StructField("v", T.IntegerType()),
+                           T.StructField("created_at", T.TimestampNTZType()),
+                           T.StructField("updated_at", T.TimestampNTZType())])
+    t = MergeTable(spark, tempfile.mkdtemp(prefix="null-part-"), ["k"], schema, partition_by="d")
+    act = src("a")
+    kw = dict(delete_when=act == "DELETE", update_when=act == "INSERT", insert_when=act == "INSERT")
+    b1 = spark.createDataFrame([("x", None, 1, "INSERT"), ("y", dt.date(2024, 1, 1), 2, "INSERT")],
+                               "k string, d date, v int, a string")
+    t.merge(b1, "c1", now=T0, **kw)
+    assert t.read().count() == 2
+    b2 = spark.createDataFrame([("x", None, 0, "DELETE")], "k string, d date, v int, a string")
+    t.merge(b2, "c2", now=T1, **kw)
+    assert [r.k for r in t.read().collect()] == ["y"]
+    assert not os.path.exists(os.path.join(t.data_path, "_part=__HIVE_DEFAULT_PARTITION__"))
