@@ -43,3 +43,14 @@ def test_silver_tasks_then_gold(spark):
     assert daily.count() == gold.daily_sales(t["pos"]).select("transaction_date", "store_id") \
         .distinct().count()
     assert spark.sql("SELECT order_date::date AS d FROM erp_orders").count() == t["erp"].count()
+
+
+def test_cli_arguments():
+    from strata.__main__ import build_parser
+    a = build_parser().parse_args(["tasks", "--landing", "L", "--silver", "S",
+                                   "--checkpoints", "C", "--trigger", "availableNow",
+                                   "--only", "pos,iot"])
+    assert (a.command, a.trigger, a.only) == ("tasks", "availableNow", "pos,iot")
+    b = build_parser().parse_args(["sql", "--landing", "L", "--silver", "S",
+                                   "--checkpoints", "C", "SELECT 1"])
+    assert b.statement == "SELECT 1"
