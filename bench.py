@@ -45,9 +45,13 @@ def timed(name, fn, out, repeat: int = 1):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    extra = {"spark.driver.memory": "16g"}
+    log_dir = os.environ.get("BENCH_EVENT_LOG")   # a scratch folder for stage / task times
+    if log_dir:
+        os.makedirs(log_dir, exist_ok=True)
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir})
     spark = build_session(f"local[{cpus}]", app="strata-bench",
-                          shuffle_partitions=max(8, 2 * cpus),
-                          extra={"spark.driver.memory": "16g"})
+                          shuffle_partitions=max(8, 2 * cpus), extra=extra)
     # Warm-up: the same query shapes once on the smallest data set (JIT of the
     # scan / sort / shuffle / writer code paths), so timings are steady state.
     small = os.path.join(os.path.dirname(sf_dir), "sf0.001")
