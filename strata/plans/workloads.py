@@ -198,7 +198,7 @@ def inventory_load(spark: SparkSession, d: str) -> DataFrame:
 def ingest_audit(spark: SparkSession, d: str) -> DataFrame:
     """Rows and modification time per loaded POS file."""
     path = scratch_path(spark, "audit")
-    files.write_csv(mapping.pos_raw(spark, d), path)
+    files.write_csv(mapping.pos_raw(spark, d).repartition(4), path)   # four landed files
     return _ingest_audit(files.read_pos_csv(spark, path))
 
 
