@@ -63,6 +63,12 @@ class Windows:
             bloom[h >> np.uint64(64 - BLOOM_BITS)] = True
             self.by_length[length] = h, keys, [group[k] for k in keys], bloom
 
+    @classmethod
+    def of(cls, by_length: dict) -> Windows:
+        own = cls.__new__(cls)
+        own.by_length = by_length
+        return own
+
     def hits(self, words: W.Words) -> tuple[np.ndarray, dict[int, set]]:
         """Which words are hit, and the items with occurrences by text number."""
         mark = np.zeros(words.n + 1, dtype=np.int64)
@@ -183,11 +189,11 @@ def _run(docs, benchmark, text, item, item_text, size, block_bytes, remove) -> D
         F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
         F.array().cast("array<string>").alias("items"), F.lit(None).cast("binary").alias("hit"))
     for k, block in enumerate(_blocks(benchmark, item, item_text, block_bytes)):
-        shared = docs.sparkSession.sparkContext.broadcast(Windows(block, size))
+        shared = docs.sparkSession.sparkContext.broadcast(Windows(block, size).by_length)
         if remove:
-            step = lambda batches, shared=shared: _cut_pass(batches, shared.value)
+            step = lambda batches, shared=shared: _cut_pass(batches, Windows.of(shared.value))
         else:
-            step = lambda batches, shared=shared: _mark_pass(batches, shared.value)
+            step = lambda batches, shared=shared: _mark_pass(batches, Windows.of(shared.value))
         if k:
             work = work.checkpoint()
         work = work.mapInArrow(step, kind)

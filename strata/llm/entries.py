@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from strata.llm import bpe, decontaminate, warc
+from strata.llm import bpe, decontaminate, jaccard, language, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,24 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.*", F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
+def fifth(doc_id: str = "doc_id") -> Column:
+    """crc32 of the id as text, modulo 5; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", fifth().alias("part"))
+    model = language.fit(docs.where("part != 0"))
+    return language.predict(docs, model, keep=["doc_id", "part"]).select(
+        F.col("row")["doc_id"].alias("doc_id"), (F.col("row")["part"] == 0).alias("held_out"),
+        "lang_pred", "score")
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "class_id", "n_links")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     kind = pages.schema["page_id"].dataType
@@ -40,6 +58,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op6_byte_bpe": op6_byte_bpe,
+    "op8_language": op8_language,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_warc": op10_warc,
 }
 ORACLE_SQL: dict[str, str] = {}
