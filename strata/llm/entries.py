@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from strata.llm import bpe, decontaminate, jaccard, language, warc
+from strata.llm import bpe, decontaminate, jaccard, language, vectors, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return vectors.search(rows, rows.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(table(spark, sf_dir, "documents"), keep=["doc_id"])
     coded = coded.select(
@@ -57,6 +62,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_neighbours": op2_neighbours,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_language": op8_language,
     "op9_jaccard_join": op9_jaccard_join,
