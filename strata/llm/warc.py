@@ -38,6 +38,7 @@ MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
 RECORDS_PER_FILE = 100_000
+BROADCAST = 32 << 20     # bytes
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -56,6 +57,7 @@ def _urn(c: Column) -> Column:
 def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
             min_bytes: int = 0, date: str = DATE) -> DataFrame:
     """One column ``value``: the text of each page's record without the closing END."""
+    ensure_checkpoint_dir(pages.sparkSession)
     own = pages.select(
         F.col(page_id).alias("id"), F.col(url).cast("string").alias("url"),
         F.coalesce(F.col(html).cast("string"), F.lit("")).alias("payload")) \
@@ -63,7 +65,10 @@ def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
         .withColumn("size", F.octet_length("payload"))
     first = own.select("digest", "size", "id").where(F.col("size") >= min_bytes) \
         .groupBy("digest").agg(F.min("id").alias("first_id"), F.count("*").alias("n")) \
-        .where("n > 1").select("digest", "first_id")
+        .where("n > 1").select("digest", "first_id").checkpoint()
+    # Only repeated payloads are looked up; counted, they may go to the pages instead of the pages to them.
+    if first.count() * 128 <= BROADCAST:
+        first = F.broadcast(first)
     own = own.join(first, "digest", "left") \
         .withColumn("again", (F.col("size") >= min_bytes) & F.col("first_id").isNotNull()
                     & ~F.col("id").eqNullSafe(F.col("first_id")))
