@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from strata.llm import bpe, decontaminate, jaccard, language, vectors, warc
+from strata.llm import bpe, decontaminate, jaccard, language, pii, vectors, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,14 @@ def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.search(rows, rows.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+PII_KEY = "strata corpus pseudonyms 1"       # of the registered queries; a real corpus has a secret one
+
+
+def op3_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PII_KEY)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(table(spark, sf_dir, "documents"), keep=["doc_id"])
     coded = coded.select(
@@ -63,6 +71,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_neighbours": op2_neighbours,
+    "op3_pseudonyms": op3_pseudonyms,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_language": op8_language,
     "op9_jaccard_join": op9_jaccard_join,
