@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from strata.llm import words as W
 
-STEP = 16_000_000        # bytes that share one set of distinct units
+STEP = 3_000_000         # bytes that share one set of distinct units
 CHUNK = 1000             # units encoded as one string
 
 
@@ -164,11 +164,12 @@ def _decode(batches: Iterator[pa.RecordBatch], vocabulary):
         if isinstance(ids, pa.ListArray):
             ids = ids.cast(pa.large_list(ids.type.value_type))
         ids = ids.fill_null([]) if ids.null_count else ids
-        data, bounds = codec.decoded(ids)
-        data = data.tobytes()
-        texts = [data[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("row"), pa.array(texts, pa.binary())], names=["row", "bytes"])
+        for i, j in W.pieces(ids.offsets.to_numpy(), STEP // 3):
+            data, bounds = codec.decoded(ids.slice(i, j - i))
+            data = data.tobytes()
+            texts = [data[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row").slice(i, j - i), pa.array(texts, pa.binary())], names=["row", "bytes"])
 
 
 def _shared(df: DataFrame, vocabulary: str | None):
