@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from strata.llm import bpe, decontaminate, jaccard, language, pii, vectors, warc
+from strata.llm import bpe, decontaminate, jaccard, language, lm, pii, vectors, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,13 @@ def op3_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(docs, PII_KEY)
 
 
+def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = lm.fit(docs.where(fifth() != 1))
+    return lm.score(docs, model).withColumnRenamed("id", "doc_id").select(
+        "doc_id", (fifth() == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(table(spark, sf_dir, "documents"), keep=["doc_id"])
     coded = coded.select(
@@ -72,6 +79,7 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_neighbours": op2_neighbours,
     "op3_pseudonyms": op3_pseudonyms,
+    "op5_pitman_yor": op5_pitman_yor,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_language": op8_language,
     "op9_jaccard_join": op9_jaccard_join,
