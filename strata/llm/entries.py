@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from strata.llm import bpe, decontaminate, jaccard, language, lm, pii, vectors, warc
+from strata.llm import bpe, chat, decontaminate, jaccard, language, lm, pii, quality, vectors, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,17 @@ def op3_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(docs, PII_KEY)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades: 0 toxic, 1 poor, 2 good; selected are documents that are good with probability 1/2 or more."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ratings = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("toxic") == 1, 0).when(
+        F.col("quality") == 0, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2).alias("grade"))
+    found = quality.score(docs, quality.fit(docs, ratings), keep=["doc_id"])
+    return found.select(F.col("row")["doc_id"].alias("doc_id"), "expected_grade",
+                        F.get("tails", F.lit(0)).alias("p_ge_1"), F.get("tails", F.lit(1)).alias("p_ge_2"),
+                        (F.get("tails", F.lit(1)) >= 0.5).alias("selected"))
+
+
 def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = lm.fit(docs.where(fifth() != 1))
@@ -54,6 +65,11 @@ def fifth(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.collapse_and_render(table(spark, sf_dir, "conversations")).select(
+        F.col("id").alias("conv_id"), F.col("segment").cast("long").alias("segment"), "n_turns", "text")
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", fifth().alias("part"))
     model = language.fit(docs.where("part != 0"))
@@ -79,8 +95,10 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_neighbours": op2_neighbours,
     "op3_pseudonyms": op3_pseudonyms,
+    "op4_quality": op4_quality,
     "op5_pitman_yor": op5_pitman_yor,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_chat_format": op7_chat_format,
     "op8_language": op8_language,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_warc": op10_warc,
