@@ -242,6 +242,18 @@ GROUP BY iot.store_id, iot.store_name, pos.transaction_date, iot.sensor_name
 ORDER BY pos.transaction_date"""
 
 
+_cents, _n = "CAST(sum(iot.sensor_value * 100) AS HUGEINT)", "count(iot.sensor_value)"
+Q["pos_iot_sensor_data_exact"] = _with(POS_SILVER, IOT_SILVER) + f"""
+SELECT iot.store_id, iot.store_name, iot.sensor_name, pos.transaction_date,
+       CAST(sum(pos.total_amount) AS {MONEY}) AS total_revenue,
+       CAST(sum(iot.sensor_value) AS {MONEY}) AS sensor_value_total,
+       CAST(CAST(CASE WHEN {_cents} < 0 THEN -1 ELSE 1 END
+                 * ((2 * 10000 * abs({_cents}) + {_n}) // (2 * {_n})) AS DECIMAL(20,0))
+            * CAST(0.000001 AS DECIMAL(7,6)) AS DECIMAL(14,6)) AS average_sensor_value
+FROM iot JOIN pos ON pos.store_id = iot.store_id
+GROUP BY iot.store_id, iot.store_name, pos.transaction_date, iot.sensor_name"""
+
+
 def _gross_margin(per_day: bool) -> str:
     grp = "store_id, product_sku, CAST(order_date AS DATE)" if per_day else \
         "store_id, product_sku, order_date"
@@ -393,12 +405,35 @@ SELECT *, 'INSERT' AS _action FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
 UNION ALL
 SELECT *, 'DELETE' AS _action FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) d"""
 
-_upd_cols = ", ".join("CASE WHEN is_late THEN 'Changed' ELSE order_status END AS order_status"
+_upd_cols = ", ".join("CASE WHEN order_id = 'ORD_2_6' THEN 'Changed' ELSE order_status END AS order_status"
                       if c == "order_status" else c for c in ERP_COLS)
 Q["update_where"] = _with(ERP_SILVER) + f"""
-SELECT {_upd_cols}, {LOAD_1} AS created_at,
-       CASE WHEN is_late THEN {LOAD_2} ELSE {LOAD_1} END AS updated_at
+SELECT {_upd_cols}, {LOAD_1} AS created_at, {LOAD_1} AS updated_at
 FROM erp"""
+Q["update_and_restore"] = _with(ERP_SILVER) + f"""
+SELECT 'updated' AS step, {_upd_cols}, {LOAD_1} AS created_at, {LOAD_1} AS updated_at FROM erp
+UNION ALL
+SELECT 'before' AS step, {', '.join(ERP_COLS)}, {LOAD_1}, {LOAD_1} FROM erp
+UNION ALL
+SELECT 'restored' AS step, {', '.join(ERP_COLS)}, {LOAD_1}, {LOAD_1} FROM erp"""
+
+Q["erp_from_change_feed"] = _with(ERP_RAW, f"""
+b AS (SELECT * EXCLUDE (_action, _shipdate) FROM erp_raw WHERE _shipdate < {SPLIT}),
+a AS (SELECT * EXCLUDE (_action, _shipdate)
+             REPLACE (CASE WHEN is_late THEN 'Changed' ELSE order_status END AS order_status)
+      FROM erp_raw WHERE NOT (warehouse_id = 'WH_O' AND _shipdate < {SPLIT})),
+feed AS (SELECT *, 'INSERT' AS _action FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) i
+         UNION ALL
+         SELECT *, 'DELETE' AS _action FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) d),
+t1 AS (SELECT {', '.join(ERP_COLS)}, {LOAD_1} AS created_at, {LOAD_1} AS updated_at
+       FROM ({erp_dedup("(SELECT *, 'INSERT' AS _action FROM b)")})),
+s2 AS ({erp_dedup('feed')})""") + "\n" + _merge_sql("t1", "s2", sc.ERP_KEYS, ERP_COLS, erp=True)
+
+Q["late_data"] = _with(POS_RAW, f"""
+t1 AS (SELECT *, {LOAD_1} AS created_at, {LOAD_1} AS updated_at
+       FROM ({pos_dedup(f"(SELECT * FROM pos_raw WHERE _shipdate >= {SPLIT})")}))""", f"""
+s2 AS ({pos_dedup(f"(SELECT * FROM pos_raw WHERE _shipdate < {SPLIT})")})""") + "\n" + \
+    _merge_sql("t1", "s2", sc.POS_KEYS, POS_COLS)
 
 # ---------------------------------------------------------------- history
 HISTORY = f"""{ERP_RAW},
@@ -410,16 +445,25 @@ ch AS (SELECT t.*, 'C' || strftime(CAST(_shipdate AS DATE), '%Y%m') AS commit_id
 chd AS (SELECT * FROM ch QUALIFY row_number() OVER
           (PARTITION BY order_id, commit_seq ORDER BY {ERP_ORDER}) = 1),
 hx AS (SELECT *, coalesce(lag(_action) OVER (PARTITION BY order_id ORDER BY commit_seq)
-                          = 'INSERT', FALSE) AS _existed FROM chd),
-h AS (SELECT {', '.join(ERP_COLS)}, commit_id, commit_seq, committed_at,
+                          = 'INSERT', FALSE) AS _existed,
+              coalesce(sum(CASE WHEN _action = 'DELETE' THEN 1 ELSE 0 END) OVER
+                (PARTITION BY order_id ORDER BY commit_seq
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _life,
+              CASE WHEN _action = 'INSERT' THEN committed_at END AS _at FROM chd),
+h AS (SELECT {', '.join(ERP_COLS)},
+             min(_at) OVER o AS created_at, max(_at) OVER o AS updated_at,
+             commit_id, commit_seq, committed_at, CAST(NULL AS BIGINT) AS _row,
              CASE WHEN _action = 'INSERT' AND _existed THEN 'UPDATE'
                   WHEN _action = 'INSERT' THEN 'INSERT'
                   WHEN _action = 'DELETE' AND _existed THEN 'DELETE' END AS _op
-      FROM hx)"""
+      FROM hx WINDOW o AS (PARTITION BY order_id, _life ORDER BY commit_seq
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
+ERP_ALL = [*ERP_COLS, "created_at", "updated_at"]
 
 
 def _state(where: str) -> str:
-    return (f"SELECT {', '.join(ERP_COLS)} FROM (SELECT * FROM h WHERE _op IS NOT NULL AND "
+    return (f"SELECT {', '.join(ERP_ALL)} FROM (SELECT * FROM h WHERE _op IS NOT NULL AND "
             f"{where} QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY commit_seq DESC)"
             f" = 1) x WHERE _op <> 'DELETE'")
 
@@ -431,7 +475,7 @@ Q["before_offset"] = _with(HISTORY) + "\n" + _state(
 Q["before_commit"] = _with(HISTORY) + "\n" + _state(
     "commit_seq < (SELECT min(commit_seq) FROM h WHERE commit_id = 'C199801')")
 
-_payload = [c for c in ERP_COLS if c != "order_id"]
+_payload = [c for c in ERP_ALL if c != "order_id"]
 _o_row = "row(" + ", ".join(f"o.{c}" for c in _payload) + ")"
 _c_row = "row(" + ", ".join(f"c.{c}" for c in _payload) + ")"
 Q["restore"] = _with(HISTORY, "old AS (" + _state(
@@ -448,13 +492,13 @@ SELECT coalesce(_oid, _cid) AS order_id,
        {', '.join(f"v_{c} AS {c}" for c in _payload)},
        _op, 'R1' AS commit_id, (SELECT max(commit_seq) + 1 FROM h WHERE _op IS NOT NULL)
          AS commit_seq,
-       {LOAD_2} AS committed_at
+       {LOAD_2} AS committed_at, CAST(NULL AS BIGINT) AS _row
 FROM j WHERE _op IS NOT NULL"""
 
 Q["expire"] = _with(HISTORY, "hh AS (SELECT * FROM h WHERE _op IS NOT NULL)") + """
 SELECT * FROM hh WHERE committed_at > TIMESTAMP '1998-01-10 00:00:00' - INTERVAL 14 DAY
 UNION ALL
-SELECT * FROM (SELECT * FROM hh WHERE committed_at <= TIMESTAMP '1998-01-10 00:00:00'
+SELECT * REPLACE ('BASE' AS commit_id) FROM (SELECT * FROM hh WHERE committed_at <= TIMESTAMP '1998-01-10 00:00:00'
                  - INTERVAL 14 DAY
                QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY commit_seq DESC) = 1) x
 WHERE _op <> 'DELETE'"""
@@ -477,4 +521,12 @@ last AS (SELECT * FROM yearly
 SELECT {', '.join(ERP_COLS)}, {LOAD_1} AS created_at, {LOAD_1} AS updated_at
 FROM last WHERE _action = 'INSERT'"""
 Q["stream_iot"] = Q["json_array_load"]
+Q["ingest_audit"] = _with(POS_RAW) + """
+SELECT CAST(year(_shipdate) AS INTEGER) AS ship_year, count(*) AS rows_loaded, TRUE AS has_bytes
+FROM pos_raw GROUP BY 1"""
 Q["stream_inventory"] = Q["inventory_extract"]
+
+# The named views, read by name.
+Q["view_sensor_data"] = Q["pos_iot_sensor_data_exact"]
+Q["view_gross_margin"] = Q["gross_margin"]
+Q["view_sensor_affect"] = Q["sensor_affect_revenue"]

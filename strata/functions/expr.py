@@ -53,6 +53,17 @@ def to_number(x, precision: int = 38, scale: int = 0) -> Column:
     return wide if precision == 38 else wide.cast(f"decimal({precision},{scale})")
 
 
+def normalise_time(x) -> Column:
+    """A ``TIME`` text as ``HH:mm:ss`` (fractions of a second kept); raises for anything else."""
+    c = F.trim(_c(x))
+    pattern = r"^([01]?[0-9]|2[0-3]):([0-5]?[0-9])(?::([0-5]?[0-9])(\.[0-9]{1,9})?)?$"
+    part = lambda k: F.lpad(F.regexp_extract(c, pattern, k), 2, "0")
+    return F.when(c.isNull(), F.lit(None).cast("string")) \
+            .when(c.rlike(pattern), F.concat(part(1), F.lit(":"), part(2), F.lit(":"), part(3),
+                                             F.regexp_extract(c, pattern, 4))) \
+            .otherwise(F.raise_error(F.concat(F.lit("not a time: "), c)).cast("string"))
+
+
 def to_date(x) -> Column:
     """Dialect ``::date`` of a date or timestamp."""
     return _c(x).cast("date")
@@ -63,11 +74,6 @@ def order_desc(x) -> Column:
     return _c(x).desc_nulls_first()
 
 
-def order_asc(x) -> Column:
-    """Ascending order with the dialect's NULL placement (NULLs last)."""
-    return _c(x).asc_nulls_last()
-
-
 def as_cents_avg(total_cents, count) -> Column:
     """``double(sum of cents) / double(100 * count)``.
 

@@ -193,10 +193,11 @@ def assert_unique(source: DataFrame, keys: Sequence[str]) -> None:
 
 
 def update_where(df: DataFrame, cond: Column, assignments: dict, now=None,
-                 touch: str | None = "updated_at") -> DataFrame:
+                 touch: str | None = None) -> DataFrame:
     """``UPDATE t SET col = value WHERE cond`` as a projection.
 
-    ``assignments`` maps column names to Columns or literals.  When ``touch``
+    ``assignments`` maps column names to Columns or literals; no other column
+    changes (a column default does not fire on UPDATE).  When ``touch``
     names an existing column it is set to ``now`` on the updated rows.
     """
     hit = F.coalesce(cond, F.lit(False))

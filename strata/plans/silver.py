@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata import schemas as sc
-from strata.functions.expr import order_desc, to_number
+from strata.functions.expr import normalise_time, order_desc, to_number
 from strata.functions.paths import vget, vget_lenient, vitems
 from strata.operators.dedup import latest_per_key
 from strata.operators.flatten import unnest
 from strata.operators.merge import merge, src
+from strata.sources.files import as_variant
 
 # (target column, source path, dialect cast, stored type) -- the reference's
 # cast lists for the ERP order and inventory extractions.
@@ -84,8 +85,11 @@ def extract(df: DataFrame, spec: Sequence[tuple], variant_col: str | None = None
 
 # ---------------------------------------------------------------- P1 POS
 def dedup_pos(changes: DataFrame, tiebreak=True) -> DataFrame:
-    """Latest row per (transaction_id, transaction_date), time descending."""
-    rows = changes.select(*sc.names(sc.POS_COLUMNS))
+    """Latest row per (transaction_id, transaction_date), time descending.
+
+    ``transaction_time`` is normalised first, so its text sorts like the time."""
+    rows = changes.select(*sc.names(sc.POS_COLUMNS)) \
+        .withColumn("transaction_time", normalise_time("transaction_time"))
     return latest_per_key(rows, sc.POS_KEYS, [order_desc("transaction_time")], tiebreak)
 
 
@@ -101,7 +105,11 @@ def clean_pos(changes: DataFrame, target: DataFrame | None = None, now=None) ->
 # ---------------------------------------------------------------- P2 ERP orders
 def erp_typed(changes: DataFrame, variant_col: str | None = None,
               keep: Sequence[str] = ()) -> DataFrame:
-    """Typed ERP change rows plus their ``_action`` (and ``keep`` columns)."""
+    """Typed ERP change rows plus their ``_action`` (and ``keep`` columns).
+
+    Rows of an append feed carry no action: they are inserts."""
+    if sc.ACTION not in changes.columns:
+        changes = changes.withColumn(sc.ACTION, F.lit("INSERT"))
     return extract(changes, ERP_EXTRACT, variant_col, keep=[sc.ACTION, *keep])
 
 
@@ -184,10 +192,9 @@ def dedup_iot(flat: DataFrame, position: str = "_apos", tiebreak=True) -> DataFr
 
 
 def iot_source_from_docs(docs: DataFrame) -> DataFrame:
-    """Merge source from typed sensor documents (a JSON-array file stream):
+    """Merge source from sensor documents (a JSON-array file stream):
     each document becomes one VARIANT value, then flatten and dedup."""
-    raw = docs.select(F.to_variant_object(F.struct(*docs.columns)).alias("row_col"))
-    return dedup_iot(iot_flatten(raw))
+    return dedup_iot(iot_flatten(as_variant(docs)))
 
 
 def iot_readings(changes: DataFrame, target: DataFrame | None = None, now=None,

@@ -20,16 +20,17 @@ from strata.operators import history as hist
 from strata.operators.changes import change_feed as _change_feed
 from strata.operators.dedup import latest_per_key
 from strata.operators.flatten import unnest
-from strata.operators.merge import src, update_where as _update_where
-from strata.plans import catalog, mapping, silver
+from strata.operators.merge import update_where as _update_where
+from strata.plans import catalog, fixtures, mapping, silver
 from strata.session import ensure_checkpoint_dir, scratch_path
 from strata.sources import files
 from strata.sources.audit import ingest_audit as _ingest_audit
-from strata.sources.merge_table import MergeTable
+from strata.sources.change_table import ChangeTable
 from strata.streaming.cdc import cdc_into
 from strata.streaming.ingest import change_stream, ingest_stream
 
-# Fixed parameters of the history workloads.
+# Fixed parameters of the update and history workloads.
+UPDATED_ORDER = "ORD_2_6"
 AS_OF_TS = "1998-01-01 00:00:00"
 OFFSET_NOW = "1998-01-01 01:00:00"
 OFFSET_SECONDS = 3600
@@ -103,10 +104,40 @@ def change_feed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def update_where(spark: SparkSession, d: str) -> DataFrame:
-    """``UPDATE erp_orders SET order_status = 'Changed' WHERE is_late``."""
+    """``UPDATE erp_orders SET order_status = 'Changed' WHERE order_id = '...'``."""
     erp = catalog.silver_erp(spark, d)
-    return _update_where(erp, F.col("is_late"), {"order_status": "Changed"},
-                         now=catalog.LOAD_2)
+    return _update_where(erp, F.col("order_id") == UPDATED_ORDER, {"order_status": "Changed"})
+
+
+def update_and_restore(spark: SparkSession, d: str) -> DataFrame:
+    """The recovery demonstration on a stored table: load, UPDATE as a commit, read the state before
+    it, restore, and report the order's row at each step (I5, B8, K3, K4, A13)."""
+    table = ChangeTable(spark, scratch_path(spark, "erp_recovery"), sc.ERP_KEYS, sc.ERP_CLEAN)
+    typed = silver.dedup_erp(silver.erp_typed(mapping.erp_raw(spark, d)))
+    at = lambda day: dt.datetime(2024, 2, day)
+    table.merge(typed, "load", now=at(1))
+    table.update(F.col("order_id") == UPDATED_ORDER, {"order_status": "Changed"}, "mistake", now=at(2))
+    steps = [("updated", table.read().checkpoint()), ("before", table.before_commit("mistake").checkpoint())]
+    table.restore_to("mistake", "restored", now=at(3))
+    steps.append(("restored", table.read()))
+    out = None
+    for name, rows in steps:
+        step = rows.select(F.lit(name).alias("step"), *rows.columns)
+        out = step if out is None else out.unionByName(step)
+    return out
+
+
+def erp_from_change_feed(spark: SparkSession, d: str) -> DataFrame:
+    """Two states of the raw ERP rows -> change feed -> typed -> dedup -> merge: changed orders arrive as a
+    DELETE and an INSERT, vanished ones as a DELETE, new ones as an INSERT (J2 -> P2)."""
+    raw = mapping.erp_raw(spark, d).drop(sc.ACTION)
+    cut = F.col("_shipdate") < F.lit(mapping.BATCH_SPLIT).cast("timestamp_ntz")
+    before = raw.filter(cut).drop("_shipdate")
+    # Afterwards: late rows were corrected, rows of one warehouse are gone, later rows are new.
+    after = raw.filter(~((F.col("warehouse_id") == "WH_O") & cut)).drop("_shipdate") \
+        .withColumn("order_status", F.when(F.col("is_late"), "Changed").otherwise(F.col("order_status")))
+    table = silver.erp_orders(before, None, now=catalog.LOAD_1)
+    return silver.erp_orders(_change_feed(before, after), table, now=catalog.LOAD_2)
 
 
 # ---------------------------------------------------------------- history
@@ -130,6 +161,8 @@ def erp_history_from(raw: DataFrame) -> DataFrame:
         (F.year(ship) * 12 + F.month(ship)).cast("long").alias("commit_seq"),
         F.add_months(F.trunc(ship, "month"), 1).cast("timestamp_ntz").alias("committed_at"))
     first = F.when(F.col(sc.ACTION) == "INSERT", 0).otherwise(1)
+    # One exchange by the order: both windows accept it.
+    ch = ch.repartition(*sc.ERP_KEYS)
     ch = latest_per_key(ch, sc.ERP_KEYS + ["commit_seq"], [first.asc(), order_desc("order_date")])
     return hist.history_from_changes(ch, sc.ERP_KEYS)
 
@@ -175,7 +208,7 @@ def json_array_load(spark: SparkSession, d: str) -> DataFrame:
     """Sensor documents written as JSON-array files, loaded as VARIANT rows
     and cleaned into ``device_event_readings_from_IOT`` (A2 -> P4)."""
     path = scratch_path(spark, "json_array_load")
-    files.write_json_arrays(mapping.iot_docs(spark, d), path, rows_per_file=2000)
+    fixtures.write_json_arrays(mapping.iot_docs(spark, d), path)
     return silver.iot_readings(files.read_json_array(spark, path), None, now=catalog.LOAD_1)
 
 
@@ -196,35 +229,21 @@ def inventory_load(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ingest_audit(spark: SparkSession, d: str) -> DataFrame:
-    """Rows and modification time per loaded POS file."""
+    """Loaded rows by landed file, told by its ship year, and the row count the status has."""
     path = scratch_path(spark, "audit")
-    files.write_csv(mapping.pos_raw(spark, d).repartition(4), path)   # four landed files
-    return _ingest_audit(files.read_pos_csv(spark, path))
+    raw = mapping.pos_raw(spark, d, with_version=True).withColumn("ship_year", F.year("_shipdate"))
+    raw.drop("_shipdate").write.option("header", True).partitionBy("ship_year").csv(path)
+    seen = _ingest_audit(files.read_pos_csv(spark, path))
+    year = F.regexp_extract("file_path", r"ship_year=(\d+)", 1).cast("int")
+    return seen.groupBy(year.alias("ship_year")).agg(F.sum("rows_loaded").alias("rows_loaded"),
+                                                     F.min(F.col("file_size") > 0).alias("has_bytes"))
 
 
 # ---------------------------------------------------------------- streams
-def _land_pos_by_year(spark: SparkSession, d: str, files_per_year: int = 2) -> str:
-    """Write POS change files one ship year after the other (ordered arrival).
-
-    All versions of a transaction of one year go to the same file, so a
-    micro-batch always sees them together.
-    """
-    landing = scratch_path(spark, "pos_landing")
-    raw = (mapping.pos_raw(spark, d, with_version=True)
-                  .withColumn("_y", F.year("_shipdate")).persist())
-    years = [r[0] for r in raw.select("_y").distinct().orderBy("_y").collect()]
-    for y in years:
-        part = raw.filter(F.col("_y") == y).drop("_y", "_shipdate")
-        (part.repartition(files_per_year, "transaction_id").write.mode("append")
-             .option("header", True).csv(landing))
-    raw.unpersist()
-    return landing
-
-
 def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     """Auto-ingest: new CSV files copied once into a bronze table."""
     landing = scratch_path(spark, "ingest_landing")
-    files.write_csv(mapping.pos_raw(spark, d).repartition(4), landing)
+    files.write_csv(mapping.pos_raw(spark, d), landing)
     sink, ckpt = scratch_path(spark, "bronze_pos"), scratch_path(spark, "bronze_pos_ckpt")
     q = ingest_stream(spark, "csv", landing, sc.POS_RAW, ckpt, sink, maxFilesPerTrigger=1)
     q.awaitTermination()
@@ -235,20 +254,29 @@ def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stream_merge(spark: SparkSession, d: str) -> DataFrame:
-    """Stream of POS change files deduplicated and merged per micro-batch
-    into the partitioned ``cleaned_pos_transaction`` table (J3-J6, P1)."""
-    landing = _land_pos_by_year(spark, d)
-    # Month partitions: at this scale a day holds a handful of rows.
-    table = MergeTable(spark, scratch_path(spark, "cleaned_pos"), sc.POS_KEYS, sc.POS_CLEAN,
-                       partition_by="transaction_date", granularity="month")
-    stream = change_stream(spark, landing, "csv", sc.POS_RAW, max_files_per_trigger=2)
+    """POS change files arriving one ship year at a time, deduplicated and merged per
+    micro-batch into ``cleaned_pos_transaction`` (J3-J6, P1)."""
+    raw = (mapping.pos_raw(spark, d, with_version=True)
+                  .withColumn("_y", F.year("_shipdate")).drop("_shipdate").persist())
+    years = [r[0] for r in raw.select("_y").distinct().orderBy("_y").collect()]
+    landing, ckpt = scratch_path(spark, "pos_landing"), scratch_path(spark, "pos_merge_ckpt")
+    table = ChangeTable(spark, scratch_path(spark, "cleaned_pos"), sc.POS_KEYS, sc.POS_CLEAN)
     load = dt.datetime.fromisoformat(catalog.LOAD_1)
-    q = cdc_into(stream, table, silver.dedup_pos, name="pos_merge",
-                 checkpoint=scratch_path(spark, "pos_merge_ckpt"), now=lambda _id: load)
-    q.awaitTermination()
+    for y in years:
+        raw.filter(F.col("_y") == y).drop("_y").write.mode("append").option("header", True).csv(landing)
+        cdc_into(change_stream(spark, landing, "csv", sc.POS_RAW), table, silver.dedup_pos, name="pos_merge",
+                 checkpoint=ckpt, now=lambda _id: load).awaitTermination()
+    raw.unpersist()
     return table.read()
 
 
+def late_data(spark: SparkSession, d: str) -> DataFrame:
+    """A late batch after the newer one: the merge takes the last arrival, whatever its time."""
+    b1, b2 = catalog.split_by_ship_date(mapping.pos_raw(spark, d, with_version=True))
+    newer = silver.clean_pos(b2, None, now=catalog.LOAD_1)
+    return silver.clean_pos(b1, newer, now=catalog.LOAD_2)
+
+
 def stream_erp(spark: SparkSession, d: str) -> DataFrame:
     """ERP change files arriving one ship year at a time; after each arrival
     a scheduled run (``availableNow``) merges what is new into ``erp_orders``
@@ -257,33 +285,26 @@ def stream_erp(spark: SparkSession, d: str) -> DataFrame:
                   .drop("_shipdate").persist())
     years = [r[0] for r in raw.select("_y").distinct().orderBy("_y").collect()]
     landing = scratch_path(spark, "erp_landing")
-    table = MergeTable(spark, scratch_path(spark, "erp_orders"), sc.ERP_KEYS, sc.ERP_CLEAN,
-                       bucket_count=16)
+    table = ChangeTable(spark, scratch_path(spark, "erp_orders"), sc.ERP_KEYS, sc.ERP_CLEAN)
     ckpt = scratch_path(spark, "erp_merge_ckpt")
     schema = raw.drop("_y").schema
-    act = src(sc.ACTION)
     load = dt.datetime.fromisoformat(catalog.LOAD_1)
     for y in years:
-        (raw.filter(F.col("_y") == y).drop("_y").repartition(2, "order_id")
-            .write.mode("append").parquet(landing))
+        raw.filter(F.col("_y") == y).drop("_y").write.mode("append").parquet(landing)
         stream = change_stream(spark, landing, "parquet", schema)
         cdc_into(stream, table, lambda b: silver.dedup_erp(silver.erp_typed(b)),
-                 name="erp_merge", checkpoint=ckpt, now=lambda _id: load,
-                 delete_when=act == "DELETE", update_when=act == "INSERT",
-                 insert_when=act == "INSERT").awaitTermination()
+                 name="erp_merge", checkpoint=ckpt, now=lambda _id: load).awaitTermination()
     raw.unpersist()
     return table.read()
 
 
 def stream_iot(spark: SparkSession, d: str) -> DataFrame:
     """Sensor JSON-array files streamed into ``device_event_readings_from_IOT``:
-    typed read, VARIANT rows, flatten, dedup, merge (A2 + A5, J4, P4)."""
+    VARIANT rows, flatten, dedup, merge (A2 + A5, J4, P4)."""
     landing = scratch_path(spark, "iot_landing")
-    files.write_json_arrays(mapping.iot_docs(spark, d), landing, rows_per_file=2000)
-    table = MergeTable(spark, scratch_path(spark, "iot_readings"), sc.IOT_KEYS, sc.IOT_CLEAN,
-                       bucket_count=16)
-    stream = change_stream(spark, landing, "json", sc.IOT_DOC, max_files_per_trigger=4,
-                           multiLine="true", mode="FAILFAST")
+    fixtures.write_json_arrays(mapping.iot_docs(spark, d), landing)
+    table = ChangeTable(spark, scratch_path(spark, "iot_readings"), sc.IOT_KEYS, sc.IOT_CLEAN)
+    stream = change_stream(spark, landing, "json", sc.IOT_VARIANT, multiLine="true", mode="FAILFAST")
     load = dt.datetime.fromisoformat(catalog.LOAD_1)
     cdc_into(stream, table, silver.iot_source_from_docs, name="iot_merge",
              checkpoint=scratch_path(spark, "iot_merge_ckpt"),
@@ -300,7 +321,7 @@ def stream_inventory(spark: SparkSession, d: str) -> DataFrame:
     lay = Layout(landing=f"{root}/landing", silver=f"{root}/silver",
                  checkpoints=f"{root}/checkpoints")
     raw = mapping.inventory_raw(spark, d)
-    raw.repartition(4).write.mode("overwrite").parquet(lay.land("inventory"))
+    raw.write.mode("overwrite").parquet(lay.land("inventory"))
     q = start_silver_tasks(spark, lay, erp_schema=None, inventory_schema=raw.schema,
                            trigger="availableNow", which=("inventory",))["inventory"]
     q.awaitTermination()

@@ -70,6 +70,12 @@ IOT_KEYS = ["event_id", "sensor_name", "event_timestamp"]
 IOT_DEDUP_KEYS = ["event_id", "sensor_name"]
 IOT_CLEAN = _struct(*IOT_COLUMNS, *AUDIT)
 
+# A raw sensor JSON document read with schema on read: every top-level field is kept as it
+# is (VARIANT), the reader splits the file's array.
+IOT_VARIANT = T.StructType([T.StructField(n, T.VariantType()) for n in (
+    "store_id", "store_name", "device_id", "event_id", "event_type", "timestamp", "metadata",
+    "readings", "alerts")])
+
 # Typed form of one raw sensor JSON document (the array elements of a file).
 IOT_DOC = T.StructType([
     T.StructField("store_id", S), T.StructField("store_name", S),
@@ -85,10 +91,6 @@ IOT_DOC = T.StructType([
                                                 ("triggered_at", TS)))),
 ])
 
-# Change history rows: key + payload + these columns.
-HISTORY_COLUMNS = [("_op", S), ("commit_id", S), ("commit_seq", T.LongType()),
-                   ("committed_at", TS)]
-
 
 def names(cols) -> list[str]:
     return [n for n, _ in cols]

@@ -2,10 +2,9 @@
 
 from strata.sources.files import (
     read_pos_csv, read_json_array, read_parquet_raw, read_table, append, write_csv,
-    write_json_arrays,
 )
-from strata.sources.audit import ingest_audit, with_source_file, stream_status
+from strata.sources.audit import ingest_audit, stream_status
 
 __all__ = ["read_pos_csv", "read_json_array", "read_parquet_raw", "read_table", "append",
-           "write_csv", "write_json_arrays", "ingest_audit", "with_source_file",
+           "write_csv", "ingest_audit",
            "stream_status"]

@@ -10,15 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def with_source_file(df: DataFrame) -> DataFrame:
-    """Add the source file path and its modification time to each row.
-
-    ``df`` must come straight from a file source (``spark.read...``).
-    """
-    return df.select("*", F.col("_metadata.file_path").alias("_file"),
-                     F.col("_metadata.file_modification_time").alias("_file_mtime"))
-
-
 def ingest_audit(df: DataFrame) -> DataFrame:
     """Rows, size and latest modification time per loaded file."""
     return (df.select(F.col("_metadata.file_path").alias("file_path"),

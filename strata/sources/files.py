@@ -6,9 +6,6 @@ stable plan whether a folder holds one file or a million.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,21 +28,24 @@ def read_pos_csv(spark: SparkSession, path: str, schema: T.StructType = sc.POS_R
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                    column: str = "row_col") -> DataFrame:
+                    column: str = "row_col", fields: T.StructType = sc.IOT_VARIANT) -> DataFrame:
     """Files that each hold one JSON array; every element becomes a row.
 
-    With ``schema`` the elements are parsed into typed columns (multi-line
-    JSON reader, which splits a top-level array).  Without it each element
-    is kept as one VARIANT column ``column`` (schema on read): the file text
-    is parsed once and the array exploded, one task per file, so files
-    should be bounded in size (the usual case for device uploads).
+    With ``schema`` the elements are parsed into typed columns.  Without it each element is
+    kept as one VARIANT column ``column`` (schema on read): the reader splits the array into
+    rows whose top-level ``fields`` are VARIANT, the same form that the stream reads, so no
+    file is parsed as one value.  It is still one task per file: producers should
+    keep files to some hundred MB.
     """
+    reader = spark.read.option("multiLine", True).option("mode", "FAILFAST")
     if schema is not None:
-        return (spark.read.schema(schema).option("multiLine", True)
-                     .option("mode", "FAILFAST").json(path))
-    raw = spark.read.option("wholetext", True).text(path)
-    items = F.variant_get(F.parse_json("value"), "$", "array<variant>")
-    return raw.select(F.explode(items).alias(column))
+        return reader.schema(schema).json(path)
+    return as_variant(reader.schema(fields).json(path), column)
+
+
+def as_variant(docs: DataFrame, column: str = "row_col") -> DataFrame:
+    """Documents whose fields are columns, as one VARIANT column."""
+    return docs.select(F.to_variant_object(F.struct(*docs.columns)).alias(column))
 
 
 def read_parquet_raw(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -77,35 +77,5 @@ def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None) -
     w.csv(path)
 
 
-def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = 10000) -> None:
-    """Write rows as files that each hold one JSON array of objects.
-
-    Rows are serialised by Spark (``to_json``); each Arrow batch of a task
-    (at most ``rows_per_file`` rows) is joined into one array text and
-    written as its own file, so no file or task holds more than a batch.
-    """
-    full = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-            "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
-    texts = df.select(F.to_json(F.struct(*df.columns), full).alias("j"))
-    spark = df.sparkSession
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, str(rows_per_file))
-
-    def to_arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if len(b):
-                yield pd.DataFrame({"value": ["[" + ",".join(b["j"].tolist()) + "]"]})
-
-    try:
-        (texts.mapInPandas(to_arrays, "value string")
-              .write.mode("overwrite").option("maxRecordsPerFile", 1).text(path))
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-
-
-__all__ = ["read_pos_csv", "read_json_array", "read_parquet_raw", "read_table", "append",
-           "write_csv", "write_json_arrays"]
+__all__ = ["read_pos_csv", "read_json_array", "as_variant", "read_parquet_raw", "read_table", "append",
+           "write_csv"]

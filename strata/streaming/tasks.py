@@ -2,8 +2,7 @@
 
 ``start_silver_tasks`` starts, for one landing / silver folder layout:
 
-* POS CSV files      -> dedup -> merge into ``cleaned_pos_transaction``
-  (partitioned by transaction day);
+* POS CSV files      -> dedup -> merge into ``cleaned_pos_transaction``;
 * ERP order Parquet  -> cast list -> action-aware dedup -> delete / update /
   insert merge into ``erp_orders``;
 * sensor JSON arrays -> VARIANT rows -> flatten -> dedup -> merge into
@@ -24,9 +23,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from strata import schemas as sc
-from strata.operators.merge import src
 from strata.plans import silver
-from strata.sources.merge_table import MergeTable
+from strata.sources.change_table import ChangeTable
 from strata.streaming.cdc import cdc_into
 from strata.streaming.ingest import change_stream
 
@@ -38,8 +36,7 @@ class Layout:
     landing: str
     silver: str
     checkpoints: str
-    erp_bucket_count: int = 64
-    iot_bucket_count: int = 64
+    max_files_per_trigger: int | None = None     # delays files of a backlog, never drops them
 
     def land(self, name: str) -> str:
         return f"{self.landing.rstrip('/')}/{name}"
@@ -51,14 +48,12 @@ class Layout:
         return f"{self.checkpoints.rstrip('/')}/{name}"
 
 
-def tables(spark: SparkSession, layout: Layout) -> dict[str, MergeTable]:
+def tables(spark: SparkSession, layout: Layout) -> dict[str, ChangeTable]:
     return {
-        "pos": MergeTable(spark, layout.table("cleaned_pos_transaction"), sc.POS_KEYS,
-                          sc.POS_CLEAN, partition_by="transaction_date"),
-        "erp": MergeTable(spark, layout.table("erp_orders"), sc.ERP_KEYS, sc.ERP_CLEAN,
-                          bucket_count=layout.erp_bucket_count),
-        "iot": MergeTable(spark, layout.table("device_event_readings_from_IOT"), sc.IOT_KEYS,
-                          sc.IOT_CLEAN, bucket_count=layout.iot_bucket_count),
+        "pos": ChangeTable(spark, layout.table("cleaned_pos_transaction"), sc.POS_KEYS, sc.POS_CLEAN),
+        "erp": ChangeTable(spark, layout.table("erp_orders"), sc.ERP_KEYS, sc.ERP_CLEAN),
+        "iot": ChangeTable(spark, layout.table("device_event_readings_from_IOT"), sc.IOT_KEYS,
+                           sc.IOT_CLEAN),
     }
 
 
@@ -76,27 +71,25 @@ def start_silver_tasks(spark: SparkSession, layout: Layout, erp_schema: T.Struct
     t = tables(spark, layout)
     out: dict[str, StreamingQuery] = {}
     if "pos" in which:
-        stream = change_stream(spark, layout.land("pos"), "csv", sc.POS_RAW)
+        stream = change_stream(spark, layout.land("pos"), "csv", sc.POS_RAW, layout.max_files_per_trigger)
         out["pos"] = cdc_into(stream, t["pos"], silver.dedup_pos, "pos_merge",
                               layout.ckpt("pos_merge"), trigger)
     if "erp" in which:
-        act = src(sc.ACTION)
-        stream = change_stream(spark, layout.land("erp"), "parquet", erp_schema)
+        stream = change_stream(spark, layout.land("erp"), "parquet", erp_schema, layout.max_files_per_trigger)
         out["erp"] = cdc_into(stream, t["erp"],
                               lambda b: silver.dedup_erp(silver.erp_typed(b)), "erp_merge",
-                              layout.ckpt("erp_merge"), trigger,
-                              delete_when=act == "DELETE", update_when=act == "INSERT",
-                              insert_when=act == "INSERT")
+                              layout.ckpt("erp_merge"), trigger)
     if "iot" in which:
-        stream = change_stream(spark, layout.land("iot"), "json", sc.IOT_DOC, multiLine="true",
-                               mode="FAILFAST")
+        stream = change_stream(spark, layout.land("iot"), "json", sc.IOT_VARIANT, layout.max_files_per_trigger,
+                               multiLine="true", mode="FAILFAST")
         out["iot"] = cdc_into(stream, t["iot"], silver.iot_source_from_docs, "iot_merge",
                               layout.ckpt("iot_merge"), trigger)
     if "inventory" in which:
         # A plain insert (no key, no dedup): a projection of the stream into
         # the file sink, which commits each micro-batch exactly once through
         # its own metadata log -- no foreachBatch needed.
-        stream = change_stream(spark, layout.land("inventory"), "parquet", inventory_schema)
+        stream = change_stream(spark, layout.land("inventory"), "parquet", inventory_schema,
+                               layout.max_files_per_trigger)
         w = (silver.inventory(stream).writeStream.format("parquet")
                    .option("checkpointLocation", layout.ckpt("inventory_append"))
                    .queryName("inventory_append"))

@@ -63,7 +63,9 @@ def test_duplicate_source_keys_raise(spark):
 
 def test_update_where_touches_only_hits(spark):
     df = _tgt(spark, [("ORD_000001", 1), ("ORD_000002", 2)])
-    out = _as_map(update_where(df, F.col("k") == "ORD_000001", {"v": 99}, now=T1))
+    out = _as_map(update_where(df, F.col("k") == "ORD_000001", {"v": 99}))
+    assert out == {"ORD_000001": (99, T0, T0), "ORD_000002": (2, T0, T0)}
+    out = _as_map(update_where(df, F.col("k") == "ORD_000001", {"v": 99}, now=T1, touch="updated_at"))
     assert out == {"ORD_000001": (99, T0, T1), "ORD_000002": (2, T0, T0)}
 
 

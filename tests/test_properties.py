@@ -6,6 +6,7 @@ import decimal
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from naive import pos_iot_sensor_data_naive
 from strata.functions.expr import order_desc
 from strata.operators.dedup import latest_per_key
 from strata.operators.merge import merge, src
@@ -82,4 +83,4 @@ def test_sensor_rewrite_matches_naive(spark, sales, sensors):
                  None if r.average_sensor_value is None else round(float(r.average_sensor_value), 5))
                 for r in df.collect()}
     assert as_map(gold.pos_iot_sensor_data(iot, pos, ordered=False)) == \
-        as_map(gold.pos_iot_sensor_data_naive(iot, pos))
+        as_map(pos_iot_sensor_data_naive(iot, pos))

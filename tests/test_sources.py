@@ -45,6 +45,26 @@ def test_json_array_typed_and_variant(spark):
     assert [(r.event_id, r.sensor_value) for r in flat] == [("E1", decimal.Decimal("1.25"))]
 
 
+def test_json_stream_and_batch_read_alike(spark):
+    """Schema on read in both: rounding, numbers as text, missing and extra fields."""
+    d = tempfile.mkdtemp(prefix="iot-alike-")
+    _write(d, "a.json", '[{"event_id": "E1", "timestamp": "2024-01-05T10:00:00", "extra": {"x": 1}, "metadata": '
+                        '{"store_floor": 2.7, "battery_pct": "80"}, "readings": [{"sensor": "t", "value": "21.5"}]},'
+                        ' {"event_id": "E2", "readings": [{"sensor": "t", "value": 1}]}]')
+    batch = silver.dedup_iot(silver.iot_flatten(files.read_json_array(spark, d)))
+    out = tempfile.mkdtemp(prefix="iot-alike-out-")
+    seen = []
+    stream = spark.readStream.schema(sc.IOT_VARIANT).option("multiLine", True).json(d)
+    stream.writeStream.foreachBatch(lambda b, i: seen.append(silver.iot_source_from_docs(b).collect())) \
+        .option("checkpointLocation", out).trigger(availableNow=True).start().awaitTermination()
+    key = lambda r: r.event_id
+    rows = sorted(batch.collect(), key=key)
+    assert rows == sorted(seen[0], key=key)
+    assert (rows[0].store_floor, rows[0].battery_pct, rows[0].sensor_value) == \
+        (decimal.Decimal(3), decimal.Decimal(80), decimal.Decimal("21.50"))
+    assert rows[1].store_floor is None
+
+
 def test_ingest_stream_loads_new_files_once(spark):
     land = tempfile.mkdtemp(prefix="land-")
     out, ckpt = tempfile.mkdtemp(prefix="sink-"), tempfile.mkdtemp(prefix="ckpt-")

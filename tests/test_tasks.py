@@ -5,7 +5,7 @@ import tempfile
 
 import pytest
 
-from strata.plans import gold, mapping
+from strata.plans import fixtures, gold, mapping
 from strata.sources import files
 from strata.streaming.tasks import Layout, read_silver, register_tables, start_silver_tasks
 
@@ -16,11 +16,11 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not pre
 def test_silver_tasks_then_gold(spark):
     root = tempfile.mkdtemp(prefix="layout-")
     lay = Layout(landing=f"{root}/landing", silver=f"{root}/silver",
-                 checkpoints=f"{root}/ckpt", erp_bucket_count=4, iot_bucket_count=4)
+                 checkpoints=f"{root}/ckpt")
     files.write_csv(mapping.pos_raw(spark, SF), lay.land("pos"))
-    erp = mapping.erp_raw(spark, SF).drop("_shipdate")
+    erp = mapping.erp_raw(spark, SF).drop("_shipdate", "_action")   # files carry no action
     erp.write.parquet(lay.land("erp"))
-    files.write_json_arrays(mapping.iot_docs(spark, SF), lay.land("iot"), rows_per_file=500)
+    fixtures.write_json_arrays(mapping.iot_docs(spark, SF), lay.land("iot"), rows_per_file=500)
     inv = mapping.inventory_raw(spark, SF)
     inv.write.parquet(lay.land("inventory"))
     qs = start_silver_tasks(spark, lay, erp.schema, inv.schema, trigger="availableNow")
