@@ -10,8 +10,8 @@ Jaccard similarity of their sets is at least ``threshold``.
   the same ones; a chosen token is a path of length one, and the sets on a path a bucket.  A
   pair at the threshold misses a run with probability exp(-per_run) at most; runs are
   repeated until the missed share is below 1 - ``recall``.
-* Buckets of more than ``LIMIT`` sets (or ``WEIGHT`` tokens) are split again by a second and a
-  third chosen token.  A set whose tokens most of its bucket has stays in the bucket's core instead,
+* Buckets of more than ``SPLIT`` sets (or ``WEIGHT`` tokens) are split again by a second and a
+  third chosen token, so sets that share no more than a passage part.  A set whose tokens most of its bucket has stays in the bucket's core instead,
   since no token would separate it from the others.
 * Buckets that hold the same sets count once; small buckets are put together in bins of about
   ``BIN`` tokens, and cores over the limit are cut into blocks whose pairs are bins.  A bin is
@@ -44,8 +44,9 @@ NGRAM = 5
 THRESHOLD = 0.8
 RECALL = 1 - 1e-5
 PER_RUN = 4.0
-LIMIT = 4000               # sets of a bucket
-WEIGHT = 4_000_000         # tokens of a bucket
+SPLIT = 32                 # sets of a bucket from which on it is split again
+BLOCK = 4000               # sets of a block
+WEIGHT = 4_000_000         # tokens of a block
 SMALL = 64                 # sets of a bucket that shares a bin
 BIN = 600_000              # tokens of a shared bin
 DEPTH = 3
@@ -199,7 +200,7 @@ def _leaves(reps: DataFrame) -> DataFrame:
             F.bit_xor(F.xxhash64("k")).alias("x"), F.sum(F.shiftright(F.xxhash64("k", F.lit(7)), 24)).alias("s")) \
             .where("c > 1").groupBy("c", "w", "x", "s").agg(F.min("path").alias("path"))
         rows = rows.join(buckets.select("path", "c", "w"), "path").checkpoint()
-        heavy = (F.col("c") > LIMIT) | (F.col("w") > WEIGHT)
+        heavy = (F.col("c") > SPLIT) | (F.col("w") > WEIGHT)
         own = rows.where(~heavy) if depth < DEPTH else rows
         leaves = own if leaves is None else leaves.unionByName(own)
         rows = rows.where(heavy)
@@ -229,7 +230,7 @@ def _bins(leaves: DataFrame) -> DataFrame:
     small = (F.col("c") <= SMALL) & (F.col("w") <= BIN // 4)
     weight = leaves.where(small).agg(F.sum("n")).first()[0] or 0
     shared = max(1, -(-weight // BIN))
-    blocks = F.greatest(F.ceil(F.col("c") / LIMIT), F.ceil(F.col("w") / WEIGHT)).cast("int")
+    blocks = F.greatest(F.ceil(F.col("c") / BLOCK), F.ceil(F.col("w") / WEIGHT)).cast("int")
     own = F.pmod(F.xxhash64("k"), blocks.cast("long")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.xxhash64(
         "path", F.least(own, j), F.greatest(own, j)))
