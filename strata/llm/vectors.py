@@ -13,9 +13,9 @@ Calibration: ``CALIBRATE`` query vectors are compared with all rows, and the few
 probed that find a share ``recall`` of their true neighbours (vectors without any
 structure need most parts; clustered ones a few).
 
-Search: distinct query vectors go to their most probable parts; within a part and block
-all rows are ranked by exact inner products in double precision, and the best of all parts and
-blocks are kept.  Products are summed in one fixed order, so equal vectors tie exactly.
+Search: distinct query vectors go to their most probable part, then, with the score that its
+answers set as a bar, to the others; within a part and block all rows are ranked by exact inner products
+in double precision, and the best of all parts and blocks are kept.  Products are summed in one fixed order, so equal vectors tie exactly.
 
 Defined results: vectors that are null, empty, all zero or hold null, NaN or infinite components take no
 part, neither as rows nor as queries; a vector of another length than most (the
@@ -218,8 +218,13 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
-def _search(key, rows: pa.Table, queries: pa.Table, k: int, dim: int) -> pa.Table:
-    """Both sides of one part and block: the k best rows of each distinct query vector."""
+def _search(rows: pa.Table, queries: pa.Table, k: int, dim: int) -> pa.Table:
+    """Both sides of one part and block: the k best rows of each distinct query vector, as far
+    as they reach the query's bar."""
+    empty = pa.table({"q": pa.array([], pa.int64()), "id": pa.array([], pa.int64()),
+                      "score": pa.array([], pa.float64())})
+    if not rows.num_rows or not queries.num_rows:
+        return empty
     x = _matrix(rows.column("v"), dim)
     ids = rows.column("ids").combine_chunks()
     counts = np.diff(ids.offsets.to_numpy())
@@ -227,6 +232,7 @@ def _search(key, rows: pa.Table, queries: pa.Table, k: int, dim: int) -> pa.Tabl
     first = np.concatenate([[0], np.cumsum(counts)])
     q = _matrix(queries.column("v"), dim)
     keys = queries.column("q")
+    least = queries.column("bar").to_numpy()
     out_q, out_id, out_score = [], [], []
     for i in range(0, len(q), 512):
         rough = q[i:i + 512] @ x.T
@@ -234,7 +240,10 @@ def _search(key, rows: pa.Table, queries: pa.Table, k: int, dim: int) -> pa.Tabl
             own = rough[j]
             # Summation order of a matrix product is not fixed: take all that may be among the best.
             bar = np.partition(own, len(own) - k)[len(own) - k] if len(own) > k else -np.inf
+            bar = max(bar, least[i + j])
             near = np.flatnonzero(own >= bar - 1e-9 * max(1.0, abs(bar)) if np.isfinite(bar) else own > -np.inf)
+            if not len(near):
+                continue
             exact = exact_products(x[near], q[i + j])
             exact = np.repeat(exact, counts[near])
             mine = np.concatenate([flat[first[p]:first[p + 1]] for p in near])
@@ -243,8 +252,7 @@ def _search(key, rows: pa.Table, queries: pa.Table, k: int, dim: int) -> pa.Tabl
             out_id.append(mine[top])
             out_score.append(exact[top])
     if not out_q:
-        return pa.table({"q": pa.array([], keys.type), "id": pa.array([], pa.int64()),
-                         "score": pa.array([], pa.float64())})
+        return empty
     return pa.table({"q": keys.take(pa.array(np.concatenate(out_q))), "id": pa.array(np.concatenate(out_id)),
                      "score": pa.array(np.concatenate(out_score))})
 
@@ -285,16 +293,25 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, row_id: str = "vec_
     placed = placed.join(F.broadcast(blocks), "part").select(
         "part", F.pmod(F.xxhash64("v"), F.col("blocks")).alias("block"), "v", "ids")
     distinct = asked.dropDuplicates(["v"]).select("q", "v").mapInArrow(
-        lambda b: _routed(b, shared, m), f"q long, v {element}, parts array<int>") \
-        .select("q", "v", F.explode("parts").alias("part")).join(F.broadcast(blocks), "part") \
-        .select("q", "v", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+        lambda b: _routed(b, shared, m), f"q long, v {element}, parts array<int>").checkpoint()
     dim = model["dim"]
-    found = placed.groupBy("part", "block").cogroup(distinct.groupBy("part", "block")).applyInArrow(
-        lambda key, a, b: _search(key, a, b, k + 1, dim) if a.num_rows and b.num_rows else
-        pa.table({"q": pa.array([], pa.int64()), "id": pa.array([], pa.int64()),
-                  "score": pa.array([], pa.float64())}), "q long, id long, score double")
+
+    def among(questions: DataFrame) -> DataFrame:
+        questions = questions.join(F.broadcast(blocks), "part").select(
+            "q", "v", "bar", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+        return placed.groupBy("part", "block").cogroup(questions.groupBy("part", "block")).applyInArrow(
+            lambda key, a, b: _search(a, b, k + 1, dim), "q long, id long, score double")
+
+    # The most probable part first: what it finds is a bar for all others.
+    first = among(distinct.select("q", "v", F.col("parts")[0].alias("part"),
+                                  F.lit(float("-inf")).alias("bar"))).checkpoint()
+    bars = first.groupBy("q").agg(F.count("*").alias("c"), F.min("score").alias("bar")) \
+        .where(F.col("c") > k).select("q", "bar")
+    rest = distinct.select("q", "v", F.explode(F.slice("parts", 2, max(m - 1, 1))).alias("part")) \
+        .join(bars, "q", "left").select("q", "v", "part", F.coalesce("bar", F.lit(float("-inf"))).alias("bar"))
     nearest = Window.partitionBy("q").orderBy(F.desc("score"), "id")
-    found = found.withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= k + 1).checkpoint()
+    found = first.unionByName(among(rest)) \
+        .withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= k + 1).checkpoint()
     own = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return asked.select(F.col("id").alias("query_id"), "q").join(found, "q") \
         .where(F.col("query_id") != F.col("id")) \
