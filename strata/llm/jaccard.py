@@ -13,8 +13,9 @@ Jaccard similarity of their sets is at least ``threshold``.
 * Buckets of more than ``SPLIT`` sets (or ``WEIGHT`` tokens) are split again by a second and a
   third chosen token, so sets that share no more than a passage part.  A set whose tokens most of its bucket has stays in the bucket's core instead,
   since no token would separate it from the others.
-* Buckets that hold the same sets count once; small buckets are put together in bins of about
-  ``BIN`` tokens, and cores over the limit are cut into blocks whose pairs are bins.  A bin is
+* Buckets that hold the same sets count once, and buckets with the same smallest set are put together
+  (the many buckets of one group of similar sets); small ones share bins of about
+  ``BIN`` tokens, and those over the limit are cut into blocks whose pairs are bins.  A bin is
   compared by brute force, as products of token incidence matrices; no pair leaves it:
   it returns links a set has and the smallest set of its local component.  A pair that meets
   in several bins is counted in the smallest of them (each set knows its bins).
@@ -44,7 +45,7 @@ NGRAM = 5
 THRESHOLD = 0.8
 RECALL = 1 - 1e-5
 PER_RUN = 4.0
-SPLIT = 32                 # sets of a bucket from which on it is split again
+SPLIT = 4000               # sets of a bucket from which on it is split again
 BLOCK = 4000               # sets of a block
 WEIGHT = 4_000_000         # tokens of a block
 SMALL = 64                 # sets of a bucket that shares a bin
@@ -191,17 +192,18 @@ def compare(table: pa.Table, threshold: float) -> pa.Table:
 
 
 def _leaves(reps: DataFrame) -> DataFrame:
-    """(path, k, c, w): the sets on the paths to compare, with number and tokens of the path's sets."""
+    """(k, n, leader): the sets to compare; leader is the smallest set on a path."""
     rows = reps.select(F.explode("pool").alias("path"), "k", "n")
     leaves = None
     for depth in range(1, DEPTH + 1):
         buckets = rows.groupBy("path").agg(
             F.count("*").alias("c"), F.sum("n").alias("w"),
-            F.bit_xor(F.xxhash64("k")).alias("x"), F.sum(F.shiftright(F.xxhash64("k", F.lit(7)), 24)).alias("s")) \
-            .where("c > 1").groupBy("c", "w", "x", "s").agg(F.min("path").alias("path"))
-        rows = rows.join(buckets.select("path", "c", "w"), "path").checkpoint()
+            F.min("k").alias("leader"), F.bit_xor(F.xxhash64("k")).alias("x"),
+            F.sum(F.shiftright(F.xxhash64("k", F.lit(7)), 24)).alias("s")) \
+            .where("c > 1").groupBy("c", "w", "leader", "x", "s").agg(F.min("path").alias("path"))
+        rows = rows.join(buckets.select("path", "leader", "c", "w"), "path").checkpoint()
         heavy = (F.col("c") > SPLIT) | (F.col("w") > WEIGHT)
-        own = rows.where(~heavy) if depth < DEPTH else rows
+        own = (rows.where(~heavy) if depth < DEPTH else rows).select("k", "n", "leader")
         leaves = own if leaves is None else leaves.unionByName(own)
         rows = rows.where(heavy)
         if depth == DEPTH or rows.isEmpty():
@@ -212,21 +214,23 @@ def _leaves(reps: DataFrame) -> DataFrame:
         tokens = tokens.join(shares, ["path", "token"], "left").checkpoint()
         alike = tokens.groupBy("path", "k").agg(
             F.avg((F.coalesce("m", F.lit(1)) - 1) / (F.col("c") - 1)).alias("alike"))
-        core = rows.join(alike.where(F.col("alike") >= CORE), ["path", "k"]) \
-            .select(F.xxhash64("path", F.lit("core")).alias("path"), "k", "n")
-        sizes = core.groupBy("path").agg(F.count("*").alias("c"), F.sum("n").alias("w"))
-        leaves = leaves.unionByName(core.join(sizes, "path"))
+        core = rows.select("path", "k", "n").join(alike.where(F.col("alike") >= CORE), ["path", "k"])
+        leaders = core.groupBy("path").agg(F.min("k").alias("leader"))
+        leaves = leaves.unionByName(core.join(leaders, "path").select("k", "n", "leader"))
         # A third of the tokens, chosen by path and token, lead on.
         rows = tokens.where((F.col("m") > 1) & (F.col("token") != F.col("path"))
                             & (F.pmod(F.xxhash64("path", "token"), F.lit(3)) == 0)) \
             .join(alike.where(F.col("alike") < LEAVE), ["path", "k"]) \
             .select(F.xxhash64("path", "token").alias("path"), "k", "n")
-    return leaves.select("path", "k", "n", "c", "w")
+    return leaves
 
 
 def _bins(leaves: DataFrame) -> DataFrame:
     """(k, bins): where each set is compared."""
-    leaves = leaves.checkpoint()
+    # The buckets of one group of similar sets mostly have the same smallest set: they are one.
+    own = leaves.groupBy(F.xxhash64("leader").alias("path"), "k").agg(F.first("n").alias("n")).checkpoint()
+    sizes = own.groupBy("path").agg(F.count("*").alias("c"), F.sum("n").alias("w"))
+    leaves = own.join(sizes, "path").checkpoint()
     small = (F.col("c") <= SMALL) & (F.col("w") <= BIN // 4)
     weight = leaves.where(small).agg(F.sum("n")).first()[0] or 0
     shared = max(1, -(-weight // BIN))
@@ -283,7 +287,7 @@ def classes(docs: DataFrame, row_id: str = "doc_id", text: str = "text", ngram:
     texts = own.join(_small(active.select(F.col("rep").alias("id")).distinct(), 64), "id", "left_semi") \
         .unionByName(own.where("id is null")).drop("hash")
     tokens = texts.select("text").mapInArrow(lambda b: _payload(b, ngram), "k binary, tokens binary")
-    compared = tokens.join(_small(active.select("k", "copies", "bins"), 512), "k") \
+    compared = tokens.join(_small(active.select("k", "copies", "bins"), 256), "k") \
         .select("k", "copies", "bins", "tokens", F.explode("bins").alias("bin")) \
         .groupBy("bin").applyInArrow(lambda t: compare(t, threshold), "k binary, links long, root binary") \
         .checkpoint()
