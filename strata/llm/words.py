@@ -60,6 +60,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, off - off[0]
 
 
+def tidy() -> None:
+    """Give memory that Arrow holds back to the system: a worker waits for its next task with it."""
+    pa.default_memory_pool().release_unused()
+
+
 def lower_ascii(raw: np.ndarray) -> np.ndarray:
     table = np.arange(256, dtype=np.uint8)
     table[65:91] += 32
