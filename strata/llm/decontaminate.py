@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from strata.llm import words as W
 from strata.session import ensure_checkpoint_dir
@@ -179,13 +179,14 @@ def _blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> Ite
 
 def _run(docs, benchmark, text, item, item_text, size, block_bytes, remove) -> DataFrame:
     ensure_checkpoint_dir(docs.sparkSession)
+    row = F.struct(F.lit(0).alias("_"), *[c for c in docs.columns if c != text]).alias("row")
     kind = T.StructType([
-        T.StructField("row", docs.select(F.struct("*").alias("row")).schema["row"].dataType),
+        T.StructField("row", docs.select(row).schema["row"].dataType),
         T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()),
         T.StructField("n_hit", T.LongType()), T.StructField("items", T.ArrayType(T.StringType())),
         T.StructField("hit", T.BinaryType())])
     work = docs.select(
-        F.struct("*").alias("row"), F.col(text).cast("string").alias("text"),
+        row, F.col(text).cast("string").alias("text"),
         F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
         F.array().cast("array<string>").alias("items"), F.lit(None).cast("binary").alias("hit"))
     for k, block in enumerate(_blocks(benchmark, item, item_text, block_bytes)):
@@ -202,16 +203,20 @@ def _run(docs, benchmark, text, item, item_text, size, block_bytes, remove) -> D
 
 def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
          item_text: str = "text", size: int = SIZE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Columns ``row`` (the document's row), ``n_words``, ``n_hit``, ``items`` (sorted
-    ids as strings) and ``hit`` (packed bits, one a word; null: no hit)."""
-    return _run(docs, benchmark, text, item, item_text, size, block_bytes, False) \
-        .select("row", "n_words", "n_hit", "items", "hit")
+    """Columns ``row`` (the document's columns but its text), ``text``, ``n_words``, ``n_hit``, ``items``
+    (sorted ids as strings) and ``hit`` (packed bits, one a word; null: no hit)."""
+    return _run(docs, benchmark, text, item, item_text, size, block_bytes, False)
 
 
-def remove_documents(docs: DataFrame, benchmark: DataFrame, max_hit: float = 0.0, **names) -> DataFrame:
+def _rows(docs: DataFrame, text: str) -> list[Column]:
+    return [F.col("text").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns]
+
+
+def remove_documents(docs: DataFrame, benchmark: DataFrame, max_hit: float = 0.0, text: str = "text",
+                     **names) -> DataFrame:
     """The documents whose share of hit words is at most ``max_hit``."""
-    return scan(docs, benchmark, **names) \
-        .where(F.col("n_hit") <= F.col("n_words") * F.lit(float(max_hit))).select("row.*")
+    return scan(docs, benchmark, text=text, **names) \
+        .where(F.col("n_hit") <= F.col("n_words") * F.lit(float(max_hit))).select(*_rows(docs, text))
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
@@ -221,5 +226,4 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
     window is left; a document that was nothing but benchmark text goes."""
     kept = F.trim(F.regexp_replace("text", r"[\s\p{Punct}]+", " "))
     work = _run(docs, benchmark, text, item, item_text, size, block_bytes, True)
-    row = [F.col("text").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns]
-    return work.where((F.col("n_hit") == 0) | (F.length(kept) > 0)).select(*row)
+    return work.where((F.col("n_hit") == 0) | (F.length(kept) > 0)).select(*_rows(docs, text))

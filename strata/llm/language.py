@@ -35,7 +35,7 @@ SMOOTH = 0.5
 PENALTY = 4.0            # log-probability lost with each switch
 SEEN = 0.005             # share of a language's letters that makes a script one of its own
 MAX_ROWS = 20_000
-STEP = 2_000_000         # characters worked on at a time
+STEP = 1_000_000         # characters worked on at a time
 SCORES = 8_000_000       # trigram scores looked up at a time
 
 # Script ranges of Unicode (first and last code point).
@@ -229,7 +229,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", row_id: str = "
     return Model([r["lang"] for r in got], counts[:BUCKETS], counts[BUCKETS:])
 
 
-def _predict(batches: Iterator[pa.RecordBatch], shared, penalty: float, spans: bool):
+def _predict(batches: Iterator[pa.RecordBatch], shared, penalty: float, spans: bool, with_text: bool = False):
     model = Model.__new__(Model)
     vars(model).update(shared.value)
     n_langs = max(len(model.langs), 1)
@@ -255,14 +255,16 @@ def _predict(batches: Iterator[pa.RecordBatch], shared, penalty: float, spans: b
                     top = int(of[k].argmax())
                     lang.append(model.langs[top])
                     score.append(float(of[k, top] / total[k]))
-            out = [batch.column("row").slice(first, len(texts)), pa.array(lang, pa.string()),
-                   pa.array(score, pa.float64())]
+            out = [batch.column(k).slice(first, len(texts)) for k in (("row", "text") if with_text else ("row",))]
+            out += [pa.array(lang, pa.string()), pa.array(score, pa.float64())]
             if spans:
                 out.append(pa.array(_spans(words, label, model.langs, len(texts))
                                     if model.langs else [[] for _ in texts],
                                     pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int64()),
                                                         ("letters", pa.int64())]))))
-            yield pa.RecordBatch.from_arrays(out, names=["row", "lang_pred", "score", "spans"][:len(out)])
+            names = ["row", *["text"] * with_text, "lang_pred", "score", *["spans"] * spans]
+            yield pa.RecordBatch.from_arrays(out, names=names)
+        W.tidy()
 
 
 def _spans(words: Features, label: np.ndarray, langs: list[str], n: int) -> list[list[dict]]:
@@ -291,7 +293,15 @@ def predict(docs: DataFrame, model: Model, text: str = "text", penalty: float =
         .mapInArrow(lambda batches: _predict(batches, shared, penalty, spans), kind)
 
 
-def reject(docs: DataFrame, model: Model, min_score: float = 0.0, **names) -> DataFrame:
+def reject(docs: DataFrame, model: Model, min_score: float = 0.0, text: str = "text",
+           penalty: float = PENALTY) -> DataFrame:
     """The documents with a language (not ``und``) and a score of at least ``min_score``."""
-    return predict(docs, model, **names) \
-        .where((F.col("lang_pred") != "und") & (F.col("score") >= min_score)).select("row.*")
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+    # The text goes to the tasks and back once, beside the other columns.
+    own = docs.select(F.struct(F.lit(0).alias("_"), *[c for c in docs.columns if c != text]).alias("row"),
+                      F.col(text).cast("string").alias("text"))
+    kind = T.StructType([*own.schema.fields, T.StructField("lang_pred", T.StringType()),
+                         T.StructField("score", T.DoubleType())])
+    found = own.mapInArrow(lambda batches: _predict(batches, shared, penalty, False, True), kind)
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= min_score)).select(
+        *[F.col("text").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])
