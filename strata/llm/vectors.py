@@ -141,7 +141,9 @@ def fit(rows: DataFrame, sample: int = SAMPLE, part_rows: int = PART_ROWS) -> di
     if n > sample:
         own = own.where(F.pmod(F.xxhash64("v", F.lit(11)), F.lit(1 << 20)) < int((1 << 20) * sample / n))
     got = sorted(tuple(r["v"]) for r in own.collect())
-    size = len(got[0]) if got else 0
+    if not got:
+        return {"parts": 0, "dim": 0}
+    size = len(got[0])
     x = np.array([v for v in got if len(v) == size], dtype=np.float64).reshape(-1, size)
     parts = int(min(MAX_PARTS, max(1, -(-n // part_rows)), max(1, len(x) // 32)))
     if parts == 1:

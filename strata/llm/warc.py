@@ -287,15 +287,23 @@ def _whole(spark: SparkSession, path: str, found: DataFrame, parts: DataFrame) -
     """The records that hold magic, put together; a group is the segments of one record."""
     splits = found.select("file", "block", "size").distinct().withColumn("base", F.coalesce(F.sum("size").over(
         Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    spans = parts.select("file", "offset", (F.col("base") + F.col("next_rel")).alias("stop"))
-    files = spans.select("file").distinct()
+    spans = parts.select("file", F.col("offset").alias("at"), F.col("offset").alias("owner"),
+                         (F.col("base") + F.col("next_rel")).alias("stop"))
     segments = _segments(spark, path).mapInArrow(
         _placed, "file string, block long, value binary, rel long") \
-        .join(files, "file", "left_semi").join(splits, ["file", "block"]) \
+        .join(spans.select("file").distinct(), "file", "left_semi").join(splits, ["file", "block"]) \
         .select("file", (F.col("base") + F.col("rel")).alias("at"), "value").where("at >= 0")
-    whole = spans.join(segments, (spans.file == segments.file) & (segments["at"] >= spans.offset)
-                       & (segments["at"] < spans.stop)) \
-        .groupBy(spans.file, "offset").agg(F.collect_list(F.struct("at", "value")).alias("segments")) \
+    # A segment belongs to the last record that starts at or before it, up to that record's end;
+    # the window holds offsets only.
+    none = F.lit(None).cast("long")
+    before = Window.partitionBy("file").orderBy("at", F.col("owner").asc_nulls_last()) \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    owned = segments.select("file", "at", none.alias("owner"), none.alias("stop")).unionByName(spans) \
+        .select("file", "at", "owner", F.last("owner", ignorenulls=True).over(before).alias("offset"),
+                F.last("stop", ignorenulls=True).over(before).alias("end")) \
+        .where(F.col("owner").isNull() & (F.col("at") < F.col("end"))).select("file", "at", "offset")
+    whole = segments.join(owned, ["file", "at"]) \
+        .groupBy("file", "offset").agg(F.collect_list(F.struct("at", "value")).alias("segments")) \
         .mapInArrow(_joined, "file string, offset long, payload_bytes long, payload_digest string")
     return parts.drop("payload_bytes", "payload_digest").join(whole, ["file", "offset"])
 
