@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from strata.llm import bpe, chat, decontaminate, jaccard, language, lm, pii, quality, vectors, warc
+from strata.llm.oracles import ORACLE_SQL  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,4 +104,3 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_warc": op10_warc,
 }
-ORACLE_SQL: dict[str, str] = {}
