@@ -98,8 +98,10 @@ class Codec:
     def decoded(self, ids: pa.LargeListArray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of all texts after each other, and the n+1 bounds of the texts."""
         flat = ids.flatten()
-        own = self.bytes.take(flat)
-        if own.null_count:
+        ends = pc.min_max(flat).as_py()
+        out = len(flat) > 0 and (ends["min"] is None or ends["min"] < 0 or ends["max"] >= len(self.bytes))
+        own = self.bytes.take(flat) if not out else None
+        if out or own.null_count:
             raise ValueError("an id is outside the vocabulary")
         _, bounds, data = own.buffers()
         bounds = np.frombuffer(bounds, np.int64)[own.offset:own.offset + len(own) + 1]

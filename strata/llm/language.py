@@ -288,7 +288,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text", penalty: float =
     kind = T.StructType([T.StructField("row", docs.select(row).schema["row"].dataType),
                          T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     if spans:
-        kind = kind.add("spans", "array<struct<lang:string,words:bigint,letters:bigint>>")
+        span = T.StructType().add("lang", T.StringType()).add("words", T.LongType()).add("letters", T.LongType())
+        kind = kind.add("spans", T.ArrayType(span))
     return docs.select(row, F.col(text).cast("string").alias("text")) \
         .mapInArrow(lambda batches: _predict(batches, shared, penalty, spans), kind)
 
