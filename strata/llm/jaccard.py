@@ -10,7 +10,7 @@ Jaccard similarity of their sets is at least ``threshold``.
   the same ones; a chosen token is a path of length one, and the sets on a path a bucket.  A
   pair at the threshold misses a run with probability exp(-per_run) at most; runs are
   repeated until the missed share is below 1 - ``recall``.
-* Buckets of more than ``SPLIT`` sets (or ``WEIGHT`` tokens) are split again by a second and a
+* Buckets of more than ``SPLIT`` sets (or ``SPLIT_WEIGHT`` tokens) are split again by a second and a
   third chosen token, so sets that share no more than a passage part.  A set whose tokens most of its bucket has stays in the bucket's core instead,
   since no token would separate it from the others.
 * Buckets that hold the same sets count once, and buckets with the same smallest set are put together
@@ -46,8 +46,9 @@ THRESHOLD = 0.8
 RECALL = 1 - 1e-5
 PER_RUN = 4.0
 SPLIT = 4000               # sets of a bucket from which on it is split again
-BLOCK = 4000               # sets of a block
-WEIGHT = 4_000_000         # tokens of a block
+SPLIT_WEIGHT = 4_000_000   # the same in tokens
+BLOCK = 1500               # sets of a block; two blocks are compared at a time
+WEIGHT = 1_500_000         # tokens of a block
 SMALL = 64                 # sets of a bucket that shares a bin
 BIN = 600_000              # tokens of a shared bin
 DEPTH = 3
@@ -104,6 +105,7 @@ def _describe(batches, n: int, runs: int, per_run: float, threshold: float):
                  pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([chosen(s, runs, per_run, threshold) for s in sets], pa.list_(pa.int64()))],
                 names=["id", "hash", "k", "n", "pool"])
+        W.tidy()
 
 
 def _payload(batches, n: int):
@@ -115,6 +117,7 @@ def _payload(batches, n: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([set_key(s) for s in sets], pa.binary()), pa.array(short, pa.binary())],
                 names=["k", "tokens"])
+        W.tidy()
 
 
 def overlaps(values: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
@@ -170,7 +173,7 @@ def compare(table: pa.Table, threshold: float) -> pa.Table:
     common = overlaps(wide.view(np.uint64).reshape(-1), np.repeat(np.arange(count), size), count)
     both = size[:, None] + size[None, :]
     linked = (common * (1 + threshold) >= threshold * both - 1e-6) & (common > 0)
-    del both, common
+    del both, common, wide
     bins, of = _lists(table.column("bins"))
     earlier = bins < table.column("bin")[0].as_py()
     counted = linked & (overlaps(bins[earlier], of[earlier], count) == 0)
@@ -202,7 +205,7 @@ def _leaves(reps: DataFrame) -> DataFrame:
             F.sum(F.shiftright(F.xxhash64("k", F.lit(7)), 24)).alias("s")) \
             .where("c > 1").groupBy("c", "w", "leader", "x", "s").agg(F.min("path").alias("path"))
         rows = rows.join(buckets.select("path", "leader", "c", "w"), "path").checkpoint()
-        heavy = (F.col("c") > SPLIT) | (F.col("w") > WEIGHT)
+        heavy = (F.col("c") > SPLIT) | (F.col("w") > SPLIT_WEIGHT)
         own = (rows.where(~heavy) if depth < DEPTH else rows).select("k", "n", "leader")
         leaves = own if leaves is None else leaves.unionByName(own)
         rows = rows.where(heavy)
@@ -234,7 +237,8 @@ def _bins(leaves: DataFrame) -> DataFrame:
     small = (F.col("c") <= SMALL) & (F.col("w") <= BIN // 4)
     weight = leaves.where(small).agg(F.sum("n")).first()[0] or 0
     shared = max(1, -(-weight // BIN))
-    blocks = F.greatest(F.ceil(F.col("c") / BLOCK), F.ceil(F.col("w") / WEIGHT)).cast("int")
+    blocks = F.when((F.col("c") <= 2 * BLOCK) & (F.col("w") <= 2 * WEIGHT), 1).otherwise(
+        F.greatest(F.ceil(F.col("c") / BLOCK), F.ceil(F.col("w") / WEIGHT))).cast("int")
     own = F.pmod(F.xxhash64("k"), blocks.cast("long")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.xxhash64(
         "path", F.least(own, j), F.greatest(own, j)))

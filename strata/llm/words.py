@@ -14,7 +14,7 @@ import pyarrow as pa
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 2 ** 64)
-STEP = 4_000_000          # bytes segmented at a time; a longer text goes alone
+STEP = 2_000_000          # bytes segmented at a time; a longer text goes alone
 
 
 def mix(x: np.ndarray) -> np.ndarray:
