@@ -31,7 +31,7 @@ from strata.session import ensure_checkpoint_dir
 
 SIZE = 10
 BLOCK_BYTES = 32 << 20
-BLOOM_BITS = 24
+BLOOM_BITS = 20
 
 
 class Windows:
@@ -78,6 +78,8 @@ class Windows:
             at, value = words.windows(h, length)
             near = np.flatnonzero(bloom[value >> np.uint64(64 - BLOOM_BITS)])
             first = np.searchsorted(known, value[near])
+            same = known[np.minimum(first, len(known) - 1)] == value[near]
+            near, first = near[same], first[same]
             for i, k, v in zip(at[near].tolist(), first.tolist(), value[near].tolist()):
                 while k < len(known) and int(known[k]) == v:
                     if words.word_bytes(i, length) == keys[k]:
@@ -136,6 +138,7 @@ def _cut_pass(batches: Iterator[pa.RecordBatch], windows: Windows):
             [*out, pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
              pa.array(items, pa.list_(pa.string())), batch.column("hit").cast(pa.binary())],
             names=["row", "text", "n_words", "n_hit", "items", "hit"])
+        W.tidy()
 
 
 def _mark_pass(batches: Iterator[pa.RecordBatch], windows: Windows):
@@ -164,6 +167,7 @@ def _mark_pass(batches: Iterator[pa.RecordBatch], windows: Windows):
              pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())),
              pa.array(bits, pa.binary())],
             names=["row", "text", "n_words", "n_hit", "items", "hit"])
+        W.tidy()
 
 
 def _blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> Iterator[list]:
