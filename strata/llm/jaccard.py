@@ -55,6 +55,7 @@ DEPTH = 3
 CORE, LEAVE = 0.25, 0.6    # shares of common tokens: from CORE on in the core, below LEAVE split on
 BROADCAST = 32 << 20       # bytes
 SPARSE = 32                # tokens of at most so many sets are counted pair by pair
+STRIPE = 256               # rows of a bin's matrix that are judged at a time
 
 
 def token_sets(raw: np.ndarray, offsets: np.ndarray, n: int) -> Iterator[tuple[int, int, list[np.ndarray]]]:
@@ -171,9 +172,12 @@ def compare(table: pa.Table, threshold: float) -> pa.Table:
     wide = np.zeros((int(size.sum()), 8), dtype=np.uint8)
     np.concatenate(tokens, out=wide[:, :5])
     common = overlaps(wide.view(np.uint64).reshape(-1), np.repeat(np.arange(count), size), count)
-    both = size[:, None] + size[None, :]
-    linked = (common * (1 + threshold) >= threshold * both - 1e-6) & (common > 0)
-    del both, common, wide
+    linked = np.empty((count, count), dtype=bool)
+    for i in range(0, count, STRIPE):                    # in float64: float32 loses pairs at the threshold
+        own = common[i:i + STRIPE].astype(np.float64)
+        both = size[i:i + STRIPE, None] + size[None, :]
+        linked[i:i + STRIPE] = (own * (1 + threshold) >= threshold * both - 1e-6) & (own > 0)
+    del common, wide
     bins, of = _lists(table.column("bins"))
     earlier = bins < table.column("bin")[0].as_py()
     counted = linked & (overlaps(bins[earlier], of[earlier], count) == 0)

@@ -146,6 +146,21 @@ def test_jaccard_join_on_hard_groups(spark, monkeypatch, sizes):
     assert jaccard.classes(df.limit(0)).count() == 0 and jaccard.keep_one(df.limit(0)).count() == 0
 
 
+def test_jaccard_join_links_pairs_at_exactly_the_threshold(spark):
+    """Sets of 15 and 12, 27 and 27, 35 and 28 runs that share 12, 24 and 28: similarity 0.8."""
+    rng = random.Random(8)
+    text = lambda n: [f"w{rng.randrange(10 ** 9)}" for _ in range(n)]
+    rows = []
+    for _ in range(10):
+        for base, other in ((text(19), 16), (text(31), 28), (text(39), 32)):
+            tail = text(3) if len(base) == 31 else []
+            rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(base[:other] + tail))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want, n_kept = brute_classes(rows)
+    assert n_kept == len(rows) // 2 and classes(df) == want
+    assert jaccard.keep_one(df).count() == n_kept
+
+
 # ---------------------------------------------------------------- 10
 def pages_of(spark):
     magic = "x WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nWARC/1.1\r\n end"
