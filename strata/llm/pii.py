@@ -25,7 +25,13 @@ secret     key=value (password, secret, letters and digits, each within its clas
            and ghp_ keys, sk- keys
 ========== ============================ =============================================
 
-A match that fails its check stays as it is.  Digits are permuted as numbers of up to 9
+A match that fails its check stays as it is.  A run of groups of digits may hold a card and its
+neighbours (security code, expiry, quantity): its stretches of whole groups are tried, groups of 13 to 19
+digits and the groupings that cards are printed in first, then others of at most ``GROUPS`` groups or
+the whole run (``stretches``).  An IBAN ends where its country's length does; of
+other countries the last groups go until modulo 97 fits (one text in 97 with such a group behind may not go back).  A pseudonym that would make
+another stretch of its run fit is permuted again (``WALK`` times at most), so ``decrypt`` finds the same
+stretches; such a run's card has a pseudonym of its own there.  Digits are permuted as numbers of up to 9
 digits a half; other values character by character, the halves of a value
 turning each other (classes a-z, A-Z, 0-9; other characters stay).
 
@@ -43,17 +49,46 @@ ROUNDS = 6
 DAYS_A, DAYS_B = 189, 773            # their product: the days of 400 years
 SECRET_NAMES = "password|passwd|pwd|secret|token|api_key|apikey|access_key|auth"
 
+GROUPS = 6                           # groups of digits in a stretch of a run
+WALK = 32                            # times that a run is permuted again
+WALK_GROUPS = 64                     # in longer runs of groups once: numbers in tables
+
+# How cards are printed, by the digits of their groups.
+PRINTED = ["4 4 4 4", "4 6 5", "4 6 4", "4 4 4 4 3", "4 4 4 4 2", "4 4 4 4 1", "6 13"]
+
+# Lengths of IBANs by country (ISO 13616 registry).
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC SM",
+    28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+    32: "LC", 33: "RU"}
+
+
+def _iban_of(length: int, countries: str) -> str:
+    groups, rest = divmod(length - 4, 4)
+    return rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:[ ]?[A-Z0-9]{{4}}){{{groups}}}" \
+        + (rf"[ ]?[A-Z0-9]{{{rest}}}\b" if rest else r"\b")
+
+
+_NATIONAL = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z\-])"
+_DATE = r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|" \
+        r"[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9A-Za-z])"
+_IP = r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])"
+
 # The formats, by kind, in the order in which they are tried.  Java regular expressions.
 FORMATS = {
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24}",
     "secret": r"(?i:\b(?:" + SECRET_NAMES + r")[=:][ ]?)[A-Za-z0-9_\-/+]{6,128}"
               r"|\bAKIA[0-9A-Z]{16}\b|\bghp_[A-Za-z0-9]{20,64}\b|\bsk-[A-Za-z0-9]{16,64}\b",
-    "iban": r"\b[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?\b",
+    "iban": r"\b(?=[A-Z]{2}[0-9]{2})(?:" + "|".join(_iban_of(n, c) for n, c in IBAN_LENGTHS.items()) + r"|[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?\b)",
     "phone": r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .\-]?\(?[0-9]{2,4}\)?[ .\-]?[0-9]{3,4}[ .\-]?[0-9]{3,4}(?![0-9])",
-    "card": r"(?<![0-9A-Za-z.+\-])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9A-Za-z])",
     "national": r"(?<![0-9A-Za-z\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z\-])",
     "date": r"(?<![0-9A-Za-z])(?:[0-9]{4}([\-/])[0-9]{2}\1[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|"
             r"[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9A-Za-z])",
+    # A run of groups, up to a letter or a value of another format.
+    "card": r"(?<![0-9A-Za-z.+\-])(?=[0-9](?:[ \-]?[0-9]){12})[0-9]++(?![A-Za-z])"
+            rf"(?:[ \-](?!{_NATIONAL}|{_DATE}|{_IP})[0-9]++(?![A-Za-z]))*+",
     "ip": r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])",
 }
 #: What every format has somewhere; a text without it is not searched.
@@ -130,14 +165,77 @@ def luhn_digit(payload: Column) -> Column:
     return F.pmod(10 - total % 10, F.lit(10)).cast("string")
 
 
+def _is_card(d: Column) -> Column:
+    return luhn_digit(F.substr(d, F.lit(1), F.length(d) - 1)) == F.substr(d, F.length(d), F.lit(1))
+
+
+def _one_card(d: Column, key: str, back: bool) -> Column:
+    payload = F.substr(d, F.lit(1), F.length(d) - 1)
+    return _let(permute_digits(payload, key, "card", back), lambda p: F.concat(p, luhn_digit(p)))
+
+
+def _scan(groups: Column, sizes: Column, taken: Column, tried: list[int], printed: bool) -> Column:
+    """For each group the number of groups of the stretch that starts there (0: none), from the left.
+    Numbers of groups are ``tried`` in order (0: the whole run); ``taken`` are stretches that are found already."""
+    def step(a, i):
+        def fits(m):
+            own = F.slice(sizes, i + 1, m)
+            shape = F.array_join(own, " ").isin([str(n) for n in range(13, 20)] + PRINTED) if printed else \
+                F.aggregate(own, F.lit(0), lambda s, x: s + x).between(13, 19)
+            return (i + m <= F.size(groups)) & shape & ~F.exists(F.slice(taken, i + 1, m), lambda x: x != 0) \
+                & _is_card(F.array_join(F.slice(groups, i + 1, m), ""))
+        those = F.array(*(F.lit(m) if m else F.when(i == 0, F.size(groups)).otherwise(1) for m in tried))
+        found = F.when(i < a["next"], 0).otherwise(F.greatest(F.get(taken, i), F.coalesce(F.get(F.filter(those, fits), F.lit(0)), F.lit(0))))
+        return _let(found.cast("int"), lambda m: F.struct(
+            F.concat(a["out"], F.array(m)).alias("out"), F.greatest(a["next"], i + m).alias("next")))
+
+    start = F.struct(F.array().cast("array<int>").alias("out"), F.lit(0).alias("next"))
+    return F.aggregate(F.sequence(F.lit(0), F.size(groups) - 1), start, step, lambda a: a["out"])
+
+
+def stretches(groups: Column) -> Column:
+    """The cards among groups of digits, as numbers of groups by first group."""
+    def body(sizes):
+        # Of many groups in whole runs only: numbers in tables are no cards.
+        first = _scan(groups, sizes, F.transform(sizes, lambda _: F.lit(0)), [1, 4, 3, 5, 2], True)
+        return _let(first, lambda taken: _scan(groups, sizes, taken, [0, *range(GROUPS, 1, -1)], False))
+    return _let(F.transform(groups, F.length), body)
+
+
+def _exchanged(groups: Column, cut: Column, key: str, back: bool) -> Column:
+    """The groups with the stretches ``cut`` permuted."""
+    def step(a, i):
+        m = F.get(cut, i)
+        own = F.slice(groups, i + 1, m)
+
+        def dealt(new):
+            at = lambda j: F.aggregate(F.slice(own, 1, j), F.lit(0), lambda s, x: s + F.length(x))
+            return F.transform(own, lambda x, j: F.substr(new, at(j) + 1, F.length(x)))
+        return F.when(m > 0, F.struct(F.concat(a["out"], _let(
+            _one_card(F.array_join(own, ""), key, back), dealt)).alias("out"), (i + m).alias("next"))) \
+            .when(i >= a["next"], F.struct(F.concat(a["out"], F.array(F.get(groups, i))).alias("out"),
+                                           a["next"].alias("next"))).otherwise(a)
+
+    start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).alias("next"))
+    return F.aggregate(F.sequence(F.lit(0), F.size(groups) - 1), start, step, lambda a: a["out"])
+
+
+def _cards(v: Column, groups: Column, key: str, back: bool) -> Column:
+    """The run ``v`` with the cards among its groups permuted."""
+    def body(cut):
+        again = lambda s, _: F.when(s["done"], s).otherwise(_let(
+            _exchanged(s["g"], cut, key, back), lambda g: F.struct(g.alias("g"), (stretches(g) == cut).alias("done"))))
+        times = F.when(F.size(groups) <= WALK_GROUPS, WALK).otherwise(1)
+        new = F.aggregate(F.sequence(F.lit(1), times), F.struct(groups.alias("g"), F.lit(False).alias("done")),
+                          again, lambda s: F.array_join(s["g"], ""))
+        return F.when(F.exists(cut, lambda m: m > 0), _let(new, lambda n: _refill(v, n))).otherwise(v)
+    return _let(stretches(groups), body)
+
+
 def card(v: Column, key: str, back: bool = False) -> Column:
-    def body(d):
-        payload = F.substr(d, F.lit(1), F.length(d) - 1)
-        new = _let(permute_digits(payload, key, "card", back), lambda p: F.concat(p, luhn_digit(p)))
-        return F.when(luhn_digit(payload) == F.substr(d, F.length(d), F.lit(1)),
-                      F.when(F.length(v) == F.length(d), new).otherwise(_let(new, lambda n: _refill(v, n)))) \
-            .otherwise(v)
-    return _let(_only_digits(v), body)
+    alone = F.when(F.length(v).between(13, 19) & _is_card(v), _one_card(v, key, back)).otherwise(v)
+    return F.when(v.rlike("^[0-9]+$"), alone).otherwise(
+        _let(F.split(v, "[ -]"), lambda g: _cards(v, g, key, back)))
 
 
 def phone(v: Column, key: str, back: bool = False) -> Column:
@@ -227,17 +325,31 @@ def _mod97(text: Column) -> Column:
         c.rlike("^[0-9]$"), (a * 10 + c.cast("int")) % 97).otherwise((a * 100 + F.ascii(c) - 55) % 97))
 
 
-def iban(v: Column, key: str, back: bool = False) -> Column:
+def _one_iban(v: Column, key: str, back: bool) -> Column:
+    """Null if modulo 97 does not fit."""
     def body(d):
         country, rest = F.substr(d, F.lit(1), F.lit(2)), F.substr(d, F.lit(5), F.length(d))
         new = _let(permute_text(rest, key, "iban", back), lambda r: F.concat(
             country, F.lpad((98 - _mod97(F.concat(r, country, F.lit("00")))).cast("string"), 2, "0"), r))
         spaced = F.trim(F.regexp_replace(new, "(.{4})", "$1 "))
         return F.when(_mod97(F.concat(rest, F.substr(d, F.lit(1), F.lit(4)))) == 1,
-                      F.when(v.contains(" "), spaced).otherwise(new)).otherwise(v)
+                      F.when(v.contains(" "), spaced).otherwise(new))
     return _let(F.regexp_replace(v, " ", ""), body)
 
 
+def iban(v: Column, key: str, back: bool = False) -> Column:
+    """The longest beginning of whole groups that fits; what stands behind it stays."""
+    def body(g):
+        def step(a, k):
+            head = F.array_join(F.slice(g, 1, k), " ")
+            return F.when(a.isNotNull(), a).otherwise(F.when(
+                F.length(F.regexp_replace(head, " ", "")) >= 12, _let(head, lambda h: F.concat(
+                    _one_iban(h, key, back), F.substr(v, F.length(h) + 1, F.length(v))))))
+        return F.coalesce(F.aggregate(F.sequence(F.size(g), F.lit(1), F.lit(-1)),
+                                      F.lit(None).cast("string"), step), v)
+    return _let(F.split(v, " "), body)
+
+
 KINDS: dict[str, Callable[..., Column]] = {
     "email": email, "secret": secret, "iban": iban, "phone": phone, "card": card,
     "national": national, "date": date, "ip": ip}

@@ -1,0 +1,33 @@
+"""Pseudonyms of values that stand next to other numbers and words."""
+
+from strata.llm import pii
+
+CARD, GROUPED = "4337166598464399", "4337 1665 9846 4399"
+AT, ES, GB = "AT611904300234573201", "ES9121000418450200051332", "GB29 NWBK 6016 1331 9268 19"
+DAY, SSN, HOST = "1980-02-29", "123-45-6789", "10.20.30.40"
+ROWS = [(f"pay {CARD} 123 now", CARD), (f"{CARD} 12/27", CARD), (f"qty 12 {GROUPED}", GROUPED),
+        (f"qty 12345 {GROUPED} 99", GROUPED), (f"1227 {GROUPED} 123", GROUPED), (f"{CARD} 12a", CARD),
+        (f"{GROUPED} {GROUPED}", GROUPED), ("12 3782 822463 10005 1234", "3782 822463 10005"),
+        (f"{CARD} {SSN}", SSN), (f"{CARD} {DAY}", DAY), (f"{DAY} 4337 1665", DAY), (f"1234 5678 9012 3 {HOST}", HOST),
+        (f"{AT} EUR", AT), (f"{ES} 100", ES), (f"{AT} TOTAL", AT), (f"{GB} 1000", GB), (f"{AT} {GROUPED}", GROUPED),
+        ("AT61 1904 3002 3457 3201 DE89 3704 0044 0532 0130 00", "DE89 3704 0044 0532 0130 00"),
+        ("ZZ12345678901234 EUR", None)]
+STAY = ["1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20", "4337166598464398 123", "9" * 40, "DE89370400440532013001 EUR"]
+
+
+def test_values_beside_other_numbers_and_words(spark):
+    zz = next(f"ZZ{k:02d}123456789012 EUR" for k in range(2, 99)
+              if int("".join(str(int(c, 36)) for c in f"123456789012ZZ{k:02d}")) % 97 == 1)
+    rows = [*ROWS[:-1], (zz, zz[:16])]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*(t for t, _ in rows), *STAY, CARD, GROUPED, AT])],
+                               "doc_id long, text string")
+    out = pii.pseudonymise(df, "key").orderBy("doc_id").checkpoint()
+    got = [r.text for r in out.collect()]
+    for (text, value), new in zip(rows, got):
+        assert value not in new, (text, new)
+    assert got[len(rows):-3] == STAY
+    card, grouped, account = got[-3:]
+    assert got[0] == f"pay {card} 123 now" and got[1] == f"{card} 12/27" and got[2] == f"qty 12 {grouped}"
+    assert got[12] == f"{account} EUR"
+    back = pii.pseudonymise(out, "key", decrypt=True).orderBy("doc_id").collect()
+    assert [r.text for r in back] == [r.text for r in df.collect()]
