@@ -92,7 +92,7 @@ FORMATS = {
     "ip": r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])",
 }
 #: What every format has somewhere; a text without it is not searched.
-HINT = r"[0-9]|@|[=:]"
+HINT = r"[0-9]|@|[=:]|AKIA|ghp_|sk-"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
