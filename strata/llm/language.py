@@ -8,8 +8,8 @@ with add-``SMOOTH`` estimates.  Viterbi over a document's words, with a
 penalty for each switch of language, labels spans.  A document's language is the
 one with the most labelled letters, its score that language's share of them.
 
-Training counts come from a bounded sample of labelled rows (about ``max_rows``, taken
-by hash of id; all if fewer); the counts of one language are 2**16 numbers, so what
+Training counts come from a bounded sample of labelled rows (an even share of about ``max_rows`` for each
+language, ``FEW`` at least, taken by hash of id; all if fewer); the counts of one language are 2**16 numbers, so what
 reaches the driver is bounded by the number of languages.
 
 Defined results: null text and text without a letter are ``und`` with score 0; rows
@@ -35,6 +35,7 @@ SMOOTH = 0.5
 PENALTY = 4.0            # log-probability lost with each switch
 SEEN = 0.005             # share of a language's letters that makes a script one of its own
 MAX_ROWS = 20_000
+FEW = 1_000              # rows to learn a language from, however many languages there are
 STEP = 1_000_000         # characters worked on at a time
 SCORES = 8_000_000       # trigram scores looked up at a time
 
@@ -211,14 +212,17 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", row_id: str = "doc_id",
         max_rows: int = MAX_ROWS) -> Model:
-    """Learns from the labelled rows of ``docs``, at most about ``max_rows`` of them: those whose id hashes
-    lowest (the share is set from the number of rows, so every part of the table is met)."""
+    """Learns from the labelled rows of ``docs``: of each language at most about its share of ``max_rows`` (or
+    ``FEW``), those whose id hashes lowest (so every part of the table is met)."""
     own = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"),
                       F.xxhash64(F.col(row_id).cast("string")).alias("h")) \
         .where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    n = own.select("h").count()
-    if n > max_rows:
-        own = own.where(F.pmod("h", F.lit(1 << 20)) < int((1 << 20) * max_rows / n))
+    sizes = {r["lang"]: r["n"] for r in own.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    most = max(max_rows // max(len(sizes), 1), FEW)
+    bars = {k: max(1, (1 << 40) * most // n) for k, n in sizes.items() if n > most}
+    if bars:
+        bar = F.try_element_at(F.create_map(*(F.lit(x) for pair in bars.items() for x in pair)), F.col("lang"))
+        own = own.where(bar.isNull() | (F.pmod("h", F.lit(1 << 40)) < bar))
     got = own.select("text", "lang").mapInArrow(_counts, "lang string, at long, n long") \
         .groupBy("lang", "at").agg(F.sum("n").alias("n")) \
         .groupBy("lang").agg(F.collect_list("at").alias("at"), F.collect_list("n").alias("n")) \
@@ -244,6 +248,8 @@ def _predict(batches: Iterator[pa.RecordBatch], shared, penalty: float, spans: b
             else:
                 of, total = np.zeros((len(texts), 1)), np.zeros(len(texts))
             lang, score = [], []
+            # Without any language learned, each text with a letter may be in one.
+            share = of.sum(axis=1) / np.maximum(total, 1) if model.langs else np.ones(len(texts))
             for k, text in enumerate(texts):
                 if not total[k] or not any(map(str.isalpha, text)):
                     lang.append("und")
@@ -262,7 +268,11 @@ def _predict(batches: Iterator[pa.RecordBatch], shared, penalty: float, spans: b
                                     if model.langs else [[] for _ in texts],
                                     pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int64()),
                                                         ("letters", pa.int64())]))))
-            names = ["row", *["text"] * with_text, "lang_pred", "score", *["spans"] * spans]
+            if with_text:
+                letters = [any(map(str.isalpha, x)) for x in texts]
+                out += [pa.array(letters, pa.bool_()), pa.array(share, pa.float64())]
+            names = ["row", *["text"] * with_text, "lang_pred", "score", *["spans"] * spans,
+                     *["letter", "known"] * with_text]
             yield pa.RecordBatch.from_arrays(out, names=names)
         W.tidy()
 
@@ -296,13 +306,15 @@ def predict(docs: DataFrame, model: Model, text: str = "text", penalty: float =
 
 def reject(docs: DataFrame, model: Model, min_score: float = 0.0, text: str = "text",
            penalty: float = PENALTY) -> DataFrame:
-    """The documents with a language (not ``und``) and a score of at least ``min_score``."""
+    """The documents that have a letter and at least a share ``min_score`` of their letters in scripts of
+    learned languages, all languages together; each with a letter if no language was learned."""
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
     # The text goes to the tasks and back once, beside the other columns.
     own = docs.select(F.struct(F.lit(0).alias("_"), *[c for c in docs.columns if c != text]).alias("row"),
                       F.col(text).cast("string").alias("text"))
     kind = T.StructType([*own.schema.fields, T.StructField("lang_pred", T.StringType()),
-                         T.StructField("score", T.DoubleType())])
+                         T.StructField("score", T.DoubleType()), T.StructField("letter", T.BooleanType()),
+                         T.StructField("known", T.DoubleType())])
     found = own.mapInArrow(lambda batches: _predict(batches, shared, penalty, False, True), kind)
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= min_score)).select(
+    return found.where(F.col("letter") & (F.col("known") >= min_score)).select(
         *[F.col("text").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])
