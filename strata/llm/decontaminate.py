@@ -10,7 +10,9 @@ word inside any occurrence is *hit*.
 The broadcast is bounded: the benchmark is cut into blocks of at most
 ``block_bytes`` of text by item (one item longer than that is a block of its
 own) and the documents pass through the blocks one after another, with a
-checkpoint between passes, so no pass shuffles and none holds more than a block.
+checkpoint between passes, so no pass shuffles and none holds more than a block.  To cut with several
+blocks, all mark the uncut text first, it is cut once, and the documents that changed go
+through all blocks again until none is hit: the same texts as with one block.
 
 Defined results: a null or word-less document has no words and no hits; a
 null or word-less item has no windows; an item with a null id marks words but is
@@ -102,7 +104,7 @@ def _cut(text: bytes, start: np.ndarray, end: np.ndarray, hit: np.ndarray) -> by
 
 
 def _cut_pass(batches: Iterator[pa.RecordBatch], windows: Windows):
-    """Cuts hit words out of the texts; ``n_hit`` adds up over the blocks."""
+    """Cuts hit words of the only block out of the texts."""
     for batch in batches:
         column = batch.column("text")
         raw, offsets = W.text_bytes(column)
@@ -170,31 +172,59 @@ def _mark_pass(batches: Iterator[pa.RecordBatch], windows: Windows):
         W.tidy()
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> Iterator[list]:
-    """The items, at most about ``block_bytes`` of text at a time."""
+def _cut_marked(batches: Iterator[pa.RecordBatch]):
+    """The texts without the words of their bit sets."""
+    for batch in batches:
+        raw, offsets = W.text_bytes(batch.column("text"))
+        masks, out = batch.column("hit").to_pylist(), []
+        for i, j in W.pieces(offsets):
+            own = raw[offsets[i]:offsets[j]]
+            words = W.Words(own, offsets[i:j + 1] - offsets[i])
+            for k in range(j - i):
+                a, b = words.first[k], words.first[k + 1]
+                shift = offsets[i + k] - offsets[i]
+                hit = np.unpackbits(np.frombuffer(masks[i + k], np.uint8), count=b - a).astype(bool)
+                out.append(_cut(own[shift:offsets[i + k + 1] - offsets[i]].tobytes(), words.start[a:b] - shift,
+                                words.end[a:b] - shift, hit).decode("utf-8", "replace"))
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.string())], names=["row", "text"])
+        W.tidy()
+
+
+def _items(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> tuple[DataFrame, int]:
+    """The items and the number of blocks they are cut into."""
     own = benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).cast("string").alias("t")) \
         .where(F.col("t").isNotNull())
     total = own.agg(F.sum(F.octet_length("t").cast("long"))).first()[0] or 0
-    n = max(1, -(-2 * total // block_bytes) if total > block_bytes else 1)
+    return own, max(1, -(-2 * total // block_bytes) if total > block_bytes else 1)
+
+
+def _blocks(own: DataFrame, n: int) -> Iterator[list]:
+    """The items, a block at a time."""
     for k in range(n):
         part = own if n == 1 else own.where(F.pmod(F.xxhash64("t"), F.lit(n)) == k)
         yield [(r.i, r.t) for r in part.distinct().collect()]
 
 
-def _run(docs, benchmark, text, item, item_text, size, block_bytes, remove) -> DataFrame:
-    ensure_checkpoint_dir(docs.sparkSession)
+def _start(docs: DataFrame, text: str) -> DataFrame:
     row = F.struct(F.lit(0).alias("_"), *[c for c in docs.columns if c != text]).alias("row")
+    return docs.select(row, F.col(text).cast("string").alias("text"))
+
+
+def _run(work: DataFrame, own: DataFrame, n: int, size: int, remove: bool) -> DataFrame:
+    """``row`` and ``text`` through all blocks."""
+    spark = work.sparkSession
+    ensure_checkpoint_dir(spark)
     kind = T.StructType([
-        T.StructField("row", docs.select(row).schema["row"].dataType),
+        T.StructField("row", work.schema["row"].dataType),
         T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()),
         T.StructField("n_hit", T.LongType()), T.StructField("items", T.ArrayType(T.StringType())),
         T.StructField("hit", T.BinaryType())])
-    work = docs.select(
-        row, F.col(text).cast("string").alias("text"),
+    work = work.select(
+        "row", "text",
         F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
         F.array().cast("array<string>").alias("items"), F.lit(None).cast("binary").alias("hit"))
-    for k, block in enumerate(_blocks(benchmark, item, item_text, block_bytes)):
-        shared = docs.sparkSession.sparkContext.broadcast(Windows(block, size).by_length)
+    for k, block in enumerate(_blocks(own, n)):
+        shared = spark.sparkContext.broadcast(Windows(block, size).by_length)
         if remove:
             step = lambda batches, shared=shared: _cut_pass(batches, Windows.of(shared.value))
         else:
@@ -209,7 +239,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
          item_text: str = "text", size: int = SIZE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Columns ``row`` (the document's columns but its text), ``text``, ``n_words``, ``n_hit``, ``items``
     (sorted ids as strings) and ``hit`` (packed bits, one a word; null: no hit)."""
-    return _run(docs, benchmark, text, item, item_text, size, block_bytes, False)
+    return _run(_start(docs, text), *_items(benchmark, item, item_text, block_bytes), size, False)
 
 
 def _rows(docs: DataFrame, text: str) -> list[Column]:
@@ -229,5 +259,16 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
     """The documents with every hit stretch of words cut out of the text, until no
     window is left; a document that was nothing but benchmark text goes."""
     kept = F.trim(F.regexp_replace("text", r"[\s\p{Punct}]+", " "))
-    work = _run(docs, benchmark, text, item, item_text, size, block_bytes, True)
-    return work.where((F.col("n_hit") == 0) | (F.length(kept) > 0)).select(*_rows(docs, text))
+    own, n = _items(benchmark, item, item_text, block_bytes)
+    work = _start(docs, text)
+    if n == 1:
+        out = _run(work, own, n, size, True).where((F.col("n_hit") == 0) | (F.length(kept) > 0))
+        return out.select(*_rows(docs, text))
+    kind = work.schema
+    marked = _run(work, own, n, size, False).checkpoint()
+    out = marked.where("n_hit = 0").select("row", "text")
+    while not (hit := marked.where("n_hit > 0")).isEmpty():
+        # What closes up after a cut may be a window again, of any block.
+        marked = _run(hit.select("row", "text", "hit").mapInArrow(_cut_marked, kind), own, n, size, False).checkpoint()
+        out = out.unionByName(marked.where((F.col("n_hit") == 0) & (F.length(kept) > 0)).select("row", "text"))
+    return out.select(*_rows(docs, text))
