@@ -18,8 +18,8 @@ answers set as a bar, to the others; within a part and block all rows are ranked
 in double precision, and the best of all parts and blocks are kept.  Products are summed in one fixed order, so equal vectors tie exactly.
 
 Defined results: vectors that are null, empty, all zero or hold null, NaN or infinite components take no
-part, neither as rows nor as queries; a vector of another length than most (the
-sample's first) takes no part either; rows with a null id are no candidates; repeated rows
+part, neither as rows nor as queries; a vector of another length than most
+rows have (the smaller of two lengths as frequent) takes no part either; rows with a null id are no candidates; repeated rows
 (same id) count once; a query with fewer candidates than k gets all that were found.
 """
 
@@ -135,7 +135,8 @@ def usable(v: Column) -> Column:
 
 
 def fit(rows: DataFrame, sample: int = SAMPLE, part_rows: int = PART_ROWS) -> dict:
-    """The classifier, from ``rows`` (columns ``v``, distinct vectors); at most about ``sample`` of them."""
+    """The classifier, from ``rows`` (columns ``v``, distinct vectors of one length); at most about ``sample`` of
+    them."""
     n = rows.count()
     own = rows.select("v")
     if n > sample:
@@ -144,7 +145,7 @@ def fit(rows: DataFrame, sample: int = SAMPLE, part_rows: int = PART_ROWS) -> di
     if not got:
         return {"parts": 0, "dim": 0}
     size = len(got[0])
-    x = np.array([v for v in got if len(v) == size], dtype=np.float64).reshape(-1, size)
+    x = np.array(got, dtype=np.float64).reshape(-1, size)
     parts = int(min(MAX_PARTS, max(1, -(-n // part_rows)), max(1, len(x) // 32)))
     if parts == 1:
         return {"parts": 1, "dim": size}
@@ -280,6 +281,10 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, row_id: str = "vec_
     by_vector = Window.partitionBy("v").orderBy("id")
     base = pick(rows).distinct().withColumn("r", F.row_number().over(by_vector)).where(F.col("r") <= k + 1) \
         .groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")).checkpoint()
+    lengths = base.select(F.size("v").alias("n")).distinct().limit(2).collect()
+    if len(lengths) > 1:                     # that of most rows, copies counted
+        lengths = pick(rows).groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
+        base = base.where(F.size("v") == lengths[0]["n"])
     model = fit(base, sample, part_rows)
     if not model["dim"]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
