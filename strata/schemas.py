@@ -70,8 +70,8 @@ IOT_KEYS = ["event_id", "sensor_name", "event_timestamp"]
 IOT_DEDUP_KEYS = ["event_id", "sensor_name"]
 IOT_CLEAN = _struct(*IOT_COLUMNS, *AUDIT)
 
-# A raw sensor JSON document read with schema on read: every top-level field is kept as it
-# is (VARIANT), the reader splits the file's array.
+# The top-level fields of a raw sensor JSON document that the silver stream reads, each as it is
+# (VARIANT); a stream needs its schema ahead.  ``read_json_array`` finds the fields of its files itself.
 IOT_VARIANT = T.StructType([T.StructField(n, T.VariantType()) for n in (
     "store_id", "store_name", "device_id", "event_id", "event_type", "timestamp", "metadata",
     "readings", "alerts")])

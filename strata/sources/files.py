@@ -1,11 +1,13 @@
 """Raw file sources and sinks (bronze ingestion, A1-A4, A8, A9, A11).
 
 All readers take an explicit schema: no inference pass over the data, and a
-stable plan whether a folder holds one file or a million.
+stable plan whether a folder holds one file or a million.  Only JSON documents that are kept
+whole (schema on read) take a pass for their fields' names.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,19 +30,31 @@ def read_pos_csv(spark: SparkSession, path: str, schema: T.StructType = sc.POS_R
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                    column: str = "row_col", fields: T.StructType = sc.IOT_VARIANT) -> DataFrame:
+                    column: str = "row_col", fields: T.StructType | None = None) -> DataFrame:
     """Files that each hold one JSON array; every element becomes a row.
 
     With ``schema`` the elements are parsed into typed columns.  Without it each element is
-    kept as one VARIANT column ``column`` (schema on read): the reader splits the array into
-    rows whose top-level ``fields`` are VARIANT, the same form that the stream reads, so no
-    file is parsed as one value.  It is still one task per file: producers should
-    keep files to some hundred MB.
+    kept whole as one VARIANT column ``column`` (schema on read): a first pass over all files finds
+    the names of the top-level fields (unless ``fields`` gives them), and the reader splits the array into
+    rows whose fields are VARIANT, so no file is parsed as one value.  It is still one task per
+    file: producers should keep files to some hundred MB.
     """
     reader = spark.read.option("multiLine", True).option("mode", "FAILFAST")
     if schema is not None:
         return reader.schema(schema).json(path)
-    return as_variant(reader.schema(fields).json(path), column)
+    return as_variant(reader.schema(fields or variant_fields(spark, path)).json(path), column)
+
+
+def variant_fields(spark: SparkSession, path: str) -> T.StructType:
+    """Every top-level field of the documents of ``path`` as VARIANT; those of a sensor document, if there is none."""
+    try:
+        names = spark.read.option("multiLine", True).option("mode", "FAILFAST").option("samplingRatio", 1.0) \
+            .json(path).schema.names
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        names = []
+    return T.StructType([T.StructField(n, T.VariantType()) for n in names or sc.IOT_VARIANT.names])
 
 
 def as_variant(docs: DataFrame, column: str = "row_col") -> DataFrame:
@@ -77,5 +91,5 @@ def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None) -
     w.csv(path)
 
 
-__all__ = ["read_pos_csv", "read_json_array", "as_variant", "read_parquet_raw", "read_table", "append",
+__all__ = ["read_pos_csv", "read_json_array", "as_variant", "variant_fields", "read_parquet_raw", "read_table", "append",
            "write_csv"]
