@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from strata.llm import bpe, chat, decontaminate, jaccard, language, lm, pii, quality, vectors, warc
+from strata.llm import audit, bpe, chat, decontaminate, jaccard, language, lm, pii, quality, vectors, warc
 from strata.llm.oracles import ORACLE_SQL  # noqa: F401
 
 
@@ -92,6 +92,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("type").alias("record_type"), warc.page_id(F.col("refers_to")).cast(kind).alias("refers_to"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_neighbours": op2_neighbours,
@@ -103,4 +107,5 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_warc": op10_warc,
+    "op11_filter_audit": op11_filter_audit,
 }

@@ -62,9 +62,39 @@ SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, {_base
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM x"""
 
+AUDIT = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) AS first FROM d),
+f AS (SELECT part, coalesce(g.good, false) AS good, coalesce(g.toxic, false) AS toxic,
+        CAST(len(w) < 200 AS INT) + 2 * CAST(100 * len(list_distinct(w)) < 50 * len(w) AS INT)
+        + 4 * CAST(100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) AS INT)
+        + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT) + 16 * CAST(doc_id > first AS INT) AS mask
+      FROM w LEFT JOIN (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic
+                        FROM labels GROUP BY 1) g USING (doc_id)),
+c AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY 1, 2),
+o AS (SELECT '' AS o, 0 AS used UNION ALL
+      SELECT o || substr('ABCDE', k + 1, 1), used + (1 << k) FROM o, range(5) r(k) WHERE (used >> k) & 1 = 0),
+s AS (SELECT o.o, CAST(k AS INT) AS step, 1 << (ascii(o.o[k]) - 65) AS bit,
+             coalesce(list_sum(list_transform(range(1, k), lambda j: 1 << (ascii(o.o[j]) - 65))), 0)::BIGINT AS before
+      FROM o, range(1, 6) r(k) WHERE used = 31),
+x AS (SELECT part, o, step, bit,
+        sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+        sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS removed,
+        sum(CASE WHEN mask & before <> 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS redundant,
+        sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+        sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN good ELSE 0 END) AS good_lost,
+        sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+      FROM c, s GROUP BY 1, 2, 3, 4)
+SELECT part, o AS filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM x"""
+
 ORACLE_SQL = {
     "op1_decontaminate": DECONTAMINATE,
     "op7_chat_format": CHAT,
     "op9_jaccard_join": JACCARD,
     "op10_warc": WARC,
+    "op11_filter_audit": AUDIT,
 }

@@ -30,11 +30,13 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64; kept for the next piece."""
+    """base**0 .. base**(n-1) modulo 2**64; kept for the next piece, unless a long text needs more than usual."""
     if base not in _powers or len(_powers[base]) < n:
         out = np.full(max(n, 1), base, dtype=np.uint64)
         out[0] = 1
         np.multiply.accumulate(out, out=out)
+        if n > STEP + 1:
+            return out
         _powers[base] = out
     return _powers[base][:n]
 
@@ -92,8 +94,9 @@ def pieces(offsets: np.ndarray, step: int = STEP):
 class Words:
     """Words of the texts of one piece: byte ranges, text number, hash."""
 
-    def __init__(self, raw: np.ndarray, offsets: np.ndarray, kind: np.ndarray = WORD):
-        raw = lower_ascii(raw)
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray, kind: np.ndarray = WORD, fold: bool = True):
+        if fold:
+            raw = lower_ascii(raw)
         n = len(raw)
         inside = np.zeros(n + 2, dtype=np.int8)
         inside[1:-1] = kind[raw]
