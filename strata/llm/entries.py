@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from strata.llm import alignment, audit, bpe, chat, decontaminate, jaccard, language, lm, pii, quality, vectors, warc
+from strata.llm import alignment, audit, bpe, chat, decontaminate, jaccard, language, lm, pii, quality, substrings, vectors, warc
 from strata.llm.oracles import ORACLE_SQL  # noqa: F401
 
 
@@ -96,6 +96,12 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select(F.col("row")["doc_id"].cast("long").alias("doc_id"), "n_words", "n_removed",
+                        F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = alignment.aligned_and_scored(table(spark, sf_dir, "documents"), keep=["doc_id"], digest=True)
     return found.select(F.col("row")["doc_id"].cast("long").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best",
@@ -114,5 +120,6 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_warc": op10_warc,
     "op11_filter_audit": op11_filter_audit,
+    "op12_substring_dedup": op12_substring_dedup,
     "op13_token_alignment": op13_token_alignment,
 }

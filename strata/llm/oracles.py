@@ -91,10 +91,24 @@ SELECT part, o AS filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed
        CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
 FROM x"""
 
+SUBSTRINGS = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+r AS (SELECT doc_id, i FROM g QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, i) > 1),
+p AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM r),
+h AS (SELECT doc_id, list(p) AS gone, count(*) AS n FROM p GROUP BY 1),
+k AS (SELECT doc_id, string_agg(x, ' ' ORDER BY k) AS kept FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS k FROM d)
+      WHERE (doc_id, k) NOT IN (SELECT doc_id, p FROM p) GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN k USING (doc_id)"""
+
 ORACLE_SQL = {
     "op1_decontaminate": DECONTAMINATE,
     "op7_chat_format": CHAT,
     "op9_jaccard_join": JACCARD,
     "op10_warc": WARC,
     "op11_filter_audit": AUDIT,
+    "op12_substring_dedup": SUBSTRINGS,
 }
