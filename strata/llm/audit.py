@@ -30,6 +30,7 @@ from strata.llm import words as W
 RANGE_BYTES = 32 << 20     # text of one range, about
 PREFIX = 8                 # characters of the first prefixes; each further level has eight times as many
 CUTS = 8                   # sampled cut points a range, thinned on the driver
+BROADCAST = 2 << 20        # characters of prefixes that are sent to every task
 SENT_BYTES = 16 << 20      # texts that a task remembers having sent
 
 MIN_WORDS, MIN_DISTINCT, MAX_UPPER = 200, 50, 3      # limits of the filters A, B (per cent) and C (per cent)
@@ -116,6 +117,8 @@ def bounds(docs: DataFrame, range_bytes: int) -> list[bytes]:
         part = work
         if heavy:
             known = spark.createDataFrame([(p,) for p in heavy], "p string")
+            if sum(map(len, heavy)) <= BROADCAST:        # else the texts are shuffled by their prefixes
+                known = F.broadcast(known)
             part = work.withColumn("p", F.substring("text", 1, size // 8)).join(known, "p", "left_semi")
         sums = part.groupBy(F.substring("text", 1, size).alias("p")).agg(F.sum("bytes").alias("bytes"))
         # The chance of a prefix to be a cut point goes with its bytes.
