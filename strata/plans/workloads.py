@@ -161,8 +161,6 @@ def erp_history_from(raw: DataFrame) -> DataFrame:
         (F.year(ship) * 12 + F.month(ship)).cast("long").alias("commit_seq"),
         F.add_months(F.trunc(ship, "month"), 1).cast("timestamp_ntz").alias("committed_at"))
     first = F.when(F.col(sc.ACTION) == "INSERT", 0).otherwise(1)
-    # One exchange by the order: both windows accept it.
-    ch = ch.repartition(*sc.ERP_KEYS)
     ch = latest_per_key(ch, sc.ERP_KEYS + ["commit_seq"], [first.asc(), order_desc("order_date")])
     return hist.history_from_changes(ch, sc.ERP_KEYS)
 
