@@ -526,6 +526,43 @@ SELECT CAST(year(_shipdate) AS INTEGER) AS ship_year, count(*) AS rows_loaded, T
 FROM pos_raw GROUP BY 1"""
 Q["stream_inventory"] = Q["inventory_extract"]
 
+# ---------------------------------------------------------------- raw tables
+Q["erp_stream_from_table"] = Q["erp_from_change_feed"]
+Q["variant_change_feed"] = Q["change_feed"]
+
+_bag = "store_region, payment_method, CAST(quantity AS INTEGER) AS quantity"
+Q["raw_time_travel"] = _with(POS_RAW, f"""
+e AS (SELECT {_bag} FROM pos_raw WHERE _shipdate < {SPLIT}),
+l AS (SELECT {_bag} FROM pos_raw),
+g AS (SELECT * FROM l WHERE NOT (payment_method = 'CASH' AND quantity > 40)),
+u AS (SELECT CASE WHEN store_region = 'ASIA' THEN 'APAC' ELSE store_region END AS store_region, payment_method,
+             CASE WHEN store_region = 'ASIA' THEN 0 ELSE quantity END AS quantity FROM g),
+s AS (SELECT 'before_expiry' AS step, * FROM e UNION ALL SELECT 'as_of', * FROM l UNION ALL SELECT 'before_offset', * FROM g
+      UNION ALL SELECT 'before', * FROM g UNION ALL SELECT 'updated', * FROM u UNION ALL SELECT 'restored', * FROM l)""") + """
+SELECT step, store_region, payment_method, quantity, count(*) AS n FROM s GROUP BY ALL"""
+
+_bag = "store_region, category, CAST(quantity AS INTEGER) AS quantity"
+Q["raw_changes"] = _with(POS_RAW, f"""
+b AS (SELECT {_bag} FROM pos_raw WHERE _shipdate < {SPLIT}),
+a AS (SELECT * REPLACE (CAST(CASE WHEN quantity > 30 THEN quantity - 10 ELSE quantity END AS INTEGER) AS quantity)
+      FROM (SELECT {_bag} FROM pos_raw) WHERE store_region <> 'EUROPE')""") + """
+SELECT *, 'INSERT' AS _action FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) i
+UNION ALL
+SELECT *, 'DELETE' AS _action FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) d"""
+
+Q["json_array_blocks"] = Q["json_array_load"]
+Q["pipe_skip_file"] = _with(POS_RAW) + f"""
+SELECT {', '.join(POS_COLS)} FROM pos_raw
+WHERE year(_shipdate) <> 1998
+  AND (year(_shipdate) <> 1996 OR NOT EXISTS (SELECT 1 FROM pos_raw WHERE year(_shipdate) = 1996 AND loyalty_points = 1))"""
+Q["pipe_status"] = _with(POS_RAW, """
+f AS (SELECT CAST(year(_shipdate) AS INTEGER) AS ship_year, count(*) AS n, count(*) FILTER (year(_shipdate) = 1996 AND loyalty_points = 1) AS bad
+      FROM pos_raw GROUP BY 1)""") + """
+SELECT ship_year, CASE WHEN ship_year = 1998 THEN 'PENDING' WHEN bad > 0 THEN 'LOAD_SKIPPED' ELSE 'LOADED' END AS status,
+       CAST(CASE WHEN ship_year = 1998 OR bad > 0 THEN 0 ELSE n END AS BIGINT) AS rows_loaded, CAST(bad AS BIGINT) AS error_count,
+       TRUE AS has_bytes, CAST(CASE WHEN bad > 0 THEN 1 ELSE 0 END AS BIGINT) AS files_with_errors FROM f
+UNION ALL SELECT 0, 'EMPTY', 0, 0, FALSE, 0"""
+
 # The named views, read by name.
 Q["view_sensor_data"] = Q["pos_iot_sensor_data_exact"]
 Q["view_gross_margin"] = Q["gross_margin"]

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from strata import schemas as sc
 from strata.functions.expr import order_desc
 from strata.functions.paths import vget
+from strata.functions.variant import with_field
 from strata.operators import history as hist
 from strata.operators.changes import change_feed as _change_feed
 from strata.operators.dedup import latest_per_key
@@ -23,11 +24,13 @@ from strata.operators.flatten import unnest
 from strata.operators.merge import update_where as _update_where
 from strata.plans import catalog, fixtures, mapping, silver
 from strata.session import ensure_checkpoint_dir, scratch_path
-from strata.sources import files
+from strata.sources import files, loads
 from strata.sources.audit import ingest_audit as _ingest_audit
 from strata.sources.change_table import ChangeTable
+from strata.sources.raw_table import Feed, RawTable
 from strata.streaming.cdc import cdc_into
 from strata.streaming.ingest import change_stream, ingest_stream
+from strata.streaming.pipes import Pipe, run_task
 
 # Fixed parameters of the update and history workloads.
 UPDATED_ORDER = "ORD_2_6"
@@ -324,3 +327,131 @@ def stream_inventory(spark: SparkSession, d: str) -> DataFrame:
                            trigger="availableNow", which=("inventory",))["inventory"]
     q.awaitTermination()
     return spark.read.parquet(lay.table("inventory_snapshots"))
+
+
+# ---------------------------------------------------------------- raw tables
+def _day(n: int) -> dt.datetime:
+    return dt.datetime(2024, 2, n)
+
+
+def erp_stream_from_table(spark: SparkSession, d: str) -> DataFrame:
+    """The raw ERP table (one VARIANT column, filled by a pipe) is deleted and updated in; its task consumes the change
+    feed twice, and the second run sees the net changes only (A3 + A5, J1, A10, J2, J4, P2)."""
+    raw = mapping.erp_raw(spark, d).drop(sc.ACTION)
+    cut = F.col("_shipdate") < F.lit(mapping.BATCH_SPLIT).cast("timestamp_ntz")
+    landing = scratch_path(spark, "raw_erp_landing")
+    table = RawTable(spark, scratch_path(spark, "raw_erp_data"), "parquet_raw variant")
+    pipe = Pipe(spark, "erp_orders_pipe", landing, loads.parquet_reader("parquet_raw"), table, scratch_path(spark, "erp_pipe_ckpt"))
+    orders = ChangeTable(spark, scratch_path(spark, "erp_orders"), sc.ERP_KEYS, sc.ERP_CLEAN)
+    feed = Feed(table, "stream_raw_erp_data")
+    prepare = lambda changes: silver.dedup_erp(silver.erp_typed(changes, "parquet_raw"))
+
+    raw.where(cut).drop("_shipdate").write.mode("append").parquet(landing)
+    pipe.start("availableNow", now=lambda _id: _day(1)).awaitTermination()
+    run_task(feed, orders, prepare, now=dt.datetime.fromisoformat(catalog.LOAD_1))
+
+    table.delete(vget("parquet_raw", "warehouse_id") == "WH_O", "delete", now=_day(2))
+    raw.where(~cut).drop("_shipdate").write.mode("append").parquet(landing)
+    pipe.start("availableNow", now=lambda _id: _day(3)).awaitTermination()
+    changed = with_field("parquet_raw", raw.drop("_shipdate").schema, "order_status", F.lit("Changed"))
+    table.update(vget("parquet_raw", "is_late", "boolean"), {"parquet_raw": changed}, "update", now=_day(4))
+    run_task(feed, orders, prepare, now=dt.datetime.fromisoformat(catalog.LOAD_2))
+    return orders.read()
+
+
+def variant_change_feed(spark: SparkSession, d: str) -> DataFrame:
+    """The change feed between two states of ``orders`` kept as VARIANT rows: one side has its keys in another order and
+    its numbers in another form (J2 over VARIANT)."""
+    before, after = _order_states(spark, d)
+    texts = lambda df: [F.col(c).cast("string").alias(c) if "timestamp" in t else F.col(c) for c, t in df.dtypes]
+    one = before.select(F.to_variant_object(F.struct(*texts(before))).alias("v"))
+    two = after.select(F.parse_json(F.to_json(F.struct(*reversed(texts(after))))).alias("v"))
+    return _change_feed(one, two).select(
+        *[F.variant_get("v", f"$.{c}", "string" if "timestamp" in t else t).cast(t).alias(c) for c, t in before.dtypes], "_action")
+
+
+def raw_time_travel(spark: SparkSession, d: str) -> DataFrame:
+    """Earlier states of a table of repeated rows: AT, BEFORE, retention and recovery (K1-K5 without a key)."""
+    rows = mapping.pos_raw(spark, d, with_version=True).select(
+        "store_region", "payment_method", F.col("quantity").cast("int").alias("quantity"), "_shipdate")
+    early, late = catalog.split_by_ship_date(rows)
+    t = RawTable(spark, scratch_path(spark, "raw_pos"), early.schema)
+    t.append(early, "early", now=_day(1))
+    t.append(late, "late", now=_day(2))
+    t.delete((F.col("payment_method") == "CASH") & (F.col("quantity") > 40), "delete", now=_day(3))
+    t.update(F.col("store_region") == "ASIA", {"store_region": "APAC", "quantity": 0}, "update", now=_day(4))
+    states = {"before_expiry": t.as_of(_day(1)).groupBy(*t.columns).count().checkpoint()}
+    t.expire(7, now=_day(9))                       # the two loads become one base
+    states |= {"as_of": t.as_of(_day(2)), "before_offset": t.before_offset(24 * 3600, _day(5)), "before": t.before_commit("update"),
+               "updated": t.read()}
+    states = {k: v if "count" in v.columns else v.groupBy(*t.columns).count().checkpoint() for k, v in states.items()}
+    t.restore_to("delete", "restored", now=_day(10))
+    states["restored"] = t.read().groupBy(*t.columns).count()
+    out = None
+    for name, df in states.items():
+        step = df.select(F.lit(name).alias("step"), *t.columns, F.col("count").alias("n"))
+        out = step if out is None else out.unionByName(step)
+    return out
+
+
+def raw_changes(spark: SparkSession, d: str) -> DataFrame:
+    """What changed in a table of repeated rows between two commits, as INSERT and DELETE rows."""
+    rows = mapping.pos_raw(spark, d, with_version=True).select(
+        "store_region", "category", F.col("quantity").cast("int").alias("quantity"), "_shipdate")
+    early, late = catalog.split_by_ship_date(rows)
+    t = RawTable(spark, scratch_path(spark, "raw_pos"), early.schema)
+    t.append(early, "early", now=_day(1))
+    t.append(late, "late", now=_day(2))
+    t.update(F.col("quantity") > 30, {"quantity": F.col("quantity") - 10}, "update", now=_day(3))
+    t.delete(F.col("store_region") == "EUROPE", "delete", now=_day(4))
+    return t.changes(1, 4)
+
+
+def json_array_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """Sensor documents in one JSON array, read in blocks by several tasks, piped into the raw VARIANT table and
+    cleaned (A2 in parallel, A5, A12, P4)."""
+    landing = scratch_path(spark, "iot_array")
+    fixtures.write_json_arrays(mapping.iot_docs(spark, d), landing, rows_per_file=1 << 40)
+    table = RawTable(spark, scratch_path(spark, "raw_iot"), "row_col variant")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        Pipe(spark, "pipe_for_iot", landing, loads.json_reader("row_col"), table, scratch_path(spark, "iot_pipe_ckpt")) \
+            .start("availableNow", now=lambda _id: _day(1)).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    return silver.iot_readings(table.read(), None, now=catalog.LOAD_1)
+
+
+BAD_YEAR, LATE_YEAR = 1996, 1998
+
+
+def _pos_pipe(spark: SparkSession, d: str) -> Pipe:
+    """POS files, one a ship year; those of ``BAD_YEAR`` hold a quantity that is no number, those of ``LATE_YEAR`` land
+    after the pipe's run, and one file is empty."""
+    rows = mapping.pos_raw(spark, d, with_version=True).withColumn("ship_year", F.year("_shipdate")).drop("_shipdate")
+    broken = (F.col("ship_year") == BAD_YEAR) & (F.col("loyalty_points") == 1)
+    rows = rows.withColumn("quantity", F.when(broken, "many").otherwise(F.col("quantity").cast("string")))
+    landing = scratch_path(spark, "pos_pipe_landing")
+    put = lambda df: df.repartition("ship_year").write.mode("append").option("header", True).partitionBy("ship_year") \
+        .csv(landing)
+    put(rows.where(F.col("ship_year") != LATE_YEAR))
+    spark.createDataFrame([], "value string").coalesce(1).write.text(f"{landing}/ship_year=0")
+    table = RawTable(spark, scratch_path(spark, "pos_transaction"), sc.POS_RAW)
+    pipe = Pipe(spark, "external_pipe", landing, loads.csv_reader(sc.POS_RAW), table, scratch_path(spark, "pos_pipe_ckpt"), 2)
+    pipe.start("availableNow", now=lambda _id: _day(1)).awaitTermination()
+    put(rows.where(F.col("ship_year") == LATE_YEAR))
+    return pipe
+
+
+def pipe_skip_file(spark: SparkSession, d: str) -> DataFrame:
+    """What a pipe has loaded: all rows of the files that parse, none of the others' (A5, A1)."""
+    return _pos_pipe(spark, d).table.read()
+
+
+def pipe_status(spark: SparkSession, d: str) -> DataFrame:
+    """What a pipe says of each landed file: loaded, skipped, pending."""
+    year = F.regexp_extract("file", r"ship_year=(\d+)", 1).cast("int")
+    return _pos_pipe(spark, d).status().groupBy(year.alias("ship_year"), "status").agg(
+        F.sum("rows_loaded").alias("rows_loaded"), F.sum("error_count").alias("error_count"),
+        F.min(F.col("size") > 0).alias("has_bytes"), F.count_if(F.col("first_error").isNotNull()).alias("files_with_errors"))
