@@ -9,6 +9,7 @@ same one.  Words that a repeat covers are removed; all windows are judged on the
   windows equal to its own meet.  Runs that would fill half a task's part (``hot_grams``, counted over all texts) are never
   chosen; a window of nothing else goes by the hash of all its words.  So no shard holds more than its part, however
   often a line or passage stands in the corpus: of equal segments a task sends the first only.
+* Keys and places are sent first; only segments whose run stands in another one too send their words (``_match``).
 * A shard puts its distinct segments, in the order of documents, into one text of word numbers and builds a compressed
   FM-index on it: the suffixes ordered by their first 20 words and then by position, the word before each of them in a
   wavelet matrix of bit vectors with rank counts.  Every segment is streamed through it by backward search: a first search
@@ -33,11 +34,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from strata.llm import words as W
+from strata.session import ensure_checkpoint_dir
 
 SIZE = 20
 GRAM = 6
 STEP = 4_000_000           # bytes of text cut into segments at a time
-PART_WORDS = 8_000_000     # words that go to one task
+PART_WORDS = 8_000_000     # words that go to one task, if half of the corpus repeats
 SHARD_WORDS = 2_000_000    # words of one index
 NONE = np.uint64(2 ** 64 - 1)
 
@@ -192,32 +194,59 @@ def _pack(*arrays: np.ndarray) -> bytes:
     return head + pa.compress(b"".join(a.tobytes() for a in arrays), codec="zstd", asbytes=True)
 
 
-KINDS = (np.int64, np.int64, np.uint32, np.uint32, np.uint8, np.uint64, np.uint64, np.uint32)
+KEYS = (np.int64, np.int64, np.uint32, np.uint32, np.uint8, np.uint64)      # ids, hashes; document, place, windows, key
+KINDS = (*KEYS, np.uint64, np.uint32)                                       # and hashes of words, and words by number
+SEGMENT = np.dtype([("key", "<u8"), ("place", "<u4"), ("windows", "u1")])
 
 
-def _unpack(data: bytes, kinds=KINDS) -> list[np.ndarray]:
+def _unpack(data: bytes, kinds: tuple) -> list[np.ndarray]:
     sizes = [int.from_bytes(data[8 * k:8 * k + 8], "little") for k in range(len(kinds))]
     ends = np.concatenate([[0], np.cumsum([s * np.dtype(k).itemsize for s, k in zip(sizes, kinds)])]).tolist()
     raw = pa.decompress(data[8 * len(kinds):], ends[-1], codec="zstd", asbytes=True)
     return [np.frombuffer(raw, k, s, a) for k, s, a in zip(kinds, sizes, ends)]
 
 
-def _spans(part: int, ids: np.ndarray, hashes: np.ndarray, doc: np.ndarray, first: np.ndarray, end: np.ndarray):
-    """Rows of removed words: one a document, its intervals packed."""
+def _by_document(ids: np.ndarray, hashes: np.ndarray, doc: np.ndarray, values: np.ndarray, column: str) -> pa.RecordBatch:
+    """One row a document with its values' bytes in ``spans`` or ``segments``."""
     order = np.argsort(doc, kind="stable")
-    doc = doc[order]
+    doc, values = doc[order], values[order]
     new = np.flatnonzero(np.diff(doc, prepend=-1))
-    both = np.stack([first[order], end[order]], axis=1).astype("<u4")
-    packed = [both[a:b].tobytes() for a, b in zip(new.tolist(), [*new[1:].tolist(), len(doc)])]
-    of = doc[new]
-    n = len(new)
+    packed = pa.array([values[a:b].tobytes() for a, b in zip(new.tolist(), [*new[1:].tolist(), len(doc)])], pa.binary())
+    of, none = doc[new], pa.nulls(len(new), pa.binary())
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n, part, np.int32)), pa.array(ids[of]), pa.array(hashes[of]), pa.array(packed, pa.binary())],
+        [pa.array(ids[of]), pa.array(hashes[of]), *((packed, none) if column == "spans" else (none, packed))],
+        names=["id", "hash", "spans", "segments"])
+
+
+def _spans(ids: np.ndarray, hashes: np.ndarray, doc: np.ndarray, first: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
+    """Removed words: one row a document, its intervals packed."""
+    return _by_document(ids, hashes, doc, np.stack([first, end], axis=1).astype("<u4"), "spans")
+
+
+def _to_parts(rows: list[tuple[int, bytes]], known: pa.RecordBatch | None = None) -> pa.RecordBatch:
+    """Rows for parts, or (part -1) for documents."""
+    n = len(rows)
+    if known is None:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([p for p, _ in rows], pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
+             pa.array([d for _, d in rows], pa.binary())], names=["part", "id", "hash", "data"])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(known), -1, np.int32)), known.column("id"), known.column("hash"), known.column("spans")],
         names=["part", "id", "hash", "data"])
 
 
-def _cut_up(batches: Iterator[pa.RecordBatch], parts: int, hot: np.ndarray):
-    """Segments by part (rows with a part), and intervals that the task itself finds repeated (part -1)."""
+def _dealt(key: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Positions of the keys of each part."""
+    part = (W.mix(key) % np.uint64(parts)).astype(np.int64)
+    by = np.argsort(part, kind="stable")
+    at = np.concatenate([[0], np.flatnonzero(np.diff(part[by])) + 1, [len(by)]]).tolist()
+    for a, b in zip(at[:-1], at[1:]):
+        if b > a:
+            yield int(part[by[a]]), by[a:b]
+
+
+def _keys(batches: Iterator[pa.RecordBatch], parts: int, hot: np.ndarray):
+    """Keys and places of the segments by part, and intervals that the task itself finds repeated (part -1)."""
     sent: dict[tuple[int, int], tuple] = {}            # of segments met more than once: the smallest place so far
     for batch in batches:
         raw, offsets = W.text_bytes(batch.column("text"))
@@ -261,50 +290,89 @@ def _cut_up(batches: Iterator[pa.RecordBatch], parts: int, hot: np.ndarray):
                         sent[name] = here
             x = order[done]
             if len(x):
-                yield _spans(-1, own_ids, own_hashes, doc[x], place[x], place[x] + windows[x] + SIZE - 1)
+                yield _to_parts([], _spans(own_ids, own_hashes, doc[x], place[x], place[x] + windows[x] + SIZE - 1))
             x = order[stay]
-            part = (W.mix(key[x]) % np.uint64(parts)).astype(np.int64)
-            by = np.argsort(part, kind="stable")
-            x, part = x[by], part[by]
-            word, code = np.unique(h, return_inverse=True)
-            at = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]]).tolist()
             out = []
-            for a, b in zip(at[:-1], at[1:]):
-                if a == b:
-                    continue
-                y = x[a:b]
-                used, short = np.unique(code[_gather(start[y], windows[y] + SIZE - 1)], return_inverse=True)
+            for part, y in _dealt(key[x], parts):
+                y = np.sort(x[y])
                 docs, of = np.unique(doc[y], return_inverse=True)
-                out.append((int(part[a]), _pack(
-                    own_ids[docs], own_hashes[docs], of.astype(np.uint32), place[y].astype(np.uint32),
-                    windows[y].astype(np.uint8), key[y], word[used], short.astype(np.uint32))))
-            n = len(out)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p for p, _ in out], pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
-                 pa.array([p for _, p in out], pa.binary())], names=["part", "id", "hash", "data"])
+                out.append((part, _pack(own_ids[docs], own_hashes[docs], of.astype(np.uint32), place[y].astype(np.uint32),
+                                        windows[y].astype(np.uint8), key[y])))
+            yield _to_parts(out)
+        W.tidy()
+
+
+def _together(packs: list[bytes], kinds: tuple) -> list[np.ndarray]:
+    """The arrays of all packs after each other; documents are numbered through."""
+    found = [_unpack(data, kinds) for data in packs]
+    known = np.cumsum([0, *(len(f[0]) for f in found)]).tolist()
+    columns = [np.concatenate(c) for c in zip(*(f[:2] for f in found))]
+    doc = np.concatenate([f[2].astype(np.int64) + k for f, k in zip(found, known)])
+    return [*columns, doc, *(np.concatenate(c) for c in zip(*(f[3:] for f in found)))]
+
+
+def _match(batches: Iterator[pa.RecordBatch]):
+    """The segments whose run stands in another segment too, by document; known intervals pass."""
+    packs = []
+    for batch in batches:
+        for p, data in zip(batch.column("part").to_pylist(), batch.column("data")):
+            if p >= 0:
+                packs.append(data.as_py())
+        gone = batch.filter(pa.compute.less(batch.column("part"), 0))
+        if len(gone):
+            yield pa.RecordBatch.from_arrays([gone.column("id"), gone.column("hash"), gone.column("data"),
+                                              pa.nulls(len(gone), pa.binary())], names=["id", "hash", "spans", "segments"])
+    if packs:
+        ids, hashes, doc, place, windows, key = _together(packs, KEYS)
+        order = np.argsort(key)
+        same = key[order][1:] == key[order][:-1]
+        more = np.zeros(len(order), dtype=bool)
+        more[1:] |= same
+        more[:-1] |= same
+        x = np.sort(order[more])
+        if len(x):
+            segments = np.empty(len(x), SEGMENT)
+            segments["key"], segments["place"], segments["windows"] = key[x], place[x], windows[x]
+            yield _by_document(ids, hashes, doc[x], segments, "segments")
+    W.tidy()
+
+
+def _cut_up(batches: Iterator[pa.RecordBatch], parts: int):
+    """The named segments with their words, by part."""
+    for batch in batches:
+        raw, offsets = W.text_bytes(batch.column("text"))
+        ids, hashes, named = batch.column("id").to_numpy(), batch.column("hash").to_numpy(), batch.column("segments")
+        for i, j in W.pieces(offsets, STEP):
+            words = W.Words(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], W.NOT_SPACE, fold=False)
+            lists = [np.frombuffer(b"".join(named[k].as_py()), SEGMENT) for k in range(i, j)]
+            doc = np.repeat(np.arange(j - i), [len(x) for x in lists])
+            found = np.concatenate(lists)
+            place, windows, key = found["place"], found["windows"], found["key"]
+            start = words.first[doc] + place
+            word, code = np.unique(words.hashes(), return_inverse=True)
+            out = []
+            for part, y in _dealt(key, parts):
+                used, short = np.unique(code[_gather(start[y], windows[y].astype(np.int64) + SIZE - 1)], return_inverse=True)
+                docs, of = np.unique(doc[y], return_inverse=True)
+                out.append((part, _pack(ids[i:j][docs], hashes[i:j][docs], of.astype(np.uint32), place[y], windows[y], key[y],
+                                        word[used], short.astype(np.uint32))))
+            yield _to_parts(out)
         W.tidy()
 
 
 def _shard(packs: list[bytes], shard: int, shards: int):
     """The repeats of one index: documents (ids, hashes) and the intervals of each."""
-    ids, hashes, doc, place, windows, key, text = [], [], [], [], [], [], []
-    known = 0
+    chosen = []
     for data in packs:
-        i, t, d, p, w, k, word, code = _unpack(data)
-        size = w.astype(np.int64) + SIZE - 1
+        i, t, d, p, w, k, word, code = _unpack(data, KINDS)
         if shards > 1:
             mine = (W.mix(k) >> np.uint64(40)) % np.uint64(shards) == np.uint64(shard)
-            code = code[np.repeat(mine, size)]
+            code = code[np.repeat(mine, w.astype(np.int64) + SIZE - 1)]
             d, p, w, k = d[mine], p[mine], w[mine], k[mine]
-        ids.append(i)
-        hashes.append(t)
-        doc.append(d.astype(np.int64) + known)
-        place.append(p)
-        windows.append(w)
-        key.append(k)
-        text.append(word[code])
-        known += len(i)
-    ids, hashes, doc, place, windows, key, text = map(np.concatenate, (ids, hashes, doc, place, windows, key, text))
+        chosen.append((i, t, d, p, w, k, word[code]))
+    known = np.cumsum([0, *(len(c[0]) for c in chosen)]).tolist()
+    doc = np.concatenate([c[2].astype(np.int64) + n for c, n in zip(chosen, known)])
+    ids, hashes, _, place, windows, key, text = map(np.concatenate, zip(*chosen))
     windows, place = windows.astype(np.int64), place.astype(np.int64)
     size = windows + SIZE - 1
     first = np.cumsum(size) - size
@@ -354,21 +422,14 @@ def _shard(packs: list[bytes], shard: int, shards: int):
 
 
 def _search(batches: Iterator[pa.RecordBatch], shard_words: int):
-    """Index and search of one part, a shard at a time; found intervals pass."""
-    packs, words = [], 0
-    for batch in batches:
-        for p, data in zip(batch.column("part").to_pylist(), batch.column("data")):
-            if p >= 0:
-                packs.append(data.as_py())
-                words += int.from_bytes(packs[-1][56:64], "little")
-        gone = batch.filter(pa.compute.less(batch.column("part"), 0))
-        if len(gone):
-            yield gone.select(["id", "hash", "data"])
+    """Index and search of one part, a shard at a time."""
+    packs = [data.as_py() for batch in batches for data in batch.column("data")]
+    words = sum(int.from_bytes(data[8 * (len(KINDS) - 1):8 * len(KINDS)], "little") for data in packs)
     shards = max(1, -(-words // shard_words))
     for s in range(shards if packs else 0):
         found = _shard(packs, s, shards)
         if found is not None and len(found[2]):
-            yield _spans(0, *found).select(["id", "hash", "data"])
+            yield _spans(*found).select(["id", "hash", "spans"])
         W.tidy()
 
 
@@ -434,20 +495,29 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", keep
     """Columns ``row`` (the document's columns ``keep``, all but the text by default), ``n_words``, ``n_removed`` and
     ``text``, the words that stay joined by one space."""
     spark = docs.sparkSession
+    ensure_checkpoint_dir(spark)
     names = keep or [c for c in docs.columns if c != text]
     own: Column = F.col(text).cast("string")
     own = docs.select(F.struct(*[F.col(c).alias(c) for c in names]).alias("row"), own.alias("text"),
                       F.coalesce(F.col(id).cast("long"), F.lit(-2 ** 63)).alias("id"),
                       F.xxhash64(own, F.col(id).isNull()).alias("hash"))
-    # About 3.4 words are sent for each word, 6 bytes long; 27 a segment, so part_words / 54 segments fill half a part.
+    # A segment comes on 7 words of 6 bytes; 27 words a segment, so part_words / 54 segments fill half a part.
     octets = own.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    parts = max(1, -(-34 * octets // (60 * part_words)))
+    segments = octets // 42
+    of_keys = max(1, -(-segments // part_words * 4))
+    parts = max(1, -(-segments * 27 // (2 * part_words)))
     hot = spark.sparkContext.broadcast(hot_grams(own, part_words // 54, octets) if parts > 1 else np.empty(0, np.uint64))
-    kind = "part int, id long, hash long, data binary"
-    to = F.when(F.col("part") >= 0, F.col("part")).otherwise(F.pmod(F.xxhash64("id", "hash"), F.lit(parts)).cast("int"))
-    spans = own.select("id", "hash", "text").mapInArrow(lambda b: _cut_up(b, parts, hot.value), kind) \
-        .repartitionById(parts, to).mapInArrow(lambda b: _search(b, shard_words), "id long, hash long, data binary") \
-        .groupBy("id", "hash").agg(F.collect_list("data").alias("spans"))
+    by_part = "part int, id long, hash long, data binary"
+    to = F.when(F.col("part") >= 0, F.col("part")).otherwise(F.pmod(F.xxhash64("id", "hash"), F.lit(of_keys)).cast("int"))
+    found = own.select("id", "hash", "text").mapInArrow(lambda b: _keys(b, of_keys, hot.value), by_part) \
+        .repartitionById(of_keys, to).mapInArrow(_match, "id long, hash long, spans binary, segments binary") \
+        .groupBy("id", "hash").agg(F.collect_list("spans").alias("spans"), F.collect_list("segments").alias("segments")).checkpoint()
+    # Both joins shuffle the documents in the same way, so that is done once.
+    searched = own.join(found.where(F.size("segments") > 0).select("id", "hash", "segments"), ["id", "hash"]) \
+        .select("row", "text", "id", "hash", "segments").mapInArrow(lambda b: _cut_up(b, parts), by_part) \
+        .repartitionById(parts, F.col("part")).mapInArrow(lambda b: _search(b, shard_words), "id long, hash long, spans binary")
+    spans = found.select("id", "hash", F.explode("spans").alias("spans")).unionByName(searched) \
+        .groupBy("id", "hash").agg(F.collect_list("spans").alias("spans"))
     result = T.StructType([own.schema["row"], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("text", T.StringType())])
     return own.join(spans, ["id", "hash"], "left").select("row", "text", "spans").mapInArrow(_remove, result)
