@@ -24,6 +24,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strata.session import ensure_checkpoint_dir
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])     # executors need no copy of this package
 
 OPEN = np.zeros(256, dtype=np.int8)
@@ -181,6 +183,7 @@ def read_json_elements(spark: SparkSession, paths: str | Sequence[str]) -> DataF
     """Columns ``file``, ``text`` (one element of the file's array; NULL for a file that is not one whole array) of JSON
     files.  A file is read in blocks of ``spark.sql.files.maxPartitionBytes`` by as many tasks; the
     setting (and for small inputs the number of cores) has to stay until the result is written."""
+    ensure_checkpoint_dir(spark)
     own = spark.read.option("lineSep", ",").option("recursiveFileLookup", "true") \
         .text([paths] if isinstance(paths, str) else list(paths))
     pieces = own.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
@@ -189,11 +192,15 @@ def read_json_elements(spark: SparkSession, paths: str | Sequence[str]) -> DataF
     known = spark.sparkContext.broadcast({(r["file"], r["block"]): (r["parity"], r["depth"]) for r in found})
     cut = pieces.mapInArrow(lambda batches: _cut(batches, known.value), PIECE)
     whole = cut.where("kind = 'whole'").select("file", "text")
-    border = cut.where("kind NOT IN ('whole', 'bad')").withColumn("element", F.sum(F.expr("int(kind = 'start')")).over(
+    # One or two pieces a block; names of files that are no array come to the driver, which has listed all names.
+    rest = cut.where("kind <> 'whole'").checkpoint()
+    lost = sorted({*broken, *(r["file"] for r in rest.where("kind = 'bad'").select("file").distinct().collect())})
+    border = rest.where("kind <> 'bad'").withColumn("element", F.sum(F.expr("int(kind = 'start')")).over(
         Window.partitionBy("file").orderBy("block", "no")))
     joined = border.groupBy("file", "element").agg(F.array_sort(F.collect_list(F.struct("block", "no", "text"))).alias("p")) \
         .select("file", F.array_join(F.col("p.text"), "").alias("text")).where(F.trim("text") != "")
-    strange = cut.where("kind = 'bad'").select("file").distinct()
-    lost = strange.unionByName(spark.createDataFrame([(f,) for f in broken], "file string")).distinct()
-    elements = whole.unionByName(joined).join(lost, "file", "left_anti")
-    return elements.unionByName(lost.withColumn("text", F.lit(None).cast("string")))
+    elements = whole.unionByName(joined)
+    if lost:
+        elements = elements.where(~F.col("file").isin(lost)).unionByName(
+            spark.createDataFrame([(f, None) for f in lost], "file string, text string"))
+    return elements
