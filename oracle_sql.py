@@ -374,6 +374,20 @@ FROM ev LEFT JOIN al ON ev.eid = al.a_eid"""
 Q["flatten_both"] = _with(IOT_FLAT) + f"""
 SELECT {', '.join(IOT_COLS)}, _apos AS alert_pos FROM iot_flat"""
 
+Q["flatten_missing"] = """
+WITH d AS (SELECT CAST(event_id AS BIGINT) AS event_id,
+                  CASE WHEN event_type IN ('signup', 'view', 'error') THEN [] ELSE [event_type, 'k'] END AS r FROM events),
+i AS (SELECT event_id, unnest(range(len(r))) AS pos, unnest(r) AS sensor FROM d)
+SELECT 'inner' AS kind, event_id, CAST(pos AS INTEGER) AS pos, sensor FROM i
+UNION ALL
+SELECT 'outer', d.event_id, CAST(pos AS INTEGER), sensor FROM d LEFT JOIN i USING (event_id)"""
+
+Q["date_shift"] = """
+SELECT o_orderkey, o_orderdate - INTERVAL 1 HOUR AS hour_minus_1, o_orderdate + INTERVAL 90 MINUTE AS minute_90,
+       o_orderdate + INTERVAL 45 DAY AS day_45, o_orderdate + INTERVAL 1 MONTH AS month_1,
+       o_orderdate - INTERVAL 13 MONTH AS month_minus_13, o_orderdate + INTERVAL 4 YEAR AS year_4
+FROM orders"""
+
 Q["inventory_extract"] = """
 SELECT CAST(l.l_shipdate AS DATE) AS snapshot_date,
        CAST(l.l_suppkey AS VARCHAR) AS store_id,

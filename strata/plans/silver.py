@@ -15,41 +15,41 @@ from strata.operators.flatten import unnest
 from strata.operators.merge import merge, src
 from strata.sources.files import as_variant
 
-# (target column, source path, dialect cast, stored type) -- the reference's
-# cast lists for the ERP order and inventory extractions.
-ERP_EXTRACT = [
-    ("order_id", "order_id", "varchar", "string"),
-    ("order_date", "order_date", "timestamp", "timestamp_ntz"),
-    ("order_status", "order_status", "varchar", "string"),
-    ("expected_delivery", "expected_delivery", "date", "date"),
-    ("actual_delivery", "actual_delivery", "date", "date"),
-    ("is_late", "is_late", "boolean", "boolean"),
-    ("lead_time_days", "lead_time_days", "int", "decimal(5,0)"),
-    ("category", "category", "varchar", "string"),
-    ("product_sku", "product_sku", "varchar", "string"),
-    ("quantity_ordered", "quantity_ordered", "int", "decimal(10,0)"),
-    ("quantity_received", "quantity_received", "int", "decimal(10,0)"),
-    ("unit_cost", "unit_cost", "number(10,2)", "decimal(10,2)"),
-    ("total_cost", "total_cost", "number(12,2)", "decimal(12,2)"),
-    ("store_id", "store_id", "varchar", "string"),
-    ("store_city", "store_city", "varchar", "string"),
-    ("supplier_id", "supplier_id", "varchar", "string"),
-    ("supplier_name", "supplier_name", "varchar", "string"),
-    ("supplier_city", "supplier_city", "varchar", "string"),
-    ("warehouse_id", "warehouse_id", "varchar", "string"),
-]
-
-INVENTORY_EXTRACT = [
-    ("snapshot_date", "snapshot_date", "date", "date"),
-    ("store_id", "store_id", "varchar", "string"),
-    ("warehouse_id", "warehouse_id", "varchar", "string"),
-    ("category", "category", "varchar", "string"),
-    ("product_sku", "product_sku", "varchar", "string"),
-    ("quantity_on_hand", "quantity_on_hand", "number", "decimal(10,0)"),
-    ("reorder_level", "reorder_level", "number", "decimal(10,0)"),
-    ("max_stock_level", "max_stock_level", "number", "decimal(10,0)"),
-    ("last_received_date", "last_received_date", "date", "date"),
-]
+# Fixed values: (target column, source path, dialect cast, stored type), the reference's
+# cast lists for the ERP order and inventory extractions.  Paths are the columns' names.
+ERP_EXTRACT = [(n, n, cast, stored) for n, cast, stored in [
+    ("order_id", "varchar", "string"),
+    ("order_date", "timestamp", "timestamp_ntz"),
+    ("order_status", "varchar", "string"),
+    ("expected_delivery", "date", "date"),
+    ("actual_delivery", "date", "date"),
+    ("is_late", "boolean", "boolean"),
+    ("lead_time_days", "int", "decimal(5,0)"),
+    ("category", "varchar", "string"),
+    ("product_sku", "varchar", "string"),
+    ("quantity_ordered", "int", "decimal(10,0)"),
+    ("quantity_received", "int", "decimal(10,0)"),
+    ("unit_cost", "number(10,2)", "decimal(10,2)"),
+    ("total_cost", "number(12,2)", "decimal(12,2)"),
+    ("store_id", "varchar", "string"),
+    ("store_city", "varchar", "string"),
+    ("supplier_id", "varchar", "string"),
+    ("supplier_name", "varchar", "string"),
+    ("supplier_city", "varchar", "string"),
+    ("warehouse_id", "varchar", "string"),
+]]
+
+INVENTORY_EXTRACT = [(n, n, cast, stored) for n, cast, stored in [
+    ("snapshot_date", "date", "date"),
+    ("store_id", "varchar", "string"),
+    ("warehouse_id", "varchar", "string"),
+    ("category", "varchar", "string"),
+    ("product_sku", "varchar", "string"),
+    ("quantity_on_hand", "number", "decimal(10,0)"),
+    ("reorder_level", "number", "decimal(10,0)"),
+    ("max_stock_level", "number", "decimal(10,0)"),
+    ("last_received_date", "date", "date"),
+]]
 
 
 def dialect_cast(c: Column, dialect: str) -> Column:

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import schemas as sc
-from strata.functions.expr import order_desc
-from strata.functions.paths import vget
+from strata.functions.expr import order_desc, shift
+from strata.functions.paths import vget, vitems
 from strata.functions.variant import with_field
 from strata.operators import history as hist
 from strata.operators.changes import change_feed as _change_feed
@@ -84,6 +84,28 @@ def flatten_both(spark: SparkSession, d: str) -> DataFrame:
     return silver.iot_flatten(mapping.iot_raw(spark, d)).withColumnRenamed("_apos", "alert_pos")
 
 
+def flatten_missing(spark: SparkSession, d: str) -> DataFrame:
+    """Documents of which some have no readings (missing, null or an empty list) and so vanish from the inner unnest, while
+    the outer one keeps them with NULLs (C5, C6)."""
+    ev = mapping.table(spark, d, "events")
+    readings = F.when(F.col("event_type") == "signup", F.lit("null")).when(F.col("event_type") == "view", F.lit("[]")) \
+        .otherwise(F.concat(F.lit('[{"sensor":"'), "event_type", F.lit('"},{"sensor":"k"}]')))
+    text = F.when(F.col("event_type") == "error", F.concat(F.lit('{"id":'), "event_id", F.lit("}"))) \
+        .otherwise(F.concat(F.lit('{"id":'), "event_id", F.lit(',"readings":'), readings, F.lit("}")))
+    docs = ev.select(F.parse_json(text).alias("v")).select(vget("v", "id", "bigint").alias("event_id"), vitems("v", "readings").alias("_readings"))
+    inner = unnest(docs, "_readings", "_r", position="pos").select(F.lit("inner").alias("kind"), "event_id", "pos", "_r")
+    outer = unnest(docs, "_readings", "_r", outer=True, position="pos").select(F.lit("outer").alias("kind"), "event_id", "pos", "_r")
+    return inner.unionByName(outer).select("kind", "event_id", "pos", vget("_r", "sensor").alias("sensor"))
+
+
+def date_shift(spark: SparkSession, d: str) -> DataFrame:
+    """``dateadd`` by hours, days, months and years, over month ends (H5)."""
+    o = mapping.table(spark, d, "orders")
+    at = F.col("o_orderdate").cast("timestamp_ntz")
+    by = [("hour", -1), ("minute", 90), ("day", 45), ("month", 1), ("month", -13), ("year", 4)]
+    return o.select("o_orderkey", *[shift(at, n, unit).alias(f"{unit}_{n}".replace("-", "minus_")) for unit, n in by])
+
+
 def inventory_extract(spark: SparkSession, d: str) -> DataFrame:
     """Typed inventory snapshot rows."""
     return silver.inventory(mapping.inventory_raw(spark, d))

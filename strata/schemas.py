@@ -1,7 +1,7 @@
 """Fixed schemas of the raw and cleaned tables.
 
-Column lists and types follow the reference DDL.  VARCHAR lengths are
-constraints, not shapes, so they are strings here; ``TIME`` travels as an
+Column lists and types follow the reference DDL.  VARCHAR lengths are strings whose width stands in the field's
+metadata and is enforced where a stored table is written (``strata.sources.widths``); ``TIME`` travels as an
 ``HH:mm:ss`` string (zero padded, so it sorts like the time).
 """
 
@@ -20,6 +20,21 @@ def _struct(*cols) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in cols])
 
 
+# Widths of the text columns; a name has one width in all tables.
+WIDTHS = {
+    "transaction_id": 50, "store_id": 20, "store_name": 100, "store_city": 100, "store_region": 100, "cashier_id": 20,
+    "customer_id": 20, "product_sku": 50, "product_name": 255, "category": 100, "subcategory": 100, "payment_method": 50,
+    "order_id": 50, "order_status": 50, "supplier_id": 20, "supplier_name": 150, "supplier_city": 100, "warehouse_id": 20,
+    "alert_type": 20, "severity": 20, "device_id": 50, "event_id": 50, "event_type": 50, "firmware_version": 20,
+    "sensor_name": 50, "sensor_unit": 20,
+}
+
+
+def _declared(*cols) -> T.StructType:
+    """A table's columns; text ones with their declared width."""
+    return T.StructType([T.StructField(n, t, True, {"varchar": WIDTHS[n]} if t is S and n in WIDTHS else None) for n, t in cols])
+
+
 AUDIT = [("created_at", TS), ("updated_at", TS)]
 
 # Raw point-of-sale rows, in file order (the CSV is read by position).
@@ -31,9 +46,9 @@ POS_COLUMNS = [
     ("quantity", dec(10)), ("unit_price", dec(10, 2)), ("discount_pct", dec(9, 2)),
     ("total_amount", dec(12, 2)), ("payment_method", S), ("loyalty_points", dec(10)),
 ]
-POS_RAW = _struct(*POS_COLUMNS)
+POS_RAW = _declared(*POS_COLUMNS)
 POS_KEYS = ["transaction_id", "transaction_date"]
-POS_CLEAN = _struct(*POS_COLUMNS, *AUDIT)
+POS_CLEAN = _declared(*POS_COLUMNS, *AUDIT)
 
 # Purchasing orders (ERP), typed extraction of the Parquet rows.
 ERP_COLUMNS = [
@@ -46,7 +61,7 @@ ERP_COLUMNS = [
     ("supplier_city", S), ("warehouse_id", S),
 ]
 ERP_KEYS = ["order_id"]
-ERP_CLEAN = _struct(*ERP_COLUMNS, *AUDIT)
+ERP_CLEAN = _declared(*ERP_COLUMNS, *AUDIT)
 ACTION = "_action"
 
 # Inventory snapshots; no key, appended as they come.
@@ -55,7 +70,7 @@ INVENTORY_COLUMNS = [
     ("product_sku", S), ("quantity_on_hand", dec(10)), ("reorder_level", dec(10)),
     ("max_stock_level", dec(10)), ("last_received_date", D),
 ]
-INVENTORY = _struct(*INVENTORY_COLUMNS)
+INVENTORY = _declared(*INVENTORY_COLUMNS)
 
 # One row per sensor reading (and alert) of a device event.  ``triggere_at``
 # is spelled as in the reference DDL.
@@ -68,7 +83,7 @@ IOT_COLUMNS = [
 ]
 IOT_KEYS = ["event_id", "sensor_name", "event_timestamp"]
 IOT_DEDUP_KEYS = ["event_id", "sensor_name"]
-IOT_CLEAN = _struct(*IOT_COLUMNS, *AUDIT)
+IOT_CLEAN = _declared(*IOT_COLUMNS, *AUDIT)
 
 # The top-level fields of a raw sensor JSON document that the silver stream reads, each as it is
 # (VARIANT); a stream needs its schema ahead.  ``read_json_array`` finds the fields of its files itself.
