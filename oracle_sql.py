@@ -527,6 +527,8 @@ Q["parquet_load"] = _with(ERP_SILVER) + \
 Q["stream_merge"] = _with(POS_SILVER) + \
     f"\nSELECT *, {LOAD_1} AS created_at, {LOAD_1} AS updated_at FROM pos"
 
+Q["stream_latest"] = _with(POS_SILVER) + f"\nSELECT {', '.join(POS_COLS)} FROM pos"
+
 Q["stream_erp"] = _with(ERP_RAW, f"""
 yearly AS (SELECT * FROM ({erp_typed('erp_raw', ', year(_shipdate) AS _y')})
            QUALIFY row_number() OVER (PARTITION BY order_id, _y ORDER BY {ERP_ORDER}) = 1),

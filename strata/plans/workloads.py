@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import schemas as sc
-from strata.functions.expr import order_desc, shift
+from strata.functions.expr import normalise_time, order_desc, shift
 from strata.functions.paths import vget, vitems
 from strata.functions.variant import with_field
 from strata.operators import history as hist
@@ -30,6 +30,7 @@ from strata.sources.change_table import ChangeTable
 from strata.sources.raw_table import Feed, RawTable
 from strata.streaming.cdc import cdc_into
 from strata.streaming.ingest import change_stream, ingest_stream
+from strata.streaming.latest import ARRIVED, keep_latest, read_latest
 from strata.streaming.pipes import Pipe, run_task
 
 # Fixed parameters of the update and history workloads.
@@ -293,6 +294,20 @@ def stream_merge(spark: SparkSession, d: str) -> DataFrame:
     return table.read()
 
 
+def stream_latest(spark: SparkSession, d: str) -> DataFrame:
+    """POS change files of several ship years kept as the latest row a transaction in a state store, without batches of our
+    own: the year of a file's folder is its arrival, in whatever order files are met (J5, J6, P1)."""
+    landing, ckpt = scratch_path(spark, "pos_years"), scratch_path(spark, "pos_latest_ckpt")
+    raw = mapping.pos_raw(spark, d, with_version=True).withColumn("ship_year", F.year("_shipdate")).drop("_shipdate")
+    raw.write.option("header", True).partitionBy("ship_year").csv(landing)
+    year = F.regexp_extract(F.col("_metadata.file_path"), r"ship_year=(\d+)", 1).cast("int")
+    stream = change_stream(spark, landing, "csv", sc.POS_RAW, recursiveFileLookup="true") \
+        .select("*", F.make_timestamp(year, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias(ARRIVED)) \
+        .withColumn("transaction_time", normalise_time("transaction_time"))
+    keep_latest(stream, sc.POS_KEYS, ["transaction_time"], ckpt, "pos_latest").awaitTermination()
+    return read_latest(spark, ckpt, sc.POS_KEYS).select(*sc.names(sc.POS_COLUMNS))
+
+
 def late_data(spark: SparkSession, d: str) -> DataFrame:
     """A late batch after the newer one: the merge takes the last arrival, whatever its time."""
     b1, b2 = catalog.split_by_ship_date(mapping.pos_raw(spark, d, with_version=True))
