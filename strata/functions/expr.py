@@ -58,7 +58,9 @@ def normalise_time(x) -> Column:
     c = F.trim(_c(x))
     pattern = r"^([01]?[0-9]|2[0-3]):([0-5]?[0-9])(?::([0-5]?[0-9])(\.[0-9]{1,9})?)?$"
     part = lambda k: F.lpad(F.regexp_extract(c, pattern, k), 2, "0")
+    # Most times are written in full already: one expression, not five.
     return F.when(c.isNull(), F.lit(None).cast("string")) \
+            .when(c.rlike(r"^(?:[01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]$"), c) \
             .when(c.rlike(pattern), F.concat(part(1), F.lit(":"), part(2), F.lit(":"), part(3),
                                              F.regexp_extract(c, pattern, 4))) \
             .otherwise(F.raise_error(F.concat(F.lit("not a time: "), c)).cast("string"))

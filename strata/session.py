@@ -21,6 +21,8 @@ BASE_CONF = {
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files go when what was read from them is gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
