@@ -157,6 +157,7 @@ def _encode(batches: Iterator[pa.RecordBatch], vocabulary, offsets_too: bool):
                 for x in codec.spans(ids, own, bounds):
                     out.append(pa.ListArray.from_arrays(at, pa.array(x.astype(np.int32))))
             yield pa.RecordBatch.from_arrays(out, names=["row", "ids", "starts", "ends"][:len(out)])
+        W.tidy()
 
 
 def _decode(batches: Iterator[pa.RecordBatch], vocabulary):
@@ -172,9 +173,11 @@ def _decode(batches: Iterator[pa.RecordBatch], vocabulary):
             texts = [data[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row").slice(i, j - i), pa.array(texts, pa.binary())], names=["row", "bytes"])
+        W.tidy()
 
 
 def _shared(df: DataFrame, vocabulary: str | None):
+    W.bounded(df.sparkSession)
     with open(vocabulary or default_vocabulary(), encoding="utf-8") as f:
         return df.sparkSession.sparkContext.broadcast(f.read())
 

@@ -37,60 +37,72 @@ BLOOM_BITS = 20
 
 
 class Windows:
-    """Windows of some items: for each length, sorted hashes with words and items."""
+    """The windows of some items as arrays: for each length sorted hashes, the words of one place each in one text
+    buffer, and the items that have it.  About 5 bytes a byte of text."""
 
     def __init__(self, items: list[tuple[str | None, str]], size: int):
-        found: dict[int, dict[bytes, set]] = {}
-        hashes: dict[bytes, int] = {}
+        self.names = [i for i, _ in items]
         raw, offsets = W.text_bytes(pa.array([t for _, t in items], pa.large_string()))
+        self.raw = W.lower_ascii(raw)
+        starts, ends, found, known = [], [], {}, 0
         for i, j in W.pieces(offsets):
             words = W.Words(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
             h = words.hashes()
-            for k in range(i, j):
-                a, b = words.first[k - i], words.first[k - i + 1]
-                length = min(size, b - a)
-                if not length:
-                    continue
-                total, inverse = W.prefix_hash(h[a:b])
-                for at in range(b - a - length + 1):
-                    key = words.word_bytes(a + at, length)
-                    value = W.mix((total[at + length:at + length + 1] - total[at:at + 1]) * inverse[at:at + 1])
-                    hashes[key] = int(value[0])
-                    found.setdefault(int(length), {}).setdefault(key, set()).add(items[k][0])
+            other = W.mix(h ^ np.uint64(0x5851F42D4C957F2D))       # windows are told apart by 128 bits
+            counts = np.diff(words.first)
+            for length in np.unique(np.minimum(counts[counts > 0], size)).tolist():
+                at, value = words.windows(h, length)
+                _, second = words.windows(other, length)
+                own = slice(None) if length == size else counts[words.text[at]] == length
+                found.setdefault(length, []).append((value[own], second[own], at[own] + known, words.text[at[own]] + i))
+            starts.append(words.start + offsets[i])
+            ends.append(words.end + offsets[i])
+            known += words.n
+        kind = np.int32 if len(raw) < 1 << 31 else np.int64
+        self.start, self.end = (np.concatenate([np.empty(0, np.int64), *x]).astype(kind) for x in (starts, ends))
         self.by_length = {}
-        for length, group in found.items():
-            keys = sorted(group, key=hashes.get)
-            h = np.array([hashes[k] for k in keys], dtype=np.uint64)
+        for length, parts in found.items():
+            value, second, at, item = (np.concatenate(x) for x in zip(*parts))
+            order = np.lexsort((item, second, value))
+            value, second, at, item = value[order], second[order], at[order], item[order].astype(np.int32)
+            new = np.ones(len(value), dtype=bool)
+            new[1:] = (value[1:] != value[:-1]) | (second[1:] != second[:-1])
+            again = np.zeros(len(value), dtype=bool)
+            again[1:] = ~new[1:] & (item[1:] == item[:-1])
+            first = np.append(np.cumsum(~again)[new] - 1, np.count_nonzero(~again)).astype(np.int64)
             bloom = np.zeros(1 << BLOOM_BITS, dtype=bool)
-            bloom[h >> np.uint64(64 - BLOOM_BITS)] = True
-            self.by_length[length] = h, keys, [group[k] for k in keys], bloom
+            bloom[value >> np.uint64(64 - BLOOM_BITS)] = True
+            self.by_length[length] = value[new], at[new].astype(kind), first, item[~again], bloom
 
     @classmethod
-    def of(cls, by_length: dict) -> Windows:
+    def of(cls, fields: dict) -> Windows:
         own = cls.__new__(cls)
-        own.by_length = by_length
+        vars(own).update(fields)
         return own
 
+    def words(self, at: int, length: int) -> bytes:
+        return b" ".join(self.raw[a:b].tobytes() for a, b in zip(self.start[at:at + length].tolist(), self.end[at:at + length].tolist()))
+
     def hits(self, words: W.Words) -> tuple[np.ndarray, dict[int, set]]:
         """Which words are hit, and the items with occurrences by text number."""
         mark = np.zeros(words.n + 1, dtype=np.int64)
         items: dict[int, set] = {}
         h = words.hashes() if self.by_length else None
-        for length, (known, keys, of, bloom) in self.by_length.items():
+        for length, (known, place, first, item, bloom) in self.by_length.items():
             at, value = words.windows(h, length)
             near = np.flatnonzero(bloom[value >> np.uint64(64 - BLOOM_BITS)])
-            first = np.searchsorted(known, value[near])
-            same = known[np.minimum(first, len(known) - 1)] == value[near]
-            near, first = near[same], first[same]
-            for i, k, v in zip(at[near].tolist(), first.tolist(), value[near].tolist()):
+            slot = np.searchsorted(known, value[near])
+            same = known[np.minimum(slot, len(known) - 1)] == value[near]
+            near, slot = near[same], slot[same]
+            for i, k, v in zip(at[near].tolist(), slot.tolist(), value[near].tolist()):
                 while k < len(known) and int(known[k]) == v:
-                    if words.word_bytes(i, length) == keys[k]:
+                    if words.word_bytes(i, length) == self.words(int(place[k]), length):
                         mark[i] += 1
                         mark[i + length] -= 1
-                        items.setdefault(int(words.text[i]), set()).update(of[k])
+                        items.setdefault(int(words.text[i]), set()).update(item[first[k]:first[k + 1]].tolist())
                         break
                     k += 1
-        return np.cumsum(mark[:-1]) > 0, items
+        return np.cumsum(mark[:-1]) > 0, {t: {self.names[x] for x in found} for t, found in items.items()}
 
 
 def _cut(text: bytes, start: np.ndarray, end: np.ndarray, hit: np.ndarray) -> bytes:
@@ -206,7 +218,7 @@ def _blocks(own: DataFrame, n: int) -> Iterator[list]:
 
 
 def _start(docs: DataFrame, text: str) -> DataFrame:
-    row = F.struct(F.lit(0).alias("_"), *[c for c in docs.columns if c != text]).alias("row")
+    row = F.struct(F.lit(0).alias(W.free_name(docs.columns)), *[c for c in docs.columns if c != text]).alias("row")
     return docs.select(row, F.col(text).cast("string").alias("text"))
 
 
@@ -214,6 +226,7 @@ def _run(work: DataFrame, own: DataFrame, n: int, size: int, remove: bool) -> Da
     """``row`` and ``text`` through all blocks."""
     spark = work.sparkSession
     ensure_checkpoint_dir(spark)
+    W.bounded(spark)
     kind = T.StructType([
         T.StructField("row", work.schema["row"].dataType),
         T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()),
@@ -224,7 +237,7 @@ def _run(work: DataFrame, own: DataFrame, n: int, size: int, remove: bool) -> Da
         F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
         F.array().cast("array<string>").alias("items"), F.lit(None).cast("binary").alias("hit"))
     for k, block in enumerate(_blocks(own, n)):
-        shared = spark.sparkContext.broadcast(Windows(block, size).by_length)
+        shared = spark.sparkContext.broadcast(vars(Windows(block, size)))
         if remove:
             step = lambda batches, shared=shared: _cut_pass(batches, Windows.of(shared.value))
         else:

@@ -198,6 +198,12 @@ def compare(table: pa.Table, threshold: float) -> pa.Table:
                      "root": pa.array([keys[order[x]] for x in label], pa.binary())})
 
 
+def _compared(bin_: pa.Table, threshold: float) -> pa.Table:
+    out = compare(bin_, threshold)
+    W.tidy()
+    return out
+
+
 def _leaves(reps: DataFrame) -> DataFrame:
     """(k, n, leader): the sets to compare; leader is the smallest set on a path."""
     rows = reps.select(F.explode("pool").alias("path"), "k", "n")
@@ -281,6 +287,7 @@ def classes(docs: DataFrame, row_id: str = "doc_id", text: str = "text", ngram:
     ``n_links`` (other documents whose sets are similar or equal), ``class_key`` (one value a component;
     null without words), ``hash`` (of the text)."""
     ensure_checkpoint_dir(docs.sparkSession)
+    W.bounded(docs.sparkSession)
     runs = max(1, math.ceil(-math.log(1 - recall) / per_run))
     own = docs.select(F.col(row_id).alias("id"), F.col(text).cast("string").alias("text"),
                       F.xxhash64(F.col(text)).alias("hash"))
@@ -297,7 +304,7 @@ def classes(docs: DataFrame, row_id: str = "doc_id", text: str = "text", ngram:
     tokens = texts.select("text").mapInArrow(lambda b: _payload(b, ngram), "k binary, tokens binary")
     compared = tokens.join(_small(active.select("k", "copies", "bins"), 256), "k") \
         .select("k", "copies", "bins", "tokens", F.explode("bins").alias("bin")) \
-        .groupBy("bin").applyInArrow(lambda t: compare(t, threshold), "k binary, links long, root binary") \
+        .groupBy("bin").applyInArrow(lambda t: _compared(t, threshold), "k binary, links long, root binary") \
         .checkpoint()
     links = compared.groupBy("k").agg(F.sum("links").alias("links"))
     labels = components(compared.select("k", "root"))

@@ -13,7 +13,7 @@ language, ``FEW`` at least, taken by hash of id; all if fewer); the counts of on
 reaches the driver is bounded by the number of languages.
 
 Defined results: null text and text without a letter are ``und`` with score 0; rows
-with null language are not learned from; a document all of whose letters are of scripts
+with null language, and labels beyond the ``MAX_LABELS`` most frequent ones, are not learned from; a document all of whose letters are of scripts
 that no language was seen in gets the language with most training letters and score 0;
 ties go to the language first in order; without any training row all is ``und``.
 """
@@ -35,9 +35,10 @@ SMOOTH = 0.5
 PENALTY = 4.0            # log-probability lost with each switch
 SEEN = 0.005             # share of a language's letters that makes a script one of its own
 MAX_ROWS = 20_000
+MAX_LABELS = 1_000
 FEW = 1_000              # rows to learn a language from, however many languages there are
-STEP = 1_000_000         # characters worked on at a time
-SCORES = 8_000_000       # trigram scores looked up at a time
+STEP = 1_000_000         # bytes worked on at a time
+SCORES = 4_000_000       # trigram scores looked up at a time
 
 # Script ranges of Unicode (first and last code point).
 SCRIPTS = [
@@ -175,16 +176,11 @@ def viterbi(score: np.ndarray, text: np.ndarray, penalty: float) -> np.ndarray:
 
 
 def _texts(batch: pa.RecordBatch, name: str) -> Iterator[tuple[int, list[str]]]:
-    """First row and texts of each stretch of about STEP characters; null is empty."""
-    got, size, first = [], 0, 0
-    for k, x in enumerate(batch.column(name).to_pylist()):
-        got.append(x or "")
-        size += len(got[-1]) + 1
-        if size >= STEP:
-            yield first, got
-            got, size, first = [], 0, k + 1
-    if got:
-        yield first, got
+    """First row and texts of each stretch of about STEP bytes; null is empty.  Only a stretch at a time is Python's."""
+    column = batch.column(name)
+    _, offsets = W.text_bytes(column)
+    for i, j in W.pieces(offsets, STEP):
+        yield i, [x or "" for x in column.slice(i, j - i).to_pylist()]
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,10 +210,14 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", row_id: str = "
         max_rows: int = MAX_ROWS) -> Model:
     """Learns from the labelled rows of ``docs``: of each language at most about its share of ``max_rows`` (or
     ``FEW``), those whose id hashes lowest (so every part of the table is met)."""
+    W.bounded(docs.sparkSession)
     own = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"),
                       F.xxhash64(F.col(row_id).cast("string")).alias("h")) \
         .where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r["lang"]: r["n"] for r in own.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    # Of dirty columns the most frequent labels only, so what is learned stays bounded.
+    most_frequent = own.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(MAX_LABELS)
+    sizes = {r["lang"]: r["n"] for r in most_frequent.collect()}
+    own = own.where(F.col("lang").isin(list(sizes)))
     most = max(max_rows // max(len(sizes), 1), FEW)
     bars = {k: max(1, (1 << 40) * most // n) for k, n in sizes.items() if n > most}
     if bars:
@@ -304,17 +304,22 @@ def predict(docs: DataFrame, model: Model, text: str = "text", penalty: float =
         .mapInArrow(lambda batches: _predict(batches, shared, penalty, spans), kind)
 
 
-def reject(docs: DataFrame, model: Model, min_score: float = 0.0, text: str = "text",
+def reject(docs: DataFrame, model: Model, min_score: float = 0.0, text: str = "text", lang: str = "lang",
            penalty: float = PENALTY) -> DataFrame:
-    """The documents that have a letter and at least a share ``min_score`` of their letters in scripts of
-    learned languages, all languages together; each with a letter if no language was learned."""
+    """The documents that have a letter and at least a share ``min_score`` of their letters in words labelled with some
+    language (mixed texts count all their languages); each with a letter if no language was learned.  A null
+    ``lang`` (where there is that column) becomes the predicted language."""
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
     # The text goes to the tasks and back once, beside the other columns.
-    own = docs.select(F.struct(F.lit(0).alias("_"), *[c for c in docs.columns if c != text]).alias("row"),
+    own = docs.select(F.struct(F.lit(0).alias(W.free_name(docs.columns)), *[c for c in docs.columns if c != text]).alias("row"),
                       F.col(text).cast("string").alias("text"))
     kind = T.StructType([*own.schema.fields, T.StructField("lang_pred", T.StringType()),
                          T.StructField("score", T.DoubleType()), T.StructField("letter", T.BooleanType()),
                          T.StructField("known", T.DoubleType())])
     found = own.mapInArrow(lambda batches: _predict(batches, shared, penalty, False, True), kind)
+    said = F.when(F.col("lang_pred") != "und", F.col("lang_pred"))
+    columns = {text: F.col("text")}
+    if lang in docs.columns and lang != text and isinstance(docs.schema[lang].dataType, T.StringType):
+        columns[lang] = F.coalesce(F.col("row")[lang], said)
     return found.where(F.col("letter") & (F.col("known") >= min_score)).select(
-        *[F.col("text").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])
+        *[columns.get(c, F.col("row")[c]).alias(c) for c in docs.columns])

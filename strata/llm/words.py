@@ -8,12 +8,17 @@ certainty compares the bytes (``word_bytes``).
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import re
+
 import numpy as np
 import pyarrow as pa
 
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 2 ** 64)
+BATCH = 8 << 20           # bytes of rows that go to Python at a time
 STEP = 2_000_000          # bytes segmented at a time; a longer text goes alone
 
 
@@ -62,9 +67,32 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, off - off[0]
 
 
+def bounded(spark) -> None:
+    """From now on the session sends its rows to Python in batches of ``BATCH`` bytes instead of 64 MB or 10,000 rows: a
+    task holds a batch several times on either side.  A smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    number, unit = re.fullmatch(r"(\d+)\s*([a-z]?).*", spark.conf.get(key).strip().lower()).groups()
+    if int(number) << {"k": 10, "m": 20, "g": 30, "t": 40}.get(unit, 0) > BATCH:
+        spark.conf.set(key, str(BATCH))
+
+
 def tidy() -> None:
-    """Give memory that Arrow holds back to the system: a worker waits for its next task with it."""
+    """Give memory back to the system: a worker waits for its next task with it.  What an earlier task's functions
+    held (their tables too) is garbage in cycles; Arrow's pool and the C library keep freed pages."""
+    gc.collect()
     pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass                             # not that C library: its pages stay
+
+
+def free_name(columns: list[str]) -> str:
+    """A column name that none of ``columns`` has."""
+    name = "_"
+    while name in columns:
+        name += "_"
+    return name
 
 
 def lower_ascii(raw: np.ndarray) -> np.ndarray:
