@@ -5,8 +5,8 @@ DataFrame.  All but the last return the columns of ``documents`` (``n_chars``, w
 in step with the text); the last returns ``doc_id, n_tokens, ids, same`` -- ``same`` tells that the
 decoded ids are the text, byte for byte.
 
-1. language: documents without a letter go, and those with less than ``MIN_LANGUAGE`` of their letters in scripts
-   of the labelled languages; without any label all with a letter stay.
+1. language: documents without a letter go, and those with less than ``MIN_LANGUAGE`` of their letters in words that
+   are labelled with a learned language; without any label all with a letter stay.  A null ``lang`` becomes the language found.
 2. near duplicates: five-word shingles, similarity 0.8 or more; one document of each group stays.
 3. benchmark decontamination: passages of ten words or more that a benchmark item has are cut out.
 4. personal data: checked numbers, dates and names of accounts become pseudonyms of the same format.
