@@ -9,8 +9,10 @@ ones, and whoever holds the key can go back (``decrypt``).
 kind       found, and checked by        permuted
 ========== ============================ =============================================
 card       13 to 19 digits, Luhn        the digits but the last; that is the check digit
-phone      + country (area) number,     the digits behind the country's first; signs stay
-           9 to 15 digits
+phone      + country (area) number,     the digits behind the first; signs stay
+           9 to 15 digits; national
+           forms with a bracketed area,
+           of 3-3-4 digits, or from 0 on
 national   ddd-dd-dddd                  the digits
 ip         four numbers up to 255       the 32 bits
 date       yyyy-mm-dd, yyyy/mm/dd,      the day within the 400 years from 1800 on; the
@@ -21,14 +23,17 @@ iban       two letters, two digits,     letters and digits behind the check digi
 email      name@host                    letters and digits of the name and of the host's
                                         first label, each within its class
 secret     key=value (password, secret, letters and digits, each within its class
-           token, api_key, ...), AKIA
-           and ghp_ keys, sk- keys
+           token, api_key, ...; quoted
+           or spaced with a digit or
+           sign in the value), AKIA,
+           ghp_ and sk- keys, eyJ...
+           tokens of two or three parts
 ========== ============================ =============================================
 
 A match that fails its check stays as it is.  A run of groups of digits may hold a card and its
 neighbours (security code, expiry, quantity): its stretches of whole groups are tried, groups of 13 to 19
-digits and the groupings that cards are printed in first, then others of at most ``GROUPS`` groups or
-the whole run (``stretches``).  An IBAN ends where its country's length does; of
+digits and the groupings that cards are printed in first, then the whole run, all neighbouring groups of one size
+(however many), and others of at most ``GROUPS`` groups (``stretches``): any stretch of a table of numbers would fit by chance.  An IBAN ends where its country's length does; of
 other countries the last groups go until modulo 97 fits (one text in 97 with such a group behind may not go back).  A pseudonym that would make
 another stretch of its run fit is permuted again (``WALK`` times at most), so ``decrypt`` finds the same
 stretches; such a run's card has a pseudonym of its own there.  Digits are permuted as numbers of up to 9
@@ -76,13 +81,25 @@ _DATE = r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}\.[0-
         r"[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9A-Za-z])"
 _IP = r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])"
 
+# A secret's value: with a digit or a sign in it, up to white space, a quote or a comma (a full stop behind it is not part
+# of it); or letters and digits alone, directly behind the name.
+_SIGNED = r"""(?=[^\s"'<>,;]*[0-9@!#$%^&*])[^\s"'<>,;]{5,}(?<![.:!?)\]}])"""
+_PLAIN = r"[A-Za-z0-9_\-/+]{6,}+"
+_ASSIGNED = r"(?i:\b(?:" + SECRET_NAMES + r")[=:][ ]?)"
+_SPACED = r"""(?i:\b(?:""" + SECRET_NAMES + r""")["']?[ ]{0,2}(?:=>|:=|[=:])[ ]{0,2}["']?)"""
+
 # The formats, by kind, in the order in which they are tried.  Java regular expressions.
 FORMATS = {
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24}",
-    "secret": r"(?i:\b(?:" + SECRET_NAMES + r")[=:][ ]?)[A-Za-z0-9_\-/+]{6,128}"
-              r"|\bAKIA[0-9A-Z]{16}\b|\bghp_[A-Za-z0-9]{20,64}\b|\bsk-[A-Za-z0-9]{16,64}\b",
+    "secret": rf"{_ASSIGNED}(?:{_SIGNED}|{_PLAIN})|{_SPACED}{_SIGNED}"
+              r"|\beyJ[A-Za-z0-9_\-]{8,}+(?:\.[A-Za-z0-9_\-]++){1,2}"
+              r"|\bAKIA[0-9A-Z]{16}\b|\bghp_[A-Za-z0-9]{20,}+\b|\bsk-(?:[a-z]{2,12}-)*[A-Za-z0-9_]{16,}+\b",
     "iban": r"\b(?=[A-Z]{2}[0-9]{2})(?:" + "|".join(_iban_of(n, c) for n, c in IBAN_LENGTHS.items()) + r"|[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?\b)",
-    "phone": r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .\-]?\(?[0-9]{2,4}\)?[ .\-]?[0-9]{3,4}[ .\-]?[0-9]{3,4}(?![0-9])",
+    # With the country, with the area in brackets, in groups of 3, 3 and 4, and an area that begins with 0.
+    "phone": r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .\-]?\(?[0-9]{2,4}\)?[ .\-]?[0-9]{3,4}[ .\-]?[0-9]{3,4}(?![0-9])"
+             r"|(?<![0-9A-Za-z+])\([0-9]{2,5}\)[ ]?[0-9]{3,4}[ .\-]?[0-9]{3,4}(?![0-9A-Za-z]|[ .\-][0-9])"
+             r"|(?<![0-9A-Za-z+.\-])[0-9]{3}([.\-])[0-9]{3}\2[0-9]{4}(?![0-9A-Za-z]|[.\-][0-9])"
+             r"|(?<![0-9A-Za-z+.\-])(?<![0-9][ ])0[0-9]{1,4}[ /][0-9]{5,8}(?![0-9A-Za-z]|[ .\-][0-9])",
     "national": r"(?<![0-9A-Za-z\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z\-])",
     "date": r"(?<![0-9A-Za-z])(?:[0-9]{4}([\-/])[0-9]{2}\1[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|"
             r"[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9A-Za-z])",
@@ -92,7 +109,7 @@ FORMATS = {
     "ip": r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])",
 }
 #: What every format has somewhere; a text without it is not searched.
-HINT = r"[0-9]|@|[=:]|AKIA|ghp_|sk-"
+HINT = r"[0-9]|@|[=:]|AKIA|ghp_|sk-|eyJ"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -174,9 +191,17 @@ def _one_card(d: Column, key: str, back: bool) -> Column:
     return _let(permute_digits(payload, key, "card", back), lambda p: F.concat(p, luhn_digit(p)))
 
 
-def _scan(groups: Column, sizes: Column, taken: Column, tried: list[int], printed: bool) -> Column:
+def _alike(sizes: Column) -> Column:
+    """For each group how many groups from it on have its number of digits."""
+    back = F.aggregate(F.reverse(sizes), F.array().cast("array<struct<s:int,n:int>>"), lambda a, s: F.concat(
+        F.array(F.struct(s.alias("s"), F.when(F.get(a, F.lit(0))["s"] == s, F.get(a, F.lit(0))["n"] + 1).otherwise(1).alias("n"))), a))
+    return F.transform(back, lambda x: x["n"])
+
+
+def _scan(groups: Column, sizes: Column, equal: Column, taken: Column, tried: list[int], printed: bool) -> Column:
     """For each group the number of groups of the stretch that starts there (0: none), from the left.
-    Numbers of groups are ``tried`` in order (0: the whole run); ``taken`` are stretches that are found already."""
+    Numbers of groups are ``tried`` in order (0: the whole run, -1: all neighbouring groups of one size); ``taken`` are
+    stretches that are found already."""
     def step(a, i):
         def fits(m):
             own = F.slice(sizes, i + 1, m)
@@ -184,7 +209,9 @@ def _scan(groups: Column, sizes: Column, taken: Column, tried: list[int], printe
                 F.aggregate(own, F.lit(0), lambda s, x: s + x).between(13, 19)
             return (i + m <= F.size(groups)) & shape & ~F.exists(F.slice(taken, i + 1, m), lambda x: x != 0) \
                 & _is_card(F.array_join(F.slice(groups, i + 1, m), ""))
-        those = F.array(*(F.lit(m) if m else F.when(i == 0, F.size(groups)).otherwise(1) for m in tried))
+        alike = F.when((i == 0) | (F.get(sizes, i - 1) != F.get(sizes, i)), F.get(equal, i)).otherwise(1)
+        own = {0: F.when(i == 0, F.size(groups)).otherwise(1), -1: alike}
+        those = F.array(*(own.get(m, F.lit(m)) for m in tried))
         found = F.when(i < a["next"], 0).otherwise(F.greatest(F.get(taken, i), F.coalesce(F.get(F.filter(those, fits), F.lit(0)), F.lit(0))))
         return _let(found.cast("int"), lambda m: F.struct(
             F.concat(a["out"], F.array(m)).alias("out"), F.greatest(a["next"], i + m).alias("next")))
@@ -196,9 +223,11 @@ def _scan(groups: Column, sizes: Column, taken: Column, tried: list[int], printe
 def stretches(groups: Column) -> Column:
     """The cards among groups of digits, as numbers of groups by first group."""
     def body(sizes):
-        # Of many groups in whole runs only: numbers in tables are no cards.
-        first = _scan(groups, sizes, F.transform(sizes, lambda _: F.lit(0)), [1, 4, 3, 5, 2], True)
-        return _let(first, lambda taken: _scan(groups, sizes, taken, [0, *range(GROUPS, 1, -1)], False))
+        # Of many groups only where nothing else stands with them: numbers in tables are no cards.
+        def scans(equal):
+            first = _scan(groups, sizes, equal, F.transform(sizes, lambda _: F.lit(0)), [1, 4, 3, 5, 2], True)
+            return _let(first, lambda taken: _scan(groups, sizes, equal, taken, [0, -1, *range(GROUPS, 1, -1)], False))
+        return _let(_alike(sizes), scans)
     return _let(F.transform(groups, F.length), body)
 
 
@@ -279,15 +308,17 @@ def date(v: Column, key: str, back: bool = False) -> Column:
 
 def _turn(part: Column, other: Column, key: str, name: str, turn: int, sign: int) -> Column:
     """Each letter and digit of ``part`` moved within its class by a number of the other half."""
-    def move(c, i):
+    def move(c, i, half):
         code = F.ascii(c)
         # 32 characters take two bytes each from one digest; a longer half takes further digests.
-        digest = F.sha2(F.concat(F.lit(f"{key}|{name}|{turn}|"), F.floor(i / 32).cast("string"), F.lit("|"), other), 512)
+        digest = F.sha2(F.concat(F.lit(f"{key}|{name}|{turn}|"), F.floor(i / 32).cast("string"), F.lit("|"), half), 512)
         k = F.conv(F.substr(digest, (i % 32) * 4 + 1, F.lit(4)), 16, 10).cast("int") * sign
         shift = lambda first, size: F.char(F.pmod(code - first + k, F.lit(size)) + first)
         return F.when(c.rlike("^[0-9]$"), shift(48, 10)).when(c.rlike("^[A-Z]$"), shift(65, 26)) \
             .when(c.rlike("^[a-z]$"), shift(97, 26)).otherwise(c)
-    return F.array_join(F.transform(F.split(part, ""), move), "")
+    # The other half goes in as one digest, so a long value takes time in proportion to its length.
+    return F.aggregate(F.array(F.sha2(other, 256)), F.lit(""), lambda _, half: F.array_join(
+        F.transform(F.split(part, ""), lambda c, i: move(c, i, half)), ""))
 
 
 def permute_text(v: Column, key: str, name: str, back: bool = False) -> Column:
@@ -315,7 +346,7 @@ def email(v: Column, key: str, back: bool = False) -> Column:
 
 def secret(v: Column, key: str, back: bool = False) -> Column:
     """What stands behind ``=``, ``:`` or a key's fixed beginning."""
-    head = F.regexp_extract(v, r"^(?:(?i:" + SECRET_NAMES + r")[=:][ ]?|AKIA|ghp_|sk-)", 0)
+    head = F.regexp_extract(v, rf"^(?:{_SPACED}|AKIA|ghp_|sk-(?:[a-z]{{2,12}}-)*|eyJ)", 0)
     return F.concat(head, permute_text(F.substr(v, F.length(head) + 1, F.length(v)), key, "secret", back))
 
 
@@ -357,7 +388,8 @@ KINDS: dict[str, Callable[..., Column]] = {
 
 def _numbered(kind: str) -> str:
     # The date's own group gets a name, so that formats can stand next to each other.
-    return FORMATS[kind].replace(r"([\-/])", r"(?<sign>[\-/])").replace(r"\1", r"\k<sign>")
+    return FORMATS[kind].replace(r"([\-/])", r"(?<sign>[\-/])").replace(r"\1", r"\k<sign>") \
+        .replace(r"([.\-])", r"(?<gap>[.\-])").replace(r"\2", r"\k<gap>")
 
 
 def replacement(v: Column, key: str, kinds: list[str], back: bool = False) -> Column:
