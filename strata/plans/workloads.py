@@ -23,7 +23,7 @@ from strata.operators.dedup import latest_per_key
 from strata.operators.flatten import unnest
 from strata.operators.merge import update_where as _update_where
 from strata.plans import catalog, fixtures, mapping, silver
-from strata.session import ensure_checkpoint_dir, scratch_path
+from strata.session import ensure_checkpoint_dir, scratch_path, settings
 from strata.sources import files, loads
 from strata.sources.audit import ingest_audit as _ingest_audit
 from strata.sources.change_table import ChangeTable
@@ -444,19 +444,21 @@ def raw_changes(spark: SparkSession, d: str) -> DataFrame:
     return t.changes(1, 4)
 
 
+ARRAY_ROWS = 250_000       # documents of one array, about 100 MB of text
+ARRAY_BLOCK = 256 << 10    # bytes of a block, and the number of blocks from which they grow instead
+ARRAY_BLOCKS = 1024
+
+
 def json_array_blocks(spark: SparkSession, d: str) -> DataFrame:
-    """Sensor documents in one JSON array, read in blocks by several tasks, piped into the raw VARIANT table and
-    cleaned (A2 in parallel, A5, A12, P4)."""
+    """Sensor documents in large JSON arrays (one, up to ``ARRAY_ROWS`` documents), each read in blocks by several tasks,
+    piped into the raw VARIANT table and cleaned (A2 in parallel, A5, A12, P4)."""
     landing = scratch_path(spark, "iot_array")
-    fixtures.write_json_arrays(mapping.iot_docs(spark, d), landing, rows_per_file=1 << 40)
+    fixtures.write_json_arrays(mapping.iot_docs(spark, d), landing, rows_per_file=ARRAY_ROWS)
     table = RawTable(spark, scratch_path(spark, "raw_iot"), "row_col variant")
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
-    try:
+    size = loads.listing(spark, landing).agg(F.sum("length")).first()[0] or 0
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": str(max(ARRAY_BLOCK, size // ARRAY_BLOCKS))}):
         Pipe(spark, "pipe_for_iot", landing, loads.json_reader("row_col"), table, scratch_path(spark, "iot_pipe_ckpt")) \
             .start("availableNow", now=lambda _id: _day(1)).awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     return silver.iot_readings(table.read(), None, now=catalog.LOAD_1)
 
 
