@@ -56,3 +56,16 @@ def test_one_exchange_on_a_batch(spark):
     plan = latest(df, ["k"], ["id"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("partial_max") >= 1
     assert {r.top.row.id for r in latest(df, ["k"], ["id"]).collect()} == set(range(93, 100))
+
+
+def test_state_holds_a_row_once_and_on_disk(spark):
+    landing, ckpt = tempfile.mkdtemp(prefix="land-"), tempfile.mkdtemp(prefix="ckpt-")
+    rows = spark.createDataFrame([("a", "2024-01-01", "09:00", 1, "payload" * 100)], "k string, d string, t string, n int, s string") \
+        .withColumn("d", F.col("d").cast("date"))
+    rows.write.mode("append").parquet(landing)
+    keep_latest(arriving(change_stream(spark, landing, "parquet", rows.schema)), KEYS, ORDER, ckpt, "once").awaitTermination()
+    value = spark.read.format("statestore").load(ckpt).select(F.to_json("value").alias("v")).first().v
+    assert value.count("payload") == 100 and len(value) < 1000
+    with open(f"{ckpt}/offsets/0") as f:
+        assert "RocksDBStateStoreProvider" in f.read()
+    assert content(read_latest(spark, ckpt, KEYS)) == content(rows)
