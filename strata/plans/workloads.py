@@ -266,12 +266,17 @@ def ingest_audit(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- streams
+INGEST_BATCHES = 16
+
+
 def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     """Auto-ingest: new CSV files copied once into a bronze table."""
     landing = scratch_path(spark, "ingest_landing")
     files.write_csv(mapping.pos_raw(spark, d), landing)
     sink, ckpt = scratch_path(spark, "bronze_pos"), scratch_path(spark, "bronze_pos_ckpt")
-    q = ingest_stream(spark, "csv", landing, sc.POS_RAW, ckpt, sink, maxFilesPerTrigger=1)
+    # A backlog is cut into micro-batches of one file, of more files when there are many of them.
+    files_each = -(-loads.listing(spark, landing).count() // INGEST_BATCHES)
+    q = ingest_stream(spark, "csv", landing, sc.POS_RAW, ckpt, sink, maxFilesPerTrigger=max(1, files_each))
     q.awaitTermination()
     # A second run over the same folder finds nothing new.
     q2 = ingest_stream(spark, "csv", landing, sc.POS_RAW, ckpt, sink)
