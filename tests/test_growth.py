@@ -5,6 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+from strata.operators.dedup import latest_in_task, latest_per_key
 from strata.plans import mapping, workloads as W
 from strata.sources.change_table import ChangeTable
 
@@ -46,3 +47,16 @@ def test_a_backlog_of_many_files_is_few_batches(spark, monkeypatch):
     monkeypatch.setattr(W, "ingest_stream", lambda *a, **k: seen.append(k) or real(*a, **k))
     n = W.stream_ingest(spark, SF).count()
     assert seen[0] == {"maxFilesPerTrigger": 3} and n == mapping.pos_raw(spark, SF).count()
+
+
+def test_history_moves_rows_once_and_a_hot_order_reduced(spark):
+    plan = W.erp_history(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(order_id#") == 1
+    rows = spark.range(0, 60_000, 1, 3).select(
+        F.when(F.col("id") % 10 > 0, "hot").alias("k"), (F.col("id") % 2).cast("int").alias("m"), F.col("id").alias("v"))
+    rows = rows.unionByName(spark.createDataFrame([("one", None, 1), ("one", None, 2), ("one", 3, 2), (None, None, 0)], rows.schema))
+    left = latest_in_task(rows, ["k", "m"], [F.col("v").desc()])
+    assert "Exchange" not in left._jdf.queryExecution().executedPlan().toString()
+    assert left.count() <= rows.rdd.getNumPartitions() * 4 + 3
+    got = latest_per_key(left, ["k", "m"], [F.col("v").desc()])
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, latest_per_key(rows, ["k", "m"], [F.col("v").desc()]).collect()), key=str)
