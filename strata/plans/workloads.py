@@ -157,13 +157,16 @@ def update_and_restore(spark: SparkSession, d: str) -> DataFrame:
 
 def erp_from_change_feed(spark: SparkSession, d: str) -> DataFrame:
     """Two states of the raw ERP rows -> change feed -> typed -> dedup -> merge: changed orders arrive as a
-    DELETE and an INSERT, vanished ones as a DELETE, new ones as an INSERT (J2 -> P2)."""
+    DELETE and an INSERT, vanished ones as a DELETE, new ones as an INSERT (J2 -> P2).
+
+    Each state moves once, by the order: the feed, the dedups and the merge use that partitioning."""
     raw = mapping.erp_raw(spark, d).drop(sc.ACTION)
     cut = F.col("_shipdate") < F.lit(mapping.BATCH_SPLIT).cast("timestamp_ntz")
-    before = raw.filter(cut).drop("_shipdate")
+    before = raw.filter(cut).drop("_shipdate").repartition(*sc.ERP_KEYS)
     # Afterwards: late rows were corrected, rows of one warehouse are gone, later rows are new.
     after = raw.filter(~((F.col("warehouse_id") == "WH_O") & cut)).drop("_shipdate") \
-        .withColumn("order_status", F.when(F.col("is_late"), "Changed").otherwise(F.col("order_status")))
+        .withColumn("order_status", F.when(F.col("is_late"), "Changed").otherwise(F.col("order_status"))) \
+        .repartition(*sc.ERP_KEYS)
     table = silver.erp_orders(before, None, now=catalog.LOAD_1)
     return silver.erp_orders(_change_feed(before, after), table, now=catalog.LOAD_2)
 

@@ -60,3 +60,30 @@ def test_history_moves_rows_once_and_a_hot_order_reduced(spark):
     assert left.count() <= rows.rdd.getNumPartitions() * 4 + 3
     got = latest_per_key(left, ["k", "m"], [F.col("v").desc()])
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, latest_per_key(rows, ["k", "m"], [F.col("v").desc()]).collect()), key=str)
+
+
+def test_both_states_of_the_change_feed_move_once_by_the_order(spark, tmp_path):
+    day = lambda m, d=1, y=1998: dt.datetime(y, m, d)
+    lines = [(1, 1, 7, 1, 10.0, "O", "N", day(2)),           # of the warehouse that is gone: DELETE
+             (1, 2, 7, 1, 10.0, "F", "N", day(3)),           # late: DELETE and INSERT
+             (2, 1, 7, 1, 10.0, "F", "N", day(1, 9)),        # unchanged
+             (2, 1, 7, 1, 10.0, "F", "N", day(1, 9)),        # and twice
+             (2, None, 7, 1, 10.0, "F", "N", day(1, 9)),     # no key, unchanged
+             (2, None, 7, 1, 10.0, "F", "N", day(4)),        # no key, late
+             (3, 1, 7, 1, 20.0, "O", "N", day(7)),           # new
+             (4, 1, 8, 1, 20.0, "O", "N", day(7))]           # of an unknown part
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, "
+                          "l_linestatus string, l_returnflag string, l_shipdate timestamp_ntz") \
+        .write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k, 5, day(1), "P") for k in (1, 2, 3, 4)],
+                          "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz, o_orderstatus string") \
+        .write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(7, "T", "B", 2.0)], "p_partkey long, p_type string, p_brand string, p_retailprice double") \
+        .write.parquet(f"{tmp_path}/part.parquet")
+    got = W.erp_from_change_feed(spark, str(tmp_path))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    moved = [x for x in plan.splitlines() if "Exchange hashpartitioning(order_id#" in x]
+    assert len(moved) == 3 and all(x.count("#") == 1 and "REPARTITION_BY_COL" in x for x in moved)
+    rows = sorted(((r.order_id, r.order_status, str(r.actual_delivery)) for r in got.collect()), key=str)
+    assert rows == sorted([("ORD_1_2", "Changed", "1998-03-01"), ("ORD_2_1", "P", "1998-01-09"), ("ORD_3_1", "Changed", "1998-07-01"),
+                           (None, "Changed", "1998-04-01"), (None, "P", "1998-04-01")], key=str)
