@@ -74,6 +74,81 @@ def test_classes_grow_with_the_text(spark):
     assert model.classes > 1 << 16 and (model.worlds[-1]["c"] > 0).sum() > 1 << 16
 
 
+def test_contexts_of_one_class_are_restaurants_of_their_own(spark, monkeypatch):
+    """Every pair occurs once, so nothing is drawn between pairs: two classes for all contexts score as 65,536 do."""
+    texts = spark.createDataFrame([(" ".join(f"w{(i * k) % 31}" for i in range(1, 31)),) for k in range(1, 12)], "text string")
+    ask = spark.createDataFrame([(i, f"w{i} w{2 * i % 31} w{3 * i % 31} unseen w{i} w{i}") for i in range(31)], "doc_id int, text string")
+    score = lambda m: {r.id: (r.n_known, round(r.base_score, 9), round(r.score, 6)) for r in lm.score(ask, m).collect()}
+    wide = lm.fit(texts)
+    expected = score(wide)
+    assert wide.met.count() == 0 and len(set(expected.values())) > 10
+    monkeypatch.setattr(lm, "CLASSES", 2)
+    monkeypatch.setattr(lm, "MOST_CLASSES", 2)
+    few = lm.fit(texts)
+    assert few.classes == 2 and few.worlds[-1]["d"] == wide.worlds[-1]["d"]
+    assert score(few) == expected
+
+
+def test_tables_of_contexts_that_own_no_class(spark, monkeypatch):
+    """Their sums over many buckets are those of all pairs, after each sweep; predictions after each sum to one."""
+    monkeypatch.setattr(lm, "CLASSES", 4)
+    monkeypatch.setattr(lm, "MOST_CLASSES", 4)
+    texts = spark.createDataFrame([(" ".join(f"w{(i * i + k * i) % 23}" for i in range(60)),) for k in range(40)], "text string")
+    model = lm.fit(texts, bucket_bytes=1000)
+    assert model.buckets > 5 and model.classes == 4
+    met = [r.asDict() for r in model.met.collect()]
+    rows = [r.asDict() for r in model.packs.collect()]
+    got, customers, mass = [{} for _ in model.worlds], {}, [{} for _ in model.worlds]
+    seen = {}
+    for row in rows:
+        own = lm.Bucket(row["bucket"], row)
+        seen.update(zip(own.words.tolist(), np.add.reduceat(own.count, own.first).tolist()))
+        sums = lm.sums_of([r for r in met if r["bucket"] == row["bucket"]], len(model.worlds))
+        for i, (state, world) in enumerate(zip(own.chain(model.worlds[:-1], sums), model.worlds)):
+            parent = own.parent(state, world)
+            for c, n, t in zip(own.cls.tolist(), own.count.tolist(), state["t"].tolist()):
+                got[i][c] = got[i].get(c, 0) + int(t)
+                mass[i][c] = mass[i].get(c, 0.0) + n - world["d"] * t
+                customers[c] = customers.get(c, 0) + (n if i == 0 else 0)
+            mass[i][None] = mass[i].get(None, 0.0) + parent.sum()
+    far = [c for c in customers if c >= lm.SPAN]
+    assert len(far) >= 15 and any(got[-1][c] != got[0][c] for c in far)
+    for i, world in enumerate(model.worlds):
+        total = mass[i][None] + (lm.STRENGTH + world["d0"] * world["T0"]) / (world["V"] + 1) / (lm.STRENGTH + world["C0"])
+        for c in far:
+            home = int(lm.bucket_of(np.array([c], np.uint64), model.buckets)[0])
+            at_home = [r for r in met if r["bucket"] == home]
+            tables = int(lm.far_tables(np.array([c], np.uint64), [dict(r, data=lm._dump(*only(r["data"], c))) for r in at_home if r["home"] < 0], i)[0])
+            assert tables == got[i][c] and customers[c] == seen[c]
+            p = mass[i][c] + (lm.STRENGTH + world["d"] * tables) * total
+            assert abs(p / (lm.STRENGTH + customers[c]) - 1) < 1e-9
+        for c in set(customers) - set(far):
+            assert world["T"][c] == got[i][c] and world["c"][c] == customers[c]
+
+
+def only(data, context):
+    name, n = lm._load(data, "ii")
+    return name[name == context], n[name == context]
+
+
+def test_predictions_after_two_words_of_one_class(spark):
+    """x0 follows a and y follows b: after b, y is likelier than x0, and after a the other way round."""
+    words = np.array([f"u{i}" for i in range(3000)])
+    raw = np.frombuffer(" ".join(words).encode(), np.uint8)
+    hashes = lm.tokens(raw, np.array([0, len(raw)]))[0][:-1]
+    cls = lm.class_of(hashes, lm.CLASSES)
+    first = {}
+    shared = next((first[c], i) for i, c in enumerate(cls.tolist()) if first.setdefault(c, i) != i)
+    a, b = words[shared[0]], words[shared[1]]
+    texts = [(f"{a} x{i}",) for i in range(30)] + [(f"{b} y",)]
+    model = lm.fit(spark.createDataFrame(texts, "text string"))
+    assert model.met.count() > 0
+    got = {r.id: 10 ** r.score for r in lm.score(spark.createDataFrame(
+        [(1, f"{b} y"), (2, f"{b} x0"), (3, f"{a} x0"), (4, f"{a} y")], "doc_id int, text string"), model).collect()}
+    assert got[1] > 1.5 * got[2] and got[3] > 1.01 * got[4]
+    assert model.worlds[-1]["c"][cls[shared[0]]] == 30
+
+
 def test_equal_pieces_and_many_buckets(spark):
     texts = spark.createDataFrame([(1, "x y z " * 50)] * 3 + [(2, None), (None, "x")], "doc_id long, text string")
     one = lm.fit(texts.select("text"))
