@@ -154,14 +154,15 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
 
 
 def narrow(x: np.ndarray) -> bytes:
-    """Whole numbers in as few bytes each as the largest needs; the first byte tells how many."""
+    """Whole numbers in as few bytes each as the largest needs, their lowest bytes first; the first byte tells how many."""
     top = int(x.max()) if len(x) else 0
     size = next(b for b in (1, 2, 4, 8) if top < 1 << (8 * b))
-    return bytes([size]) + x.astype(f"<u{size}").tobytes()
+    return bytes([size]) + x.astype(f"<u{size}").view(np.uint8).reshape(len(x), size).T.tobytes()
 
 
 def widen(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1)
+    size = data[0]
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8, offset=1).reshape(size, -1).T).view(f"<u{size}").reshape(-1)
 
 
 def three(x: np.ndarray) -> bytes:
@@ -184,7 +185,7 @@ def pack(word: np.ndarray, cls: np.ndarray, count: np.ndarray) -> dict[str, byte
     sizes = np.diff(np.concatenate([at, [len(word)]]))
     far = cls >= SPAN
     return {"words": word[at].tobytes(), "sizes": _dump(sizes, np.add.reduceat(far, at, dtype=np.int64) if len(at) else sizes),
-            "cls": three(cls[~far].astype(np.uint32)), "far": cls[far].astype(np.uint64).tobytes(), "counts": narrow(count)}
+            "cls": three(cls[~far].astype(np.uint32)), "far": cls[far].astype(np.uint64).tobytes(), "counts": _dump(count)}
 
 
 def unpack(row: dict[str, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -193,7 +194,7 @@ def unpack(row: dict[str, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     far = np.arange(int(sizes.sum())) >= np.repeat(ends - fars, sizes)
     cls = np.empty(len(far), np.uint64)
     cls[~far], cls[far] = from_three(row["cls"]), np.frombuffer(row["far"], np.uint64)
-    return np.repeat(np.frombuffer(row["words"], np.uint64), sizes), cls, widen(row["counts"])
+    return np.repeat(np.frombuffer(row["words"], np.uint64), sizes), cls, _load(row["counts"], "i")[0]
 
 
 def merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
@@ -304,7 +305,8 @@ class Bucket:
         self.sizes = np.diff(np.append(self.first, len(word)))
         self.of = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
         self.count = count.astype(np.int64)
-        self.near, self.far = np.flatnonzero(self.cls < SPAN), np.flatnonzero(self.cls >= SPAN)
+        far = self.cls >= SPAN
+        self.near, self.far = (np.flatnonzero(x).astype(np.int32) for x in (~far, far))
         # Pairs whose seating needs sums from other buckets, and the contexts those are of.
         self.open = self.far[self.count[self.far] > 1]
         self.names, self.name = np.unique(self.cls[self.open], return_inverse=True)
@@ -322,10 +324,9 @@ class Bucket:
     def sweep(self, state: dict, world: dict, number: int, sums: np.ndarray) -> dict:
         """``sums``: tables of the restaurants in ``names``."""
         rng = np.random.default_rng([SEED, self.number, number])
-        tables = np.ones(len(self.cls), np.int64)
-        tables[self.near] = world["T"][self.cls[self.near]]
-        tables[self.open] = sums[self.name]
-        weight = (STRENGTH + world["d"] * tables) * self.parent(state, world)[self.of]
+        weight = self.parent(state, world)[self.of]
+        weight[self.near] *= STRENGTH + world["d"] * world["T"][self.cls[self.near]]
+        weight[self.open] *= STRENGTH + world["d"] * sums[self.name]
         t = seat(self.count, weight, world["d"], rng)
         c0 = np.add.reduceat(t, self.first) if len(t) else self.sizes.copy()
         base = np.full(len(c0), (STRENGTH + world["d0"] * world["T0"]) / (world["V"] + 1))
@@ -406,7 +407,9 @@ def _swept_alone(batches: Iterator[pa.RecordBatch], shared, buckets: int, classe
 
 def _swept_met(packs: pa.Table, met: pa.Table, shared, buckets: int, classes: int) -> pa.Table:
     met = met.to_pylist()
-    return pa.Table.from_batches([_swept(row, met, shared.value, buckets, classes) for row in _rows(packs)], SENT)
+    out = pa.Table.from_batches([_swept(row, met, shared.value, buckets, classes) for row in _rows(packs)], SENT)
+    W.tidy()
+    return out
 
 
 def _opened(batches: Iterator[pa.RecordBatch], classes: int):
@@ -545,7 +548,7 @@ def _asked(batches: Iterator[pa.RecordBatch], buckets: int, owners):
         for b, (x, y) in enumerate(zip(bounds[:-1], bounds[1:])):
             if y > x:
                 rows.append((b, _dump(words[cuts[b]:cuts[b + 1]], np.diff(np.append(_runs(word[x:y]), y - x)),
-                                      slot[x:y] & np.uint32(0xFFFF), slot[x:y] >> np.uint32(16), cls[x:y][far[x:y]])))
+                                      slot[x:y], cls[x:y][far[x:y]])))
         yield pa.RecordBatch.from_arrays(
             [pa.array([b for b, _ in rows], pa.int32()), pa.array([name] * len(rows), pa.string()),
              pa.array([d for _, d in rows], pa.binary())], names=["bucket", "piece", "data"])
@@ -555,7 +558,7 @@ def _own(batches: Iterator[pa.RecordBatch]):
     """The tokens of each piece as numbers of its sorted words, and how many each text has."""
     for name, ids, raw, offsets in _named_pieces(batches):
         _, number, text = numbered(raw, offsets)
-        data = _dump(number & 0xFFFF, number >> 16, np.bincount(text, minlength=len(ids)))
+        data = _dump(number, np.bincount(text, minlength=len(ids)))
         yield pa.RecordBatch.from_arrays(
             [pa.array([name], pa.string()), pa.array([ids.to_pylist()], pa.list_(ids.type)), pa.array([data], pa.binary())],
             names=["piece", "ids", "data"])
@@ -590,8 +593,8 @@ def _answer(rows: pa.Table, side: pa.Table, shared, burn_in: int) -> pa.Table:
         far = own.of[own.far].astype(np.int64) * len(names) + name
     out = []
     for row in _rows(rows):
-        words, sizes, low, high, far_keys = _load(row["data"], "iiiii")
-        cls = low.astype(np.int64) | high.astype(np.int64) << 16
+        words, sizes, cls, far_keys = _load(row["data"], "iiii")
+        cls = cls.astype(np.int64)
         words_get = np.zeros((1 + 3 * len(kept), len(words)), np.int64)
         pairs_get = np.zeros((1 + len(kept), len(cls)), np.int64)
         if own is not None:
@@ -612,6 +615,7 @@ def _answer(rows: pa.Table, side: pa.Table, shared, burn_in: int) -> pa.Table:
             for get, have in zip(pairs_get, pairs_have):
                 get[at >= 0] = have[at[at >= 0]]
         out.append((row["piece"], row["bucket"], _dump(*words_get, *pairs_get)))
+    W.tidy()
     return pa.Table.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(ANSWER)], schema=ANSWER)
 
 
@@ -636,8 +640,8 @@ def _combine(rows: pa.Table, answers: pa.Table, worlds: list[dict], id_type) ->
     base = np.log10((count + 0.5) / (world["N"] + 0.5 * (world["V"] + 1)))
     out = []
     for row in _rows(rows):
-        low, high, lengths = _load(row["data"], "iii")
-        number = low.astype(np.int64) | high.astype(np.int64) << 16
+        number, lengths = _load(row["data"], "ii")
+        number = number.astype(np.int64)
         text = np.repeat(np.arange(len(lengths)), lengths)
         pairs, of = np.unique(pair_codes(number, text, len(count)), return_inverse=True)
         if int(number.max(initial=-1)) + 1 != len(count) or len(pairs) != len(of_pairs[0]):
