@@ -25,7 +25,7 @@ from strata.operators.dedup import latest_in_task, latest_per_key
 from strata.operators.flatten import unnest
 from strata.operators.merge import update_where as _update_where
 from strata.plans import catalog, fixtures, mapping, silver
-from strata.session import ensure_checkpoint_dir, scratch_path, settings
+from strata.session import scratch_path, settings
 from strata.sources import files, loads
 from strata.sources.audit import ingest_audit as _ingest_audit
 from strata.sources.change_table import ChangeTable
@@ -202,8 +202,10 @@ def stored_history(spark: SparkSession, d: str) -> DataFrame:
     """The history written once (checkpoint into the shared folder), as the
     time-travel reads see a stored history table; the reads below use it
     several times (states, scalar subqueries)."""
-    ensure_checkpoint_dir(spark)
-    return erp_history(spark, d).checkpoint(eager=True)
+    path = scratch_path(spark, "erp_history")
+    rows = erp_history(spark, d)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def as_of(spark: SparkSession, d: str) -> DataFrame:
