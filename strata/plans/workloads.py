@@ -233,7 +233,7 @@ def expire(spark: SparkSession, d: str) -> DataFrame:
 def csv_load(spark: SparkSession, d: str) -> DataFrame:
     """POS rows written as CSV files and loaded back (A1)."""
     path = scratch_path(spark, "csv_load")
-    files.write_csv(mapping.pos_raw(spark, d), path)
+    files.write_csv(mapping.pos_raw(spark, d), path, compression="none")
     return files.read_pos_csv(spark, path)
 
 

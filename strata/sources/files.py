@@ -83,9 +83,9 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
     w.parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Write POS-style CSV (header line, comma separated)."""
-    w = df.write.mode("overwrite").option("header", True)
+def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None, compression: str = "gzip") -> None:
+    """Write POS-style CSV (header line, comma separated), compressed as deliveries are; a reader takes a file whole."""
+    w = df.write.mode("overwrite").option("header", True).option("compression", compression)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)
