@@ -49,7 +49,7 @@ def test_a_packed_dedup_keeps_the_same_rows(spark):
 
 def test_small_inputs_and_other_types_are_not_packed(spark):
     rows = spark.range(3).selectExpr("cast(id as string) AS k", "cast(id as double) AS v")
-    plain = lambda df, keys, **k: "_block#" not in latest_packed(df, keys, [], **k)._jdf.queryExecution().executedPlan().toString()
+    plain = lambda df, keys, **k: "_block#" not in latest_packed(df, keys, [F.col("k").asc()], **k)._jdf.queryExecution().executedPlan().toString()
     assert plain(rows, ["k"], least=1 << 62) and not plain(rows, ["k"], least=0)
     assert plain(rows, ["v"], least=0)                            # -0.0 equals 0.0 but not its bytes
     assert plain(rows.select("k", F.parse_json(F.lit("1")).alias("v")), ["k"], least=0)
